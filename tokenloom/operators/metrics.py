@@ -55,12 +55,16 @@ def cost_analysis(
 ) -> DataFrame:
     """Summary costs at the run model's input price (OP24, OP26)."""
     price = price_lookup(F.col(model_col))
-    return (
-        df.withColumn("price_model", price["model_key"])
-        .withColumn("cost_raw", estimate_cost(F.col(raw_tokens), 0, price))
-        .withColumn("cost_optimized", estimate_cost(F.col(optimized_tokens), 0, price))
-        .withColumn("cost_saved", F.col("cost_raw") - F.col("cost_optimized"))
-        .withColumn("compression_pct", compression_pct(F.col(optimized_tokens), F.col(raw_tokens)))
+    r, o = F.col(raw_tokens), F.col(optimized_tokens)
+    cost_raw, cost_opt = estimate_cost(r, 0, price), estimate_cost(o, 0, price)
+    return df.withColumns(
+        {
+            "price_model": price["model_key"],
+            "cost_raw": cost_raw,
+            "cost_optimized": cost_opt,
+            "cost_saved": cost_raw - cost_opt,
+            "compression_pct": compression_pct(o, r),
+        }
     )
 
 
@@ -103,14 +107,13 @@ def benchmark(
     acc_raw = 1.0 - loss
     acc = py_round(acc_raw, 3)
     ok = acc >= lit_(C.ACCEPT_ACCURACY)
-    return (
-        df.withColumn("benchmark_accuracy_raw", acc_raw)
-        .withColumn("_acc", acc)
-        .withColumn("benchmark_strategy", F.when(ok, "optimized").otherwise("baseline"))
-        .withColumn("benchmark_accuracy", F.when(ok, F.col("_acc")).otherwise(F.lit(1.0)))
-        .withColumn(
-            "benchmark_cost",
-            F.when(ok, estimate_cost(o, 0, price)).otherwise(estimate_cost(r, 0, price)),
-        )
-        .drop("_acc")
+    return df.withColumns(
+        {
+            "benchmark_accuracy_raw": acc_raw,
+            "benchmark_strategy": F.when(ok, "optimized").otherwise("baseline"),
+            "benchmark_accuracy": F.when(ok, acc).otherwise(F.lit(1.0)),
+            "benchmark_cost": F.when(ok, estimate_cost(o, 0, price)).otherwise(
+                estimate_cost(r, 0, price)
+            ),
+        }
     )

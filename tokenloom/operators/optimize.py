@@ -25,8 +25,9 @@ from ..functions.text import col_, estimate_tokens, lit_, normalize_lines
 
 def normalize(df: DataFrame, text_col: str = "raw_text", out: str = "norm_text") -> DataFrame:
     """OP05: line-strip / blank-line removal + chars_extracted / chars_normalized."""
-    return df.withColumn("chars_extracted", F.length(F.col(text_col))).withColumn(
-        out, normalize_lines(text_col)
+    norm = normalize_lines(text_col)
+    return df.withColumns(
+        {"chars_extracted": F.length(F.col(text_col)), out: norm}
     ).withColumn("chars_normalized", F.length(F.col(out)))
 
 
@@ -44,28 +45,32 @@ def prepare(
     overrides); NULL means "detect" / "route by size".
     """
     fname = F.col(filename_col) if filename_col and filename_col in df.columns else None
-    return (
-        df.withColumn("raw_tokens", estimate_tokens(text_col))
-        .withColumn("content_type", detect_content_type(text_col, fname, content_type))
-        .withColumn("strategy", select_strategy("raw_tokens", cfg, force_strategy))
-        .withColumn(
-            "target_tokens",
-            calculate_target("raw_tokens", cfg.target_ratio, cfg.max_output_tokens),
-        )
+    tokens = estimate_tokens(text_col)
+    return df.withColumns(
+        {
+            "raw_tokens": tokens,
+            "content_type": detect_content_type(text_col, fname, content_type),
+            "strategy": select_strategy(tokens, cfg, force_strategy),
+            "target_tokens": calculate_target(tokens, cfg.target_ratio, cfg.max_output_tokens),
+        }
     )
 
 
-def _compressed_expr(text: Column, cfg: C.OptimizerConfig, chunk_size=None) -> Column:
+def _compressed_expr(text: Column, cfg: C.OptimizerConfig, hierarchical: bool = True) -> Column:
     """CASE over the routed strategy.  Spark evaluates only the taken branch,
     so the fold-based strategies cost nothing for rows that do not use them."""
     strategy, target, ctype = F.col("strategy"), F.col("target_tokens"), F.col("content_type")
     extract = compress_extractive(text, target, ctype)
-    return (
+    routed = (
         F.when(strategy == "none", text)
         .when(strategy == "truncate", compress_truncate(text, target))
         # no summariser attached -> the extractive fallback on the full text
         .when(strategy.isin("extractive", "abstractive"), extract)
-        .when(
+    )
+    if not hierarchical:
+        return routed.otherwise(text)
+    return (
+        routed.when(
             strategy == "hierarchical",
             F.when(F.size(F.col("_chunks")) <= 1, extract)
             .when(
@@ -84,11 +89,14 @@ def optimize(
     cfg: C.OptimizerConfig = C.DEFAULT_CONFIG,
     summarizer: Optional[Callable] = None,
     chunk_size=None,
+    allow_hierarchical: bool = True,
 ) -> DataFrame:
     """OP22 + OP26 (TokenStats): route each prepared row to its strategy.
 
     With a `summarizer` the abstractive / hierarchical rows go through
-    `summarize.abstractive` (Arrow batches); everything else stays narrow.
+    `summarize.optimize_with_summarizer` (Arrow batches); everything else
+    stays narrow.  `allow_hierarchical=False` (nothing forced) leaves the
+    chunking columns out of the plan.
     """
     chunk_size = cfg.chunk_size if chunk_size is None else chunk_size
     text = F.col(text_col)
@@ -96,6 +104,8 @@ def optimize(
         from .summarize import optimize_with_summarizer
 
         return optimize_with_summarizer(df, text_col, cfg, summarizer, chunk_size)
+    if not allow_hierarchical:
+        return token_stats(df.withColumn("compressed", _compressed_expr(text, cfg, False)), cfg)
     is_h = F.col("strategy") == "hierarchical"
     out = (
         df.withColumn("_chunks", F.when(is_h, pack_chunks(text, lit_(chunk_size))))
@@ -115,14 +125,12 @@ def optimize(
 
 def token_stats(df: DataFrame, cfg: C.OptimizerConfig = C.DEFAULT_CONFIG) -> DataFrame:
     """compressed_chars / tokens, compression_ratio, cost_saved_input."""
-    return (
-        df.withColumn("compressed_chars", F.length("compressed"))
-        .withColumn("compressed_tokens", estimate_tokens("compressed"))
-        .withColumn(
-            "compression_ratio", safe_ratio_loss(F.col("compressed_tokens"), F.col("raw_tokens"))
-        )
-        .withColumn(
-            "cost_saved_input",
-            cost_saved_config(F.col("raw_tokens"), F.col("compressed_tokens"), cfg.input_cost_per_1k),
-        )
+    ctok = estimate_tokens("compressed")
+    return df.withColumns(
+        {
+            "compressed_chars": F.length("compressed"),
+            "compressed_tokens": ctok,
+            "compression_ratio": safe_ratio_loss(ctok, F.col("raw_tokens")),
+            "cost_saved_input": cost_saved_config(F.col("raw_tokens"), ctok, cfg.input_cost_per_1k),
+        }
     )

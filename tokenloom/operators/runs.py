@@ -27,9 +27,8 @@ def run_id_expr(fingerprint: Column, run_ts: str) -> Column:
 
 
 def with_run_identity(df: DataFrame, model, run_ts: str, content_col: str = "content") -> DataFrame:
-    return df.withColumn("fingerprint", fingerprint_expr(F.col(content_col), model)).withColumn(
-        "run_id", run_id_expr(F.col("fingerprint"), run_ts)
-    )
+    fp = fingerprint_expr(F.col(content_col), model)
+    return df.withColumns({"fingerprint": fp, "run_id": run_id_expr(fp, run_ts)})
 
 
 STAGE_METRICS = (

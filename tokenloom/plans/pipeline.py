@@ -68,7 +68,7 @@ def run_pipeline(
     df = with_run_identity(df, F.col("model"), run_ts)
     df = normalize(df, "raw_text", "norm_text")
     df = prepare(df, "norm_text", "filename", cfg, content_type, force_strategy)
-    df = optimize(df, "norm_text", cfg, summarizer)
+    df = optimize(df, "norm_text", cfg, summarizer, allow_hierarchical=force_strategy is not None)
     df = cost_analysis(df, "model", "raw_tokens", "compressed_tokens")
     df = benchmark(df, "model", "raw_tokens", "compressed_tokens")
     cols = list(RUN_COLUMNS) + (["norm_text"] if keep_text else [])
