@@ -430,25 +430,40 @@ def config_sweep(spark, sf_dir):
     tok, text, ct = F.col("raw_tokens"), F.col("norm_text"), F.col("content_type")
     price = price_lookup(F.lit(C.DEFAULT_MODEL))
 
-    def one(c):
+    # three passes so that each lambda reads only fields of the previous
+    # pass: a lambda body has no common-subexpression reuse, so computing the
+    # compressed text and its derived numbers in one body would repeat it
+    def compress(c):
         strat = select_strategy(tok, thresholds=(c["lo"], c["mid"], c["hi"]))
         target = calculate_target(tok, c["ratio"], c["max_out"])
+        return F.struct(c["ordinal"].alias("ordinal"), c["config_name"].alias("config_name"),
+                        strat.alias("strategy"), target.alias("target_tokens"))
+
+    def text_of(c):
+        strat, target = c["strategy"], c["target_tokens"]
         comp = (F.when(strat == "none", text)
                 .when(strat == "truncate", compress_truncate(text, target))
                 .otherwise(compress_extractive(text, target, ct)))
-        ctok = estimate_tokens(comp)
+        return F.struct(c["ordinal"].alias("ordinal"), c["config_name"].alias("config_name"),
+                        strat.alias("strategy"), target.alias("target_tokens"),
+                        estimate_tokens(comp).alias("compressed_tokens"))
+
+    def one(c):
+        ctok = c["compressed_tokens"]
         acc = py_round(1.0 - F.when(tok > 0, 1.0 - ctok / tok).otherwise(0.0), 3)
         ok = acc >= C.ACCEPT_ACCURACY
         cost = F.when(ok, estimate_cost(ctok, 0, price)).otherwise(estimate_cost(tok, 0, price))
         return F.struct(
             cost.alias("benchmark_cost"), c["ordinal"].alias("ordinal"),
-            c["config_name"].alias("config_name"), strat.alias("strategy"),
-            target.alias("target_tokens"), ctok.alias("compressed_tokens"),
+            c["config_name"].alias("config_name"), c["strategy"].alias("strategy"),
+            c["target_tokens"].alias("target_tokens"), ctok.alias("compressed_tokens"),
             F.when(ok, acc).otherwise(F.lit(1.0)).alias("benchmark_accuracy"),
             F.when(ok, "optimized").otherwise("baseline").alias("benchmark_strategy"),
         )
 
-    d = d.withColumn("per", F.transform(cfgs, one)).withColumn("best", F.array_min("per"))
+    d = d.withColumn("per", F.transform(cfgs, compress))
+    d = d.withColumn("per", F.transform("per", text_of))
+    d = d.withColumn("per", F.transform("per", one)).withColumn("best", F.array_min("per"))
     return d.select("doc_id", "best", F.inline_outer("per")).select(
         "doc_id", "config_name", "strategy", "target_tokens", "compressed_tokens",
         "benchmark_accuracy", "benchmark_strategy", "benchmark_cost",
