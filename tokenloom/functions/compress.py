@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .memo import memo_column
+
 from .. import config as C
 from .text import (
     col_,
@@ -29,6 +31,7 @@ from .text import (
 )
 
 
+@memo_column
 def compress_truncate(content, target_tokens) -> Column:
     """Cut at 4*target chars; back up to a paragraph (>70%) or sentence
     (>80%) end; strip; append the truncation marker."""
@@ -126,12 +129,14 @@ def select_within_budget(scored: Column, target_tokens) -> Column:
     return F.array_sort(picked, lambda a, b: a["idx"] - b["idx"])
 
 
+@memo_column
 def compress_extractive(content, target_tokens, content_type) -> Column:
     sentences = split_sentences(col_(content))
     picked = select_within_budget(scored_sentences(sentences, content_type), target_tokens)
     return F.array_join(F.transform(picked, lambda x: x["s"]), C.EXTRACT_JOINER)
 
 
+@memo_column
 def pack_chunks(content, chunk_size) -> Column:
     """Greedy packing of '\\n\\n' paragraphs into <= chunk_size-token chunks.
 

@@ -1,0 +1,38 @@
+"""Reuse built Column expressions.
+
+Building a large expression costs hundreds of Python->JVM calls; a Column is
+immutable and unresolved (it names its inputs), so the same builder called
+with the same arguments can hand back the same object."""
+
+from __future__ import annotations
+
+import functools
+
+from pyspark.sql import Column
+
+
+def _key(v):
+    if isinstance(v, Column):
+        return ("col", str(v))
+    if isinstance(v, (list, tuple)):
+        return tuple(_key(x) for x in v)
+    if isinstance(v, dict):
+        return tuple(sorted((k, _key(x)) for k, x in v.items()))
+    return ("val", type(v).__name__, repr(v))
+
+
+def memo_column(fn):
+    cache: dict = {}
+
+    @functools.wraps(fn)
+    def wrapper(*args, **kwargs):
+        from pyspark import SparkContext
+
+        sc = SparkContext._active_spark_context
+        k = (id(sc), _key(args), _key(kwargs))
+        hit = cache.get(k)
+        if hit is None:
+            hit = cache[k] = fn(*args, **kwargs)
+        return hit
+
+    return wrapper

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .memo import memo_column
+
 from ..config import CHARS_PER_TOKEN
 
 # Python's str.isspace() set (also what `\s` and str.strip() use for str):
@@ -34,11 +36,13 @@ def lit_(v) -> Column:
     return v if isinstance(v, Column) else F.lit(v)
 
 
+@memo_column
 def py_strip(c) -> Column:
     """str.strip(): remove leading/trailing Unicode whitespace."""
     return F.regexp_replace(col_(c), "^" + WS_CLASS + "+|" + WS_CLASS + r"+\z", "")
 
 
+@memo_column
 def normalize_lines(c) -> Column:
     """Split on '\\n', strip every line, drop blank lines, re-join with '\\n'.
 
@@ -55,6 +59,7 @@ def idiv(a, b) -> Column:
     return F.floor(lit_(a) / lit_(b)).cast("bigint")
 
 
+@memo_column
 def estimate_tokens(c) -> Column:
     """len(text) // 4 in code points."""
     return idiv(F.length(col_(c)), CHARS_PER_TOKEN)
@@ -72,6 +77,7 @@ def prefix(text: Column, n) -> Column:
     return text.substr(F.lit(1), lit_(n))
 
 
+@memo_column
 def split_sentences(c) -> Column:
     """re.split(r'(?<=[.!?])\\s+', text) as ARRAY<STRING> (trailing '' kept)."""
     return F.split(col_(c), SENTENCE_SPLIT, -1)

@@ -27,8 +27,8 @@ def normalize(df: DataFrame, text_col: str = "raw_text", out: str = "norm_text")
     """OP05: line-strip / blank-line removal + chars_extracted / chars_normalized."""
     norm = normalize_lines(text_col)
     return df.withColumns(
-        {"chars_extracted": F.length(F.col(text_col)), out: norm}
-    ).withColumn("chars_normalized", F.length(F.col(out)))
+        {"chars_extracted": F.length(F.col(text_col)).cast("bigint"), out: norm}
+    ).withColumn("chars_normalized", F.length(F.col(out)).cast("bigint"))
 
 
 def prepare(
@@ -128,7 +128,7 @@ def token_stats(df: DataFrame, cfg: C.OptimizerConfig = C.DEFAULT_CONFIG) -> Dat
     ctok = estimate_tokens("compressed")
     return df.withColumns(
         {
-            "compressed_chars": F.length("compressed"),
+            "compressed_chars": F.length("compressed").cast("bigint"),
             "compressed_tokens": ctok,
             "compression_ratio": safe_ratio_loss(ctok, F.col("raw_tokens")),
             "cost_saved_input": cost_saved_config(F.col("raw_tokens"), ctok, cfg.input_cost_per_1k),

@@ -283,8 +283,8 @@ def _content_types():
     return with_([DOCS,
                   f"u AS (SELECT 'documents' AS origin, doc_id AS key, {hdr} || norm_text AS t FROM docs "
                   f"UNION ALL SELECT 'pages', page_id, {norm('html')} FROM pages)"],
-                  f"""SELECT origin, key, {s['transcript']} AS s_transcript, {s['email']} AS s_email,
-                  {s['web_page']} AS s_web_page, {s['code']} AS s_code, {s['chat']} AS s_chat,
+                  f"""SELECT origin, key, ({s['transcript']})::BIGINT AS s_transcript, ({s['email']})::BIGINT AS s_email,
+                  ({s['web_page']})::BIGINT AS s_web_page, ({s['code']})::BIGINT AS s_code, ({s['chat']})::BIGINT AS s_chat,
                   {type_from_signals('t')} AS content_type FROM u""")
 
 
@@ -429,7 +429,7 @@ def _stage_report():
         (6, "Benchmark", "strategy", None, "benchmark_strategy"),
     ]
     sel = " UNION ALL ".join(
-        f"SELECT doc_id, {no}::INT AS stage_no, {q(st)} AS stage_name, {q(m)} AS metric, "
+        f"SELECT doc_id, {no}::BIGINT AS stage_no, {q(st)} AS stage_name, {q(m)} AS metric, "
         f"{num or 'NULL::DOUBLE'} AS value, {txt or 'NULL::VARCHAR'} AS value_text FROM r_res"
         for no, st, m, num, txt in metrics
     )
@@ -450,11 +450,11 @@ def _corpus_rollup():
     return with_(_doc_run() + [
         f"j AS (SELECT '{C.DEFAULT_MODEL}' AS model, r_res.strategy, l.quality, r_res.raw_tokens, r_res.compressed_tokens, "
         "r_res.benchmark_strategy FROM r_res LEFT JOIN labels l USING (doc_id))",
-        "g AS (SELECT model, strategy, quality, GROUPING(model, strategy, quality)::INT AS grouping_level, "
+        "g AS (SELECT model, strategy, quality, GROUPING(model, strategy, quality)::BIGINT AS grouping_level, "
         "count(*)::BIGINT AS documents, sum(raw_tokens)::BIGINT AS raw_tokens, sum(compressed_tokens)::BIGINT AS optimized_tokens, "
         "sum(CASE WHEN benchmark_strategy = 'optimized' THEN 1 ELSE 0 END)::BIGINT AS accepted "
         "FROM j GROUP BY ROLLUP (model, strategy, quality))"],
-        f"""SELECT model, strategy, quality, grouping_level, documents, raw_tokens, optimized_tokens, accepted,
+        f"""SELECT model, strategy, quality::BIGINT AS quality, grouping_level, documents, raw_tokens, optimized_tokens, accepted,
         CASE WHEN model IS NOT NULL THEN (raw_tokens / 1000) * {pin!r}::DOUBLE END AS cost_raw,
         CASE WHEN model IS NOT NULL THEN (optimized_tokens / 1000) * {pin!r}::DOUBLE END AS cost_optimized FROM g""")
 

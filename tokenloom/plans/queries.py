@@ -257,7 +257,7 @@ def hierarchical_documents(spark, sf_dir):
 def optimize_documents(spark, sf_dir):
     d = _docs(spark, sf_dir)
     d = prepare(d, "norm_text", None)
-    d = optimize(d, "norm_text")
+    d = optimize(d, "norm_text", allow_hierarchical=False)
     return d.select(
         "doc_id", "content_type", "strategy", "target_tokens", "raw_tokens",
         "compressed_chars", "compressed_tokens", "compression_ratio", "cost_saved_input",
@@ -394,7 +394,7 @@ def model_sweep(spark, sf_dir):
     found inside the row (no join, no shuffle)."""
     d = _docs(spark, sf_dir)
     d = prepare(d, "norm_text", None)
-    d = optimize(d, "norm_text").select("doc_id", "raw_tokens", "compressed_tokens")
+    d = optimize(d, "norm_text", allow_hierarchical=False).select("doc_id", "raw_tokens", "compressed_tokens")
     # the swept keys' prices are known on the driver: plain literals
     per = F.array(*[
         F.struct(
@@ -518,6 +518,25 @@ def decode_documents(spark, sf_dir):
     )
 
 
+def _widen(fn):
+    """Integral outputs as BIGINT (code-point lengths and indexes are INT in
+    Spark), so every query has one stable schema."""
+    from functools import wraps
+
+    from pyspark.sql import types as T
+
+    @wraps(fn)
+    def run(spark, sf_dir):
+        df = fn(spark, sf_dir)
+        small = (T.IntegerType, T.ShortType, T.ByteType)
+        return df.select(*[
+            F.col(f.name).cast("bigint").alias(f.name) if isinstance(f.dataType, small) else F.col(f.name)
+            for f in df.schema.fields
+        ])
+
+    return run
+
+
 QUERIES = {
     "normalize_documents": normalize_documents,
     "filename_types": filename_types,
@@ -545,3 +564,4 @@ QUERIES = {
     "page_corpus": page_corpus,
     "decode_text": decode_documents,
 }
+QUERIES = {k: _widen(v) for k, v in QUERIES.items()}
