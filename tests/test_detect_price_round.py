@@ -51,3 +51,24 @@ def test_py_round_matches_python(spark):
     for r in rows:
         assert r.r1 == round(r.x, 1), r.x
         assert r.r3 == round(r.x, 3), r.x
+
+
+def test_price_table_join_matches_case(spark):
+    from tokenloom import config as C
+    from tokenloom.operators.metrics import resolve_price_table
+
+    names = ["gpt-4o-mini-2024-07-18", "gpt-4", "", "claude-3", "unknown-x", "mistral-large"]
+    models = spark.createDataFrame([(n,) for n in names], "model string")
+    got = {r.model: r.model_key for r in resolve_price_table(models, C.price_table(spark)).collect()}
+    want = {r.m: r.k for r in models.select(F.col("model").alias("m"),
+                                            price_lookup(F.col("model"))["model_key"].alias("k")).collect()}
+    assert got == want
+
+
+def test_canonical_tokens_join_and_fallback(spark):
+    from tokenloom.operators.metrics import canonical_tokens
+
+    df = spark.createDataFrame([("a", "gpt-4o", "x" * 40), ("b", "gpt-4o", "y" * 8)], "doc_key string, model string, t string")
+    counts = spark.createDataFrame([("a", "gpt-4o", 3)], "doc_key string, model string, n long")
+    got = {r.doc_key: r.canonical_tokens for r in canonical_tokens(df, "t", token_counts=counts).collect()}
+    assert got == {"a": 3, "b": 2}

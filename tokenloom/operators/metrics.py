@@ -117,3 +117,45 @@ def benchmark(
             ),
         }
     )
+
+
+def canonical_tokens(df: DataFrame, text_col: str, model_col: str = "model",
+                     token_counts: Optional[DataFrame] = None, key_col: str = "doc_key",
+                     out: str = "canonical_tokens") -> DataFrame:
+    """OP07: model-aware token count, `len // 4` when no count is known.
+
+    `token_counts(doc_key, model, n)` -- e.g. produced offline by a real
+    tokenizer -- is joined in on (doc_key, model).  It grows with the corpus,
+    so the join is a plain shuffle join (AQE may still broadcast it at run
+    time when it turns out small); it is never hinted.
+    """
+    fallback = estimate_tokens(text_col)
+    if token_counts is None:
+        return df.withColumn(out, fallback)
+    tc = token_counts.select(
+        F.col(key_col).alias("_tk"), F.col(model_col).alias("_tm"), F.col("n").cast("bigint").alias("_tn")
+    )
+    j = df.join(tc, (df[key_col] == tc["_tk"]) & (df[model_col] == tc["_tm"]), "left")
+    return j.withColumn(out, F.coalesce(F.col("_tn"), fallback)).drop("_tk", "_tm", "_tn")
+
+
+def tokenizer_counts(text_col: str, encoding: str = "cl100k_base"):
+    """Optional real tokenizer as an Arrow-batched pandas UDF.
+
+    Mirrors the original's behaviour: any failure to load or run the
+    tokenizer (no package, no cached encoding file offline) gives len // 4.
+    """
+    import pandas as pd
+    from pyspark.sql import types as T
+
+    @F.pandas_udf(T.LongType())
+    def count(s: pd.Series) -> pd.Series:
+        try:
+            import tiktoken
+
+            enc = tiktoken.get_encoding(encoding)
+            return s.map(lambda t: None if t is None else len(enc.encode(t, disallowed_special=())))
+        except Exception:  # noqa: BLE001 - same fallback as the original
+            return s.map(lambda t: None if t is None else len(t) // 4)
+
+    return count(F.col(text_col))

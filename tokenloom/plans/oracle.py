@@ -543,6 +543,14 @@ def _decode_text():
     return "SELECT doc_id, length(text)::BIGINT AS chars_extracted, sha256(text) AS text_sha FROM documents"
 
 
+def _file_roundtrip():
+    # every file is named part-*.txt, so the name rule makes it a document;
+    # the trailing newline the text writer adds is removed by normalization
+    return _corpus_sql(
+        "src AS (SELECT doc_id, text || chr(10) AS raw, 'part-0.txt' AS filename FROM documents)",
+        "doc_id", "filename")
+
+
 ORACLE_SQL = {
     "normalize_documents": _normalize_documents(),
     "filename_types": _filename_types(),
@@ -569,4 +577,5 @@ ORACLE_SQL = {
     "transcript_corpus": _transcript_corpus(),
     "page_corpus": _page_corpus(),
     "decode_text": _decode_text(),
+    "file_roundtrip": _file_roundtrip(),
 }

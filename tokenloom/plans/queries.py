@@ -537,6 +537,27 @@ def _widen(fn):
     return run
 
 
+def file_roundtrip(spark, sf_dir):
+    """OP01/OP02/OP04 end to end: documents are written as one text file per
+    document under the shared checkpoint folder, read back as binary files,
+    decoded and run.  Each call writes to a fresh sub-folder."""
+    import uuid
+
+    from ..session import checkpoint_dir
+    from ..sources.files import read_files
+
+    root = f"{checkpoint_dir(spark).rstrip('/')}/files-{uuid.uuid4().hex}"
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs.write.partitionBy("doc_id").text(root)
+    corpus = read_files(spark, root, glob="*.txt")
+    runs = run_pipeline(spread(corpus), keep_text=False)
+    return runs.select(
+        F.regexp_extract("file_path", r"doc_id=(\d+)", 1).cast("bigint").alias("doc_id"),
+        "chars_normalized", "raw_tokens", "content_type", "strategy", "compressed_tokens",
+        "benchmark_strategy",
+    )
+
+
 QUERIES = {
     "normalize_documents": normalize_documents,
     "filename_types": filename_types,
@@ -563,5 +584,27 @@ QUERIES = {
     "transcript_corpus": transcript_corpus,
     "page_corpus": page_corpus,
     "decode_text": decode_documents,
+    "file_roundtrip": file_roundtrip,
 }
+def file_roundtrip(spark, sf_dir):
+    """OP01/OP02/OP04 end to end: documents are written as one text file per
+    document under the shared checkpoint folder, read back as binary files,
+    decoded and run.  Each call writes to a fresh sub-folder."""
+    import uuid
+
+    from ..session import checkpoint_dir
+    from ..sources.files import read_files
+
+    root = f"{checkpoint_dir(spark).rstrip('/')}/files-{uuid.uuid4().hex}"
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs.write.partitionBy("doc_id").text(root)
+    corpus = read_files(spark, root, glob="*.txt")
+    runs = run_pipeline(spread(corpus), keep_text=False)
+    return runs.select(
+        F.regexp_extract("file_path", r"doc_id=(\d+)", 1).cast("bigint").alias("doc_id"),
+        "chars_normalized", "raw_tokens", "content_type", "strategy", "compressed_tokens",
+        "benchmark_strategy",
+    )
+
+
 QUERIES = {k: _widen(v) for k, v in QUERIES.items()}
