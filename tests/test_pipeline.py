@@ -125,3 +125,32 @@ def test_summarizer_path(spark, sf):
     h = run_pipeline(corpus, force_strategy="hierarchical", summarizer=lead,
                      cfg=C.DEFAULT_CONFIG.with_(chunk_size=5)).count()
     assert h == corpus.count()
+
+
+def test_summarizer_single_pass_and_fallback_equivalence(spark, sf):
+    from tokenloom.functions.detect import calculate_target
+    from tokenloom.functions.text import estimate_tokens
+    from tokenloom.operators.optimize import optimize
+
+    def lead(req):
+        return req["prompt"].str.split("Content:\n").str[1].str[:40]
+
+    def broken(req):
+        raise RuntimeError("no model")
+
+    d = spark.read.parquet(f"{sf}/documents.parquet").select(
+        F.col("doc_id").cast("string").alias("doc_key"),
+        F.regexp_replace("text", "\n", "\n\n").alias("norm_text"),
+    )
+    d = d.withColumn("raw_tokens", estimate_tokens("norm_text")).withColumn(
+        "strategy", F.lit("hierarchical")).withColumn("content_type", F.lit("document")).withColumn(
+        "target_tokens", calculate_target("raw_tokens"))
+    with_fn = optimize(d, "norm_text", summarizer=lead, chunk_size=100)
+    plan = with_fn._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan  # one narrow pass, no shuffle
+    rows = with_fn.select("compressed").collect()
+    assert any(r.compressed.startswith("[Section 1]\n") for r in rows)
+    key = ["doc_key", "compressed_tokens", "compressed_chars"]
+    fb = optimize(d, "norm_text", summarizer=broken, chunk_size=100).select(*key)
+    plain = optimize(d, "norm_text", chunk_size=100).select(*key)
+    assert sorted(fb.collect()) == sorted(plain.collect())

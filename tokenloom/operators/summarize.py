@@ -5,18 +5,19 @@ The summariser is a user-supplied callable
     fn(requests: pandas.DataFrame) -> pandas.Series   (str or None per row)
 
 with request columns content_type, target_tokens, max_tokens, prompt, system.
-It runs on Arrow batches inside `mapInPandas`, only for the rows that need
+It runs on Arrow batches (scalar pandas UDFs), only for the rows that need
 it.  A None (or an exception for the whole batch) falls back to the
 extractive strategy on the full text, as the original tool does on error.
 
-Hierarchical rows are exploded to one row per chunk so a long document's
-chunks are summarised by many tasks in parallel, then merged per document.
+Everything stays one narrow pass: rows that need no summary send only a
+NULL through Arrow, and a document's chunk prompts go in one batched call.
 """
 
 from __future__ import annotations
 
 from typing import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,87 +67,127 @@ def build_prompts(df: DataFrame, text_col: str = "norm_text") -> DataFrame:
     )
 
 
-def summarize_rows(df: DataFrame, fn: Callable, text_col: str, target_col: str,
-                   type_col: str, out: str = "summary") -> DataFrame:
-    """OP19: apply the summariser to every row (Arrow batches), NULL on failure."""
-    req = df.withColumn("_prompt", prompt_expr(F.col(text_col), F.col(target_col), F.col(type_col))) \
-            .withColumn("_max_tokens", max_tokens_expr(F.col(target_col)))
-    schema = T.StructType(req.schema.fields + [T.StructField(out, T.StringType(), True)])
+def _clean(v):
+    return v.strip() if isinstance(v, str) else None
+
+
+def summarizer_udf(fn: Callable):
+    """Scalar Arrow UDF over STRUCT<content_type, target_tokens, max_tokens,
+    prompt>.  Rows whose struct is NULL (no request) cost only a null in the
+    batch; the callable sees one pandas frame with the real requests."""
     system = C.SUMMARY_SYSTEM_PROMPT
 
-    def run(batches):
-        import pandas as pd
-
-        for pdf in batches:
-            r = pd.DataFrame(
-                {
-                    "content_type": pdf[type_col],
-                    "target_tokens": pdf[target_col],
-                    "max_tokens": pdf["_max_tokens"],
-                    "prompt": pdf["_prompt"],
-                    "system": system,
-                }
-            )
+    @F.pandas_udf(T.StringType())
+    def run(req: pd.DataFrame) -> pd.Series:
+        out = pd.Series([None] * len(req), index=req.index, dtype="object")
+        mask = req["prompt"].notna()
+        if mask.any():
+            r = req[mask].reset_index(drop=True).assign(system=system)
             try:
-                res = pd.Series(fn(r), index=pdf.index, dtype="object")
-                res = res.where(res.notna(), None).map(lambda s: s.strip() if isinstance(s, str) else None)
-            except Exception:  # the whole batch falls back
-                res = pd.Series([None] * len(pdf), index=pdf.index, dtype="object")
-            yield pdf.assign(**{out: res})
+                res = pd.Series(list(fn(r)), dtype="object").map(_clean)
+                out.loc[mask] = res.to_numpy()
+            except Exception:  # noqa: BLE001 - the batch falls back
+                pass
+        return out
 
-    return req.mapInPandas(run, schema).drop("_prompt", "_max_tokens")
+    return run
 
 
-def optimize_with_summarizer(df: DataFrame, text_col: str, cfg: C.OptimizerConfig,
-                             fn: Callable, chunk_size) -> DataFrame:
-    """OP22 with a summariser: narrow strategies stay narrow; abstractive and
-    hierarchical rows take the summariser path and are unioned back."""
-    from .optimize import optimize, token_stats
+def summarizer_many_udf(fn: Callable):
+    """Like `summarizer_udf` for a document's list of chunk prompts:
+    STRUCT<content_type, target_tokens, max_tokens, prompts ARRAY<STRING>>
+    -> ARRAY<STRING> (NULL entries where the call failed)."""
+    system = C.SUMMARY_SYSTEM_PROMPT
 
-    strategy = F.col("strategy")
-    narrow = optimize(df.filter(~strategy.isin("abstractive", "hierarchical")), text_col, cfg)
-    t, ct = F.col("target_tokens"), F.col("content_type")
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def run(req: pd.DataFrame) -> pd.Series:
+        rows, owners = [], []
+        for i, (ct, tt, mt, ps) in enumerate(zip(req["content_type"], req["target_tokens"],
+                                                  req["max_tokens"], req["prompts"])):
+            if ps is None:
+                continue
+            for p in ps:
+                rows.append((ct, tt, mt, p))
+                owners.append(i)
+        res = [None] * len(rows)
+        if rows:
+            r = pd.DataFrame(rows, columns=["content_type", "target_tokens", "max_tokens", "prompt"])
+            try:
+                res = [_clean(v) for v in fn(r.assign(system=system))]
+            except Exception:  # noqa: BLE001
+                pass
+        out = [None if ps is None else [] for ps in req["prompts"]]
+        for i, v in zip(owners, res):
+            out[i].append(v)
+        return pd.Series(out, index=req.index, dtype="object")
+
+    return run
+
+
+def _request(cond: Column, text: Column, target: Column, ctype: Column) -> Column:
+    return F.when(
+        cond,
+        F.struct(
+            ctype.alias("content_type"),
+            target.alias("target_tokens"),
+            max_tokens_expr(target).alias("max_tokens"),
+            prompt_expr(text, target, ctype).alias("prompt"),
+        ),
+    )
 
-    # abstractive: one request per document on its first 12000 chars
-    ab = summarize_rows(df.filter(strategy == "abstractive"), fn, text_col, "target_tokens", "content_type")
-    ab = ab.withColumn(
-        "compressed", F.coalesce(F.col("summary"), compress_extractive(F.col(text_col), t, ct))
-    ).drop("summary")
 
-    # hierarchical: chunk rows -> summaries -> merge per document
-    h = df.filter(strategy == "hierarchical").withColumn(
-        "_chunks", pack_chunks(F.col(text_col), lit_(chunk_size))
+def optimize_with_summarizer(df: DataFrame, text_col: str, cfg: C.OptimizerConfig,
+                             fn: Callable, chunk_size) -> DataFrame:
+    """OP19 / OP21 / OP22 with a summariser, in one narrow pass.
+
+    Every row flows through the same projections; the Arrow UDFs receive a
+    request only for abstractive / hierarchical rows (NULL otherwise), so the
+    upstream scan and normalization run once, and a document's chunks are
+    summarised in one batched call -- no filter/union branches, no shuffle.
+    A missing summary (None or a failed batch) falls back to extractive.
+    """
+    from .optimize import _compressed_expr, token_stats
+
+    one, many = summarizer_udf(fn), summarizer_many_udf(fn)
+    text, t, ct, strategy = F.col(text_col), F.col("target_tokens"), F.col("content_type"), F.col("strategy")
+    is_h = strategy == "hierarchical"
+    d = df.withColumn("_chunks", F.when(is_h, pack_chunks(text, lit_(chunk_size))))
+    d = d.withColumn("_multi", is_h & (F.size("_chunks") > 1))
+    d = d.withColumn("_ct", F.when(F.col("_multi"), F.floor(t / F.size("_chunks")).cast("bigint")))
+    # one request per abstractive (or single-chunk hierarchical) document
+    d = d.withColumn("_sum", one(_request((strategy == "abstractive") | (is_h & ~F.col("_multi")), text, t, ct)))
+    # all chunk requests of a multi-chunk document in one call
+    chunk_req = F.when(
+        F.col("_multi"),
+        F.struct(
+            ct.alias("content_type"),
+            F.col("_ct").alias("target_tokens"),
+            max_tokens_expr(F.col("_ct")).alias("max_tokens"),
+            F.transform("_chunks", lambda c: prompt_expr(c, F.col("_ct"), ct)).alias("prompts"),
+        ),
     )
-    single = h.filter(F.size("_chunks") <= 1)
-    single = summarize_rows(single, fn, text_col, "target_tokens", "content_type").withColumn(
-        "compressed", F.coalesce(F.col("summary"), compress_extractive(F.col(text_col), t, ct))
-    ).drop("summary", "_chunks")
-    # a stable per-document key (not monotonically_increasing_id: the plan
-    # is evaluated twice below and must give the same ids each time)
-    keys = [k for k in ("doc_key", "model") if k in df.columns]
-    if not keys:
-        raise ValueError("hierarchical summarisation needs a doc_key column")
-    multi = h.filter(F.size("_chunks") > 1)
-    pieces = multi.select(
-        *keys, "content_type",
-        F.floor(t / F.size("_chunks")).cast("bigint").alias("_ct"),
-        F.posexplode_outer("_chunks").alias("_i", "_chunk"),
+    d = d.withColumn("_parts", many(chunk_req))
+    d = d.withColumn(
+        "_merged",
+        F.when(
+            F.col("_multi"),
+            label_sections(
+                F.zip_with(
+                    "_chunks", "_parts",
+                    lambda c, s: F.coalesce(s, compress_extractive(c, F.col("_ct"), ct)),
+                )
+            ),
+        ),
     )
-    pieces = summarize_rows(pieces, fn, "_chunk", "_ct", "content_type")
-    pieces = pieces.withColumn(
-        "_s", F.coalesce(F.col("summary"), compress_extractive(F.col("_chunk"), F.col("_ct"), ct))
+    big = F.col("_multi") & (estimate_tokens(F.col("_merged")) > t * C.HIERARCHY_RECOMPRESS_FACTOR)
+    d = d.withColumn("_big", big)
+    d = d.withColumn("_sum2", one(_request(F.col("_big"), F.col("_merged"), t, ct)))
+    summarized = (
+        F.when(strategy == "abstractive", F.coalesce("_sum", compress_extractive(text, t, ct)))
+        .when(is_h & ~F.col("_multi"), F.coalesce("_sum", compress_extractive(text, t, ct)))
+        .when(F.col("_big"), F.coalesce("_sum2", compress_extractive(F.col("_merged"), t, ct)))
+        .when(F.col("_multi"), F.col("_merged"))
     )
-    merged = pieces.groupBy(*keys).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_i", "_s"))), lambda x: x["_s"]).alias("_parts")
-    ).select(*keys, label_sections(F.col("_parts")).alias("_merged"))
-    multi = multi.join(merged, keys, "left").drop("_chunks")
-    big = estimate_tokens(F.col("_merged")) > t * C.HIERARCHY_RECOMPRESS_FACTOR
-    again = summarize_rows(multi.filter(big), fn, "_merged", "target_tokens", "content_type")
-    again = again.withColumn(
-        "compressed", F.coalesce(F.col("summary"), compress_extractive(F.col("_merged"), t, ct))
-    ).drop("summary")
-    keep = multi.filter(~big).withColumn("compressed", F.col("_merged"))
-    hier = again.unionByName(keep).drop("_merged")
-
-    rest = token_stats(ab.unionByName(single).unionByName(hier), cfg)
-    return narrow.unionByName(rest)
+    d = d.withColumn("compressed", F.coalesce(summarized, _compressed_expr(text, cfg, False)))
+    d = d.drop("_chunks", "_multi", "_ct", "_sum", "_parts", "_merged", "_big", "_sum2")
+    return token_stats(d, cfg)
