@@ -62,8 +62,10 @@ def run_pipeline(
     force_strategy=None,
     summarizer: Optional[Callable] = None,
     keep_text: bool = True,
+    passthrough: tuple = (),
 ) -> DataFrame:
-    """One run row per corpus document (see RUN_COLUMNS)."""
+    """One run row per corpus document (see RUN_COLUMNS); `passthrough`
+    columns of the corpus are carried along unchanged."""
     df = corpus.withColumn("model", F.lit(model)) if "model" not in corpus.columns else corpus
     df = with_run_identity(df, F.col("model"), run_ts)
     df = normalize(df, "raw_text", "norm_text")
@@ -71,7 +73,7 @@ def run_pipeline(
     df = optimize(df, "norm_text", cfg, summarizer, allow_hierarchical=force_strategy is not None)
     df = cost_analysis(df, "model", "raw_tokens", "compressed_tokens")
     df = benchmark(df, "model", "raw_tokens", "compressed_tokens")
-    cols = list(RUN_COLUMNS) + (["norm_text"] if keep_text else [])
+    cols = list(RUN_COLUMNS) + (["norm_text"] if keep_text else []) + list(passthrough)
     if not keep_text:
         cols.remove("compressed")
     return df.select(*cols)

@@ -372,12 +372,12 @@ def distinct_content(spark, sf_dir):
         F.first("doc_type").alias("doc_type"),
         F.first("file_size_bytes").alias("file_size_bytes"),
     ).withColumnRenamed("rep_key", "doc_key")
-    runs = run_pipeline(reps.drop("copies"), keep_text=False).select(
-        "fingerprint", "strategy", "compressed_tokens", "benchmark_strategy"
+    runs = run_pipeline(reps, keep_text=False, passthrough=("copies",)).select(
+        "fingerprint", "copies", "strategy", "compressed_tokens", "benchmark_strategy"
     )
-    counts = reps.select("fingerprint", "copies")
-    # AQE splits a skewed fingerprint partition on the copies side
-    out = copies.join(counts, "fingerprint").join(runs, "fingerprint")
+    # AQE splits a skewed fingerprint partition on the copies side, so one
+    # heavily copied text does not land in a single task
+    out = copies.join(runs, "fingerprint")
     return out.select(
         F.col("doc_key").cast("bigint").alias("doc_id"), "fingerprint", "copies",
         "strategy", "compressed_tokens", "benchmark_strategy",
