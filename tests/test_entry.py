@@ -12,4 +12,4 @@ def test_every_query_has_oracle_and_runs(spark, sf):
     assert set(sql) <= set(qs)
     for name, fn in qs.items():
         df = fn(spark, sf)
-        assert df.limit(1).count() >= 0, name
+        df.write.format("noop").mode("overwrite").save()  # whole query, no row cap

@@ -154,3 +154,27 @@ def test_summarizer_single_pass_and_fallback_equivalence(spark, sf):
     fb = optimize(d, "norm_text", summarizer=broken, chunk_size=100).select(*key)
     plain = optimize(d, "norm_text", chunk_size=100).select(*key)
     assert sorted(fb.collect()) == sorted(plain.collect())
+
+
+def test_summary_cache_calls_model_once(spark, sf):
+    from tokenloom.functions.detect import calculate_target
+    from tokenloom.functions.text import estimate_tokens
+    from tokenloom.operators.summary_cache import cached_summaries, new_cache_path
+
+    calls = spark.sparkContext.accumulator(0)
+
+    def lead(req):
+        calls.add(len(req))
+        return req["prompt"].str[-60:]
+
+    d = spark.read.parquet(f"{sf}/documents.parquet").select(
+        F.col("doc_id"), F.col("text").alias("norm_text"))
+    d = d.withColumn("content_type", F.lit("document")).withColumn(
+        "target_tokens", calculate_target(estimate_tokens("norm_text")))
+    path = new_cache_path(spark)
+    first = {r.doc_id: r.summary for r in cached_summaries(d, lead, path).collect()}
+    n_first = calls.value
+    assert 0 < n_first <= d.count()  # each distinct request once, not per pushed-down copy
+    again = {r.doc_id: r.summary for r in cached_summaries(d, lead, path).collect()}
+    assert first == again and all(v is not None for v in first.values())
+    assert calls.value == n_first  # second pass answered from the cache

@@ -90,7 +90,9 @@ def summarizer_udf(fn: Callable):
                 pass
         return out
 
-    return run
+    # a model call is not deterministic; marking it so also stops Catalyst
+    # from copying the call into pushed-down filters (it would run twice)
+    return run.asNondeterministic()
 
 
 def summarizer_many_udf(fn: Callable):
@@ -121,7 +123,7 @@ def summarizer_many_udf(fn: Callable):
             out[i].append(v)
         return pd.Series(out, index=req.index, dtype="object")
 
-    return run
+    return run.asNondeterministic()
 
 
 def _request(cond: Column, text: Column, target: Column, ctype: Column) -> Column:
