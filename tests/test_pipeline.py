@@ -178,3 +178,16 @@ def test_summary_cache_calls_model_once(spark, sf):
     again = {r.doc_id: r.summary for r in cached_summaries(d, lead, path).collect()}
     assert first == again and all(v is not None for v in first.values())
     assert calls.value == n_first  # second pass answered from the cache
+
+
+def test_salted_join_back_equals_plain_join(spark):
+    from tokenloom.operators.runs import attach_to_copies
+
+    copies = spark.createDataFrame(
+        [(f"d{i}", "hot" if i % 3 else f"k{i}") for i in range(300)], "doc_key string, fingerprint string")
+    results = copies.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("copies")).withColumn(
+        "v", F.length("fingerprint"))
+    plain = copies.join(results, "fingerprint")
+    for threshold in (1, 10, 10_000):  # all hot, some hot, none hot
+        salted = attach_to_copies(copies, results, hot_threshold=threshold, salts=8)
+        assert sorted(salted.select(*plain.columns).collect()) == sorted(plain.collect())

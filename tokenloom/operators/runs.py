@@ -163,3 +163,33 @@ def compare_runs(a: DataFrame, b: DataFrame, keys: Sequence[str], fields: Sequen
         *[F.col(f"a_{f}") for f in fields],
         *[F.col(f"b_{f}") for f in fields],
     )
+
+
+def attach_to_copies(copies: DataFrame, results: DataFrame, key: str = "fingerprint",
+                     count_col: str = "copies", hot_threshold: int = 100_000,
+                     salts: int = 64, row_key: str = "doc_key") -> DataFrame:
+    """Join per-distinct results back to every copy without a hot task.
+
+    `results` has one row per `key` and its copy count.  Keys with more than
+    `hot_threshold` copies are hot: there are at most N / hot_threshold of
+    them, so their key list has a proven size bound and is broadcast.  A hot
+    key's result row is replicated over `salts` salt values and its copies
+    are spread over those salts by a hash of the row key; every other key
+    joins on salt 0 as usual.  The result equals the plain join.
+    """
+    hot = results.filter(F.col(count_col) > hot_threshold).select(
+        F.col(key).alias("_hk"), F.lit(True).alias("_hot")
+    )
+    c = copies.join(F.broadcast(hot), copies[key] == hot["_hk"], "left").drop("_hk")
+    c = c.withColumn(
+        "_salt",
+        F.when(F.col("_hot"), F.pmod(F.xxhash64(F.col(row_key)), F.lit(salts))).otherwise(F.lit(0)).cast("int"),
+    ).drop("_hot")
+    r = results.withColumn(
+        "_salt",
+        F.explode(
+            F.when(F.col(count_col) > hot_threshold, F.sequence(F.lit(0), F.lit(salts - 1)))
+            .otherwise(F.array(F.lit(0)))
+        ),
+    )
+    return c.join(r, [key, "_salt"]).drop("_salt")

@@ -27,7 +27,14 @@ from ..functions.numeric import estimate_cost, price_lookup, py_round
 from ..functions.text import estimate_tokens, normalize_lines, split_sentences
 from ..operators.metrics import benchmark, cost_analysis, count_and_cost
 from ..operators.optimize import optimize, prepare
-from ..operators.runs import compare_runs, corpus_rollup, fingerprint_expr, run_id_expr, stage_report
+from ..operators.runs import (
+    attach_to_copies,
+    compare_runs,
+    corpus_rollup,
+    fingerprint_expr,
+    run_id_expr,
+    stage_report,
+)
 from ..operators.summarize import max_tokens_expr, prompt_expr
 from ..sources.files import decode_text
 from ..sources.tables import conversations_corpus, documents_corpus, pages_corpus, spread, table
@@ -54,6 +61,8 @@ HEADER_VARIANTS = (
     "<html><div>https://x\n",
 )
 CHUNK_SIZE_SMALL = 100
+# copies above which a fingerprint's join back is salted
+HOT_COPIES = 100_000
 CHUNK_SIZE_HIER = 300
 BENCH_RATIOS = (0.3, 0.6, 0.9, 0.95)
 SWEEP_CONFIGS = (
@@ -375,9 +384,9 @@ def distinct_content(spark, sf_dir):
     runs = run_pipeline(reps, keep_text=False, passthrough=("copies",)).select(
         "fingerprint", "copies", "strategy", "compressed_tokens", "benchmark_strategy"
     )
-    # AQE splits a skewed fingerprint partition on the copies side, so one
-    # heavily copied text does not land in a single task
-    out = copies.join(runs, "fingerprint")
+    # hot fingerprints (many copies) are salted so that one heavily copied
+    # text never puts a third of the corpus into one join task
+    out = attach_to_copies(copies, runs, "fingerprint", "copies", HOT_COPIES, 64)
     return out.select(
         F.col("doc_key").cast("bigint").alias("doc_id"), "fingerprint", "copies",
         "strategy", "compressed_tokens", "benchmark_strategy",
