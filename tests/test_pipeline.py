@@ -191,3 +191,34 @@ def test_salted_join_back_equals_plain_join(spark):
     for threshold in (1, 10, 10_000):  # all hot, some hot, none hot
         salted = attach_to_copies(copies, results, hot_threshold=threshold, salts=8)
         assert sorted(salted.select(*plain.columns).collect()) == sorted(plain.collect())
+
+
+def test_edge_rows_against_model(spark):
+    def text_of(tokens):  # exactly `tokens` tokens after normalization
+        body = ("Word " * (tokens * 4))[: tokens * 4 - 1] + "."
+        return body
+
+    texts = [text_of(t) for t in (500, 501, 2000, 2001, 8000, 8001)]
+    texts += ["", "a", "abc", "Start. " + "x" * 9000 + ". End.", "Stop.   \n  ", " 　 pad \x1c\n\n\tline\r\n"]
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "doc_key string, raw_text string")
+    df = df.withColumn("content", F.encode("raw_text", "UTF-8")).withColumn(
+        "file_size_bytes", F.octet_length("raw_text").cast("bigint")).withColumn(
+        "file_path", F.col("doc_key")).withColumn("filename", F.lit(None).cast("string")).withColumn(
+        "doc_type", F.lit("document"))
+    rows = {r.doc_key: r for r in run_pipeline(df).collect()}
+    want_strategy = ["none", "truncate", "truncate", "extractive", "extractive", "abstractive"]
+    for i, t in enumerate(texts):
+        r = rows[str(i)]
+        n = pymodel.norm(t)
+        tok = pymodel.tokens(n)
+        assert r.raw_tokens == tok
+        target = min(int(tok * 0.3), 2000)
+        strat = ("none" if tok <= 500 else "truncate" if tok <= 2000 else
+                 "extractive" if tok <= 8000 else "abstractive")
+        if i < 6:
+            assert strat == want_strategy[i]
+        assert r.strategy == strat
+        want = (n if strat == "none" else pymodel.truncate(n, target) if strat == "truncate"
+                else pymodel.extractive(n, target, r.content_type))
+        assert r.compressed == want, i
+        assert r.compression_ratio == (1 - pymodel.tokens(want) / tok if tok > 0 else 0)
