@@ -50,10 +50,13 @@ def compress_truncate(content, target_tokens) -> Column:
     )
 
 
-def sentence_score(s: Column, i: Column, n: Column, content_type) -> Column:
-    """Position + length + content-type keyword score of sentence i of n."""
+def sentence_score(s: Column, i: Column, n: Column, content_type, low: Column | None = None) -> Column:
+    """Position + length + content-type keyword score of sentence i of n.
+
+    `low` is the lowered sentence when already computed (inside a lambda an
+    expression is re-evaluated at every use, so callers pass it in)."""
     ln = F.length(s)
-    low = F.lower(s)
+    low = F.lower(s) if low is None else low
     position = F.when(i < 3, 3 - i).otherwise(0) + F.when(i >= n - 2, 1).otherwise(0)
     length_pen = F.when(ln < 20, -2).when(ln > 200, -1).otherwise(0)
 
@@ -93,12 +96,12 @@ def scored_sentences(sentences: Column, content_type) -> Column:
     n = F.size(sentences)
     pairs = F.zip_with(
         sentences, F.sequence(n - 1, F.lit(0), F.lit(-1)),
-        lambda s, r: F.struct(s.alias("s"), r.alias("r")),
+        lambda s, r: F.struct(s.alias("s"), r.alias("r"), F.lower(s).alias("low")),
     )
     return F.transform(
         pairs,
         lambda x, i: F.struct(
-            (-sentence_score(x["s"], i, i + x["r"] + 1, content_type)).alias("neg_score"),
+            (-sentence_score(x["s"], i, i + x["r"] + 1, content_type, x["low"])).alias("neg_score"),
             i.alias("idx"),
             estimate_tokens(x["s"]).alias("tok"),
             x["s"].alias("s"),
@@ -126,7 +129,8 @@ def select_within_budget(scored: Column, target_tokens) -> Column:
         return F.when(fits, taken).otherwise(acc)
 
     picked = F.aggregate(ordered, init, step)["picked"]
-    return F.array_sort(picked, lambda a, b: a["idx"] - b["idx"])
+    # natural struct order with idx first (unique) -- no comparator lambda
+    return F.array_sort(F.transform(picked, lambda x: F.struct(x["idx"].alias("idx"), x["s"].alias("s"))))
 
 
 @memo_column
