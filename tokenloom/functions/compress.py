@@ -111,8 +111,15 @@ def scored_sentences(sentences: Column, content_type) -> Column:
 
 def select_within_budget(scored: Column, target_tokens) -> Column:
     """Greedy by (-score, idx), skip-and-continue.  Returns the picked
-    scored structs in original sentence order."""
-    ordered = F.array_sort(scored)
+    sentences as STRUCT<idx, s> in original order.
+
+    A sentence of 0 tokens always fits (the running total never exceeds the
+    budget), whatever its rank, so those are taken outside the fold.  The
+    fold then appends at most `budget` times, which keeps a junk text of
+    thousands of tiny sentences linear instead of quadratic.
+    """
+    free = F.filter(scored, lambda x: x["tok"] == 0)
+    ordered = F.array_sort(F.filter(scored, lambda x: x["tok"] > 0))
     init = F.struct(
         F.lit(0).cast("bigint").alias("used"),
         lit_(target_tokens).cast("bigint").alias("budget"),
@@ -128,12 +135,11 @@ def select_within_budget(scored: Column, target_tokens) -> Column:
         )
         return F.when(fits, taken).otherwise(acc)
 
-    picked = F.aggregate(ordered, init, step)["picked"]
+    picked = F.concat(F.aggregate(ordered, init, step)["picked"], free)
     # natural struct order with idx first (unique) -- no comparator lambda
     return F.array_sort(F.transform(picked, lambda x: F.struct(x["idx"].alias("idx"), x["s"].alias("s"))))
 
 
-@memo_column
 def compress_extractive(content, target_tokens, content_type) -> Column:
     sentences = split_sentences(col_(content))
     picked = select_within_budget(scored_sentences(sentences, content_type), target_tokens)
