@@ -105,3 +105,14 @@ def test_whitespace_class_is_python_isspace(spark):
     df = spark.createDataFrame([(c,) for c in chars], "c string")
     got = {r.c for r in df.filter(F.col("c").rlike("^" + WS_CLASS + "$")).collect()}
     assert got == {c for c in chars if c.isspace()}
+
+
+def test_junk_shapes_stay_exact(spark):
+    """Thousands of 0-token sentences / empty paragraphs (linear paths)."""
+    tiny = "a. " * 6000 + "A real sentence that is long enough. " * 20
+    blank = "\n\n" * 6000 + "word " * 900 + "\n\n" + ("p" * 50 + "\n\n") * 3000
+    df = spark.createDataFrame([(tiny, blank)], "a string, b string")
+    r = df.select(compress_extractive(F.col("a"), F.lit(120), F.lit("document")).alias("x"),
+                  pack_chunks(F.col("b"), F.lit(100)).alias("c")).first()
+    assert r.x == pymodel.extractive(tiny, 120, "document")
+    assert list(r.c) == pymodel.chunks(blank, 100)

@@ -146,50 +146,56 @@ def compress_extractive(content, target_tokens, content_type) -> Column:
     return F.array_join(F.transform(picked, lambda x: x["s"]), C.EXTRACT_JOINER)
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate `value` once and bind it for `body` (a one-element transform):
+    inside a lambda, an outer expression would be re-evaluated at each use."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 @memo_column
 def pack_chunks(content, chunk_size) -> Column:
     """Greedy packing of '\\n\\n' paragraphs into <= chunk_size-token chunks.
 
     A chunk closes when adding the next paragraph would exceed chunk_size
     tokens and the chunk is non-empty; the first paragraph always opens
-    chunk 0, so an oversized paragraph stands alone.  The fold carries the
-    open chunk's paragraphs and the closed chunks' texts.
+    chunk 0, so an oversized paragraph stands alone.  The fold keeps only
+    scalars and the list of chunk starts (appended once per chunk), so many
+    empty paragraphs cost linear time; chunk texts are sliced at the end.
     """
-    paragraphs = split_paragraphs(col_(content))
-    init = F.struct(
-        lit_(chunk_size).cast("bigint").alias("limit"),
-        F.lit(0).cast("bigint").alias("cur"),
-        F.array().cast("array<string>").alias("open"),
-        F.array().cast("array<string>").alias("done"),
-    )
 
-    def step(acc, p):
-        tok = estimate_tokens(p)
-        close = (acc["cur"] + tok > acc["limit"]) & (F.size(acc["open"]) > 0)
-        return F.when(
-            close,
-            F.struct(
-                acc["limit"].alias("limit"),
-                tok.alias("cur"),
-                F.array(p).alias("open"),
-                F.array_append(acc["done"], F.array_join(acc["open"], "\n\n")).alias("done"),
-            ),
-        ).otherwise(
-            F.struct(
-                acc["limit"].alias("limit"),
-                (acc["cur"] + tok).alias("cur"),
-                F.array_append(acc["open"], p).alias("open"),
-                acc["done"].alias("done"),
-            )
+    def build(paras: Column) -> Column:
+        init = F.struct(
+            lit_(chunk_size).cast("bigint").alias("limit"),
+            F.lit(0).cast("bigint").alias("cur"),
+            F.lit(0).alias("i"),
+            F.array().cast("array<int>").alias("starts"),
         )
 
-    def finish(acc):
-        return F.when(
-            F.size(acc["open"]) > 0,
-            F.array_append(acc["done"], F.array_join(acc["open"], "\n\n")),
-        ).otherwise(acc["done"])
+        def step(acc, p):
+            tok = estimate_tokens(p)
+            close = (acc["cur"] + tok > acc["limit"]) & (acc["i"] > 0)
+            return F.when(
+                close,
+                F.struct(acc["limit"].alias("limit"), tok.alias("cur"), (acc["i"] + 1).alias("i"),
+                         F.array_append(acc["starts"], acc["i"]).alias("starts")),
+            ).otherwise(
+                F.struct(acc["limit"].alias("limit"), (acc["cur"] + tok).alias("cur"),
+                         (acc["i"] + 1).alias("i"), acc["starts"].alias("starts"))
+            )
+
+        starts = F.aggregate(paras, init, step)["starts"]
+        bounds = F.concat(F.array(F.lit(0)), starts, F.array(F.size(paras)))
+        return let(
+            bounds,
+            lambda b: F.transform(
+                F.slice(b, 1, F.size(b) - 1),
+                lambda lo, k: F.array_join(
+                    F.slice(paras, lo + 1, F.element_at(b, k + 2) - lo), "\n\n"
+                ),
+            ),
+        )
 
-    return F.aggregate(paragraphs, init, step, finish)
+    return let(split_paragraphs(col_(content)), build)
 
 
 def label_sections(summaries: Column) -> Column:
