@@ -2,9 +2,9 @@
 
 The per-document operators are narrow, so the whole run pipeline applies to
 a streaming `binaryFile` source unchanged.  Each micro-batch is written with
-`foreachBatch` as run artifacts; writes are keyed by run minute / model
-partitions and the checkpoint records processed files, so a restarted query
-(or a lost executor) neither skips nor duplicates documents.
+`foreachBatch` into its own `epoch=<id>` folder (overwritten if the epoch
+is replayed) and the checkpoint records processed files, so a restarted
+query (or a lost executor) neither skips nor duplicates documents.
 """
 
 from __future__ import annotations
@@ -45,9 +45,10 @@ def start_ingest(spark: SparkSession, src: str, out: str, checkpoint: str,
     runs = run_pipeline(stream_files(spark, src, glob), model=model, run_ts=run_ts, keep_text=False)
 
     def sink(batch: DataFrame, epoch_id: int) -> None:
-        # idempotent per epoch: the batch's files map to fixed partitions
-        (batch.write.mode("append").partitionBy("model").format(fmt)
-         .save(out))
+        # a replayed epoch (after a failure) rewrites its own folder instead
+        # of appending a second copy: exactly-once output per epoch
+        (batch.write.mode("overwrite").partitionBy("model").format(fmt)
+         .save(f"{out.rstrip('/')}/epoch={epoch_id}"))
 
     w = runs.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger_once else w.trigger(processingTime="30 seconds")
