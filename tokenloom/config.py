@@ -98,9 +98,6 @@ DEFAULT_MODEL = "gpt-4o-mini"
 DEFAULT_DOC_TYPE = "document"
 
 ACCEPT_ACCURACY = 0.90
-# Python rounds accuracy to 3 places and compares with 0.90; deciding on the
-# unrounded value with this bound gives the same answer (see README).
-ACCEPT_ACCURACY_UNROUNDED = 0.8995
 
 STAGE_NAMES = ("Intake", "Parse", "Normalize", "Optimize", "Cost Analysis", "Benchmark")
 RUN_HASH_HEX = 6

@@ -190,19 +190,12 @@ def _forced_type(d):
 
 def sentence_scores(spark, sf_dir):
     """Row form of the sentence table: one row per sentence with its score."""
+    from ..operators.sentences import sentence_table
+
     d = _forced_type(_docs(spark, sf_dir))
-    d = d.withColumn("sents", split_sentences("norm_text"))
-    d = d.withColumn("scored", scored_sentences(F.col("sents"), F.col("content_type")))
-    return d.select(
-        "doc_id", "content_type",
-        F.inline_outer(F.arrays_zip(F.col("scored").alias("sc"), F.col("sents").alias("s"))),
-    ).select(
-        "doc_id", "content_type",
-        F.col("sc.idx").alias("idx"),
-        (-F.col("sc.neg_score")).alias("score"),
-        F.col("sc.tok").alias("tok"),
-        F.length("s").alias("sent_chars"),
-    )
+    t = sentence_table(d, "norm_text", "content_type", ["doc_id"])
+    return t.select("doc_id", "content_type", "idx", "score", "tok",
+                    F.length("sentence").alias("sent_chars"))
 
 
 def extractive_documents(spark, sf_dir):
