@@ -16,17 +16,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def spread(df: DataFrame, min_partitions: int | None = None, keys: list[str] | None = None) -> DataFrame:
     """Spread a scan that came back as too few partitions over the cores.
 
     Small single-row-group files yield one scan task, which would serialise
-    all per-document work.  Only then is a round-robin repartition added; a
-    large scan already has enough splits and is left as it is (no shuffle).
+    all per-document work.  Only then is a repartition added (round-robin,
+    or by a unique key when given: deterministic, so a plan that uses the
+    same spread corpus twice shares one exchange); a large scan already has
+    enough splits and is left as it is (no shuffle).
     """
     spark = df.sparkSession
     want = min_partitions or spark.sparkContext.defaultParallelism
     have = df.rdd.getNumPartitions()
-    return df.repartition(want) if have < want else df
+    if have >= want:
+        return df
+    return df.repartition(want, *keys) if keys else df.repartition(want)
 
 
 def _corpus(df: DataFrame, key, path, filename, text, doc_type: str) -> DataFrame:
