@@ -20,7 +20,7 @@ from ..functions.compress import (
 )
 from ..functions.detect import calculate_target, detect_content_type, select_strategy
 from ..functions.numeric import cost_saved_config, safe_ratio_loss
-from ..functions.text import col_, estimate_tokens, lit_, normalize_lines
+from ..functions.text import estimate_tokens, lit_, normalize_lines
 
 
 def normalize(df: DataFrame, text_col: str = "raw_text", out: str = "norm_text") -> DataFrame:

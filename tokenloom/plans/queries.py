@@ -8,12 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.compress import (
-    compress_extractive,
-    compress_truncate,
-    pack_chunks,
-    scored_sentences,
-)
+from ..functions.compress import compress_extractive, compress_truncate, pack_chunks
 from ..functions.detect import (
     calculate_target,
     detect_content_type,
@@ -24,8 +19,8 @@ from ..functions.detect import (
     type_from_signals,
 )
 from ..functions.numeric import estimate_cost, price_lookup, py_round
-from ..functions.text import estimate_tokens, normalize_lines, split_sentences
-from ..operators.metrics import benchmark, cost_analysis, count_and_cost
+from ..functions.text import estimate_tokens, normalize_lines
+from ..operators.metrics import benchmark, count_and_cost
 from ..operators.optimize import optimize, prepare
 from ..operators.runs import (
     attach_to_copies,
