@@ -47,10 +47,16 @@ def _corpus(df: DataFrame, key, path, filename, text, doc_type: str) -> DataFram
 
 
 def documents_corpus(
-    spark: SparkSession, sf_dir: str, doc_type: str = C.DEFAULT_DOC_TYPE, with_content=True
+    spark: SparkSession, sf_dir: str, doc_type: str = C.DEFAULT_DOC_TYPE, with_content=True,
+    spread_keys: list[str] | None = None, spread_scan: bool = True,
 ) -> DataFrame:
-    """`documents.text`; no file name, so the type comes from the signals."""
-    d = table(spark, sf_dir, "documents")
+    """`documents.text`; no file name, so the type comes from the signals.
+
+    The scan is spread (when needed) before the corpus columns are derived,
+    so a shuffle carries the text once, not the text and its bytes.
+    """
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = spread(d, keys=spread_keys) if spread_scan else d
     out = _corpus(
         d,
         F.col("doc_id"),
@@ -64,7 +70,7 @@ def documents_corpus(
 
 def pages_corpus(spark: SparkSession, sf_dir: str, doc_type: str = "web_page") -> DataFrame:
     """`pages.html` with the url as file name (the name rules apply to it)."""
-    p = table(spark, sf_dir, "pages")
+    p = spread(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return _corpus(p, F.col("page_id"), F.col("url"), F.col("url"), F.col("html"), doc_type)
 
 
