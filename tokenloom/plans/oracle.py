@@ -468,12 +468,13 @@ def _distinct_content():
 
 
 def _model_sweep():
-    rows = ", ".join(f"({q(k)}, {a!r}::DOUBLE)" for k, a, _ in C.MODEL_PRICES)
+    items = ", ".join(f"{{'model': {q(k)}, 'pin': {a!r}::DOUBLE}}" for k, a, _ in C.MODEL_PRICES)
     return with_(_doc_run() + [
-        f"mp(model, pin) AS (VALUES {rows})",
-        "x AS (SELECT r_res.doc_id, mp.model, r_res.raw_tokens, r_res.compressed_tokens, "
-        "(r_res.raw_tokens / 1000) * mp.pin + (0 / 1000) * 0.0::DOUBLE AS cost_raw, "
-        "(r_res.compressed_tokens / 1000) * mp.pin + (0 / 1000) * 0.0::DOUBLE AS cost_optimized FROM r_res, mp)",
+        # one row per (document, model) by unnesting the literal price list
+        f"xm AS (SELECT doc_id, raw_tokens, compressed_tokens, unnest([{items}]) AS mp FROM r_res)",
+        "x AS (SELECT doc_id, mp.model AS model, raw_tokens, compressed_tokens, "
+        "(raw_tokens / 1000) * mp.pin + (0 / 1000) * 0.0::DOUBLE AS cost_raw, "
+        "(compressed_tokens / 1000) * mp.pin + (0 / 1000) * 0.0::DOUBLE AS cost_optimized FROM xm)",
         "y AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY cost_optimized, model) AS rk FROM x)"],
         """SELECT doc_id, model, raw_tokens, compressed_tokens, cost_raw, cost_optimized,
         cost_raw - cost_optimized AS cost_saved, rk = 1 AS is_cheapest FROM y""")
@@ -481,16 +482,20 @@ def _model_sweep():
 
 def _config_sweep():
     ctes = [DOCS, DOCS2, f"b AS (SELECT doc_id, norm_text, raw_tokens, {type_from_signals('norm_text')} AS content_type FROM docs2)"]
-    cfg_rows = ", ".join(
-        f"({i}, {q(n)}, {c.no_compress_threshold}, {c.truncate_threshold}, {c.extractive_threshold}, "
-        f"{c.target_ratio!r}::DOUBLE, {c.max_output_tokens})"
+    cfg_items = ", ".join(
+        f"{{'ord': {i}, 'config_name': {q(n)}, 'lo': {c.no_compress_threshold}, 'mid': {c.truncate_threshold}, "
+        f"'hi': {c.extractive_threshold}, 'ratio': {c.target_ratio!r}::DOUBLE, 'max_out': {c.max_output_tokens}}}"
         for i, (n, c) in enumerate(Q.SWEEP_CONFIGS)
     )
     pin = dict((k, a) for k, a, _ in C.MODEL_PRICES)[C.DEFAULT_MODEL]
     ctes += [
-        f"cfg(ord, config_name, lo, mid, hi, ratio, max_out) AS (VALUES {cfg_rows})",
-        f"bc AS (SELECT b.*, cfg.ord, cfg.config_name, {strategy('raw_tokens', 'lo', 'mid', 'hi')} AS strategy, "
-        f"{target('raw_tokens', 'ratio', 'max_out')} AS target_tokens FROM b, cfg)",
+        # one row per (document, configuration) by unnesting the literal list
+        f"bu AS (SELECT b.*, unnest([{cfg_items}]) AS cfg FROM b)",
+        "bv AS (SELECT doc_id, norm_text, raw_tokens, content_type, cfg.ord AS ord, cfg.config_name AS config_name, "
+        "cfg.lo AS lo, cfg.mid AS mid, cfg.hi AS hi, cfg.ratio AS ratio, cfg.max_out AS max_out FROM bu)",
+        f"bc AS (SELECT doc_id, norm_text, raw_tokens, content_type, ord, config_name, "
+        f"{strategy('raw_tokens', 'lo', 'mid', 'hi')} AS strategy, "
+        f"{target('raw_tokens', 'ratio', 'max_out')} AS target_tokens FROM bv)",
         "bx AS (SELECT * FROM bc WHERE strategy IN ('extractive', 'abstractive'))",
     ]
     ctes += extractive_ctes("e", "bx", ["doc_id", "ord"], "norm_text", "target_tokens", "content_type")
