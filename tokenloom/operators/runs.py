@@ -170,15 +170,19 @@ def attach_to_copies(copies: DataFrame, results: DataFrame, key: str = "fingerpr
                      salts: int = 64, row_key: str = "doc_key") -> DataFrame:
     """Join per-distinct results back to every copy without a hot task.
 
-    `results` has one row per `key` and its copy count.  Keys with more than
-    `hot_threshold` copies are hot: there are at most N / hot_threshold of
-    them, so their key list has a proven size bound and is broadcast.  A hot
-    key's result row is replicated over `salts` salt values and its copies
-    are spread over those salts by a hash of the row key; every other key
-    joins on salt 0 as usual.  The result equals the plain join.
+    `results` has one row per `key` and its copy count; `copies` has one row
+    per copy (keep it small and materialized: it is read three times).  Keys
+    with more than `hot_threshold` copies are hot: there are at most
+    N / hot_threshold of them, so their key list has a proven size bound and
+    is broadcast.  A hot key's result row is replicated over `salts` salt
+    values and its copies are spread over those salts by a hash of the row
+    key; every other key joins on salt 0 as usual.  The result equals the
+    plain join.
     """
-    hot = results.filter(F.col(count_col) > hot_threshold).select(
-        F.col(key).alias("_hk"), F.lit(True).alias("_hot")
+    hot = (
+        copies.groupBy(F.col(key).alias("_hk")).count()
+        .filter(F.col("count") > hot_threshold)
+        .select("_hk", F.lit(True).alias("_hot"))
     )
     c = copies.join(F.broadcast(hot), copies[key] == hot["_hk"], "left").drop("_hk")
     c = c.withColumn(

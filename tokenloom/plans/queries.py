@@ -356,7 +356,13 @@ def distinct_content(spark, sf_dir):
     """OP32: run each distinct (content, model) once, attach to every copy."""
     corpus = spread(documents_corpus(spark, sf_dir)).withColumn("model", F.lit(C.DEFAULT_MODEL))
     corpus = corpus.withColumn("fingerprint", fingerprint_expr(F.col("content"), F.col("model")))
-    copies = corpus.select("doc_key", "fingerprint")
+    # the (doc_key, fingerprint) list is small next to the texts and is read
+    # three times below, so it is materialized once in the shared checkpoint
+    # folder (reliable checkpoint, survives a lost executor)
+    from ..session import checkpoint_dir
+
+    checkpoint_dir(spark)
+    copies = corpus.select("doc_key", "fingerprint").checkpoint()
     # one representative per fingerprint; partial aggregation map-side keeps a
     # hot (heavily copied) fingerprint from landing in one task unreduced
     reps = corpus.groupBy("fingerprint").agg(
