@@ -222,3 +222,15 @@ def test_edge_rows_against_model(spark):
                 else pymodel.extractive(n, target, r.content_type))
         assert r.compressed == want, i
         assert r.compression_ratio == (1 - pymodel.tokens(want) / tok if tok > 0 else 0)
+
+
+def test_cli_writes_artifacts(spark, tmp_path):
+    from tokenloom.__main__ import main
+
+    f = tmp_path / "note.txt"
+    f.write_text("Hello there. A short note.\n")
+    out = tmp_path / "out"
+    assert main([str(f), "--out", str(out), "--run-ts", "2026-01-01 00:00:00"]) == 0
+    rows = spark.read.json(str(out)).collect()
+    assert len(rows) == 1 and rows[0].run_id.startswith("20260101_0000-")
+    assert main([str(tmp_path / "missing.txt")]) == 1
