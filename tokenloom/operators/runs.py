@@ -80,6 +80,8 @@ def run_summary(runs: DataFrame) -> DataFrame:
         *[
             F.struct(
                 F.lit(name).alias("stage_name"),
+                # stages are fused into one Spark stage: no per-stage timer
+                F.lit(None).cast("double").alias("duration_ms"),
                 F.map_from_arrays(
                     F.array(*[F.lit(m) for n, s, m, _, _ in STAGE_METRICS if s == name]),
                     F.array(
