@@ -18,13 +18,10 @@ def write_artifacts(runs: DataFrame, path: str, fmt: str = "json") -> DataFrame:
     directories are replaced atomically per (run_minute, model).
     """
     out = run_summary(runs).withColumn("run_minute", F.split(F.col("run_id"), "-").getItem(0))
-    (
-        out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_minute", "model")
-        .format(fmt)
-        .save(path)
-    )
+    w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    if fmt == "json":
+        w = w.option("ignoreNullFields", "false")  # keep a stable record shape
+    w.partitionBy("run_minute", "model").format(fmt).save(path)
     return out
 
 
