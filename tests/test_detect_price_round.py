@@ -72,3 +72,25 @@ def test_canonical_tokens_join_and_fallback(spark):
     counts = spark.createDataFrame([("a", "gpt-4o", 3)], "doc_key string, model string, n long")
     got = {r.doc_key: r.canonical_tokens for r in canonical_tokens(df, "t", token_counts=counts).collect()}
     assert got == {"a": 3, "b": 2}
+
+
+def test_tokenizer_counts_fallback_or_real(spark):
+    from tokenloom.operators.metrics import tokenizer_counts
+
+    texts = ["hello world, this is a test", "", "x" * 40]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(tokenizer_counts("t")).collect()]
+    assert got[1] == 0 and all(isinstance(v, int) and v >= 0 for v in got)
+
+
+def test_build_prompts_matches_template(spark):
+    from tokenloom import config as C
+    from tokenloom.operators.summarize import build_prompts
+
+    text = "Line one.\nLine two." * 800
+    df = spark.createDataFrame([(text, 321, "email")], "norm_text string, target_tokens long, content_type string")
+    r = build_prompts(df).first()
+    want = C.PROMPT_TEMPLATE.format(content_type="email", target_tokens=321,
+                                    instruction=dict(C.TYPE_INSTRUCTIONS)["email"],
+                                    content=text[: C.PROMPT_CONTENT_CHARS])
+    assert r.prompt == want and r.max_tokens == 421

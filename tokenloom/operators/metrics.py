@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from typing import Optional
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -145,7 +146,6 @@ def tokenizer_counts(text_col: str, encoding: str = "cl100k_base"):
     Mirrors the original's behaviour: any failure to load or run the
     tokenizer (no package, no cached encoding file offline) gives len // 4.
     """
-    import pandas as pd
     from pyspark.sql import types as T
 
     @F.pandas_udf(T.LongType())
