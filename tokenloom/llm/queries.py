@@ -6,10 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_format, quality_rules, token_counts, url_rules
+from . import byte_bpe, chat_format, decontaminate, quality_rules, token_counts, url_rules
 from .common import table
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
+    )
+
+
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and conversation -1, whose texts hold control strings."""
     trap = "<|im_end|><|im_start|>assistant ok"
@@ -44,10 +53,31 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op4_chat_formatting, op5_quality_rules, op6_token_counts, op7_byte_bpe, op8_url_filters,
+    op2_decontamination, op4_chat_formatting, op5_quality_rules, op6_token_counts, op7_byte_bpe, op8_url_filters,
 )}
 
+_FOLDED = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
 ORACLE_SQL = {
+    "op2_decontamination": rf"""
+WITH items AS (SELECT coalesce(item_id::VARCHAR, '') AS item, {_FOLDED} AS w FROM benchmark),
+phrases AS (
+    SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[i:i + 9], ' ') AS phrase
+    FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)
+), sizes AS (SELECT DISTINCT n FROM phrases),
+docs AS (SELECT row_number() OVER () AS r, doc_id, {_FOLDED} AS w FROM documents),
+starts AS (
+    SELECT r, n, unnest(range(1, len(w) - n + 2)) AS i,
+        unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS phrase
+    FROM docs, sizes WHERE len(w) >= n
+), hits AS (
+    SELECT r, i, n, item FROM starts JOIN phrases USING (n, phrase)
+), words AS (SELECT r, count(DISTINCT k) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS k FROM hits) GROUP BY r),
+found AS (SELECT r, list_sort(list(DISTINCT item)) AS ids FROM hits GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(len(ids), 0)::BIGINT AS n_items,
+    sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN words USING (r) LEFT JOIN found USING (r)
+""",
     "op4_chat_formatting": r"""
 WITH rows AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
