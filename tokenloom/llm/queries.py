@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_format, decontaminate, quality_rules, token_counts, url_rules
+from . import byte_bpe, chat_format, decontaminate, jaccard_join, lm_score, quality_rules, token_counts, url_rules
 from .common import table
 
 
@@ -19,6 +19,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and conversation -1, whose texts hold control strings."""
     trap = "<|im_end|><|im_start|>assistant ok"
@@ -52,8 +56,12 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.lm_score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op2_decontamination, op4_chat_formatting, op5_quality_rules, op6_token_counts, op7_byte_bpe, op8_url_filters,
+    op2_decontamination, op3_jaccard_join, op4_chat_formatting, op5_quality_rules, op6_token_counts, op7_byte_bpe, op8_url_filters, op10_lm_scoring,
 )}
 
 _FOLDED = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -77,6 +85,25 @@ found AS (SELECT r, list_sort(list(DISTINCT item)) AS ids FROM hits GROUP BY r)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(len(ids), 0)::BIGINT AS n_items,
     sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN words USING (r) LEFT JOIN found USING (r)
+""",
+    "op3_jaccard_join": rf"""
+WITH RECURSIVE docs AS (SELECT doc_id, {_FOLDED} AS w FROM documents),
+sets AS (
+    SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS s
+    FROM docs WHERE len(w) > 0
+), classes AS (SELECT s, min(doc_id) AS c, count(*) AS size FROM sets GROUP BY s),
+grams AS (SELECT c, size, len(s) AS n, unnest(s) AS g FROM classes),
+links AS (
+    SELECT a.c AS a, b.c AS b, b.size AS size FROM grams a JOIN grams b ON a.g = b.g AND a.c <> b.c
+    GROUP BY a.c, b.c, a.n, b.n, b.size HAVING count(*) >= 0.8 * (a.n + b.n - count(*)) - 1e-9
+), reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+roots AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+counts AS (SELECT a, sum(size) AS n FROM links GROUP BY a)
+SELECT d.doc_id, coalesce(c, d.doc_id) AS class_id, coalesce(least(roots.b, c), c, d.doc_id) AS group_id,
+    (coalesce(counts.n, 0) + coalesce(size, 1) - 1)::BIGINT AS n_links
+FROM docs d LEFT JOIN sets USING (doc_id) LEFT JOIN classes ON classes.s = sets.s
+LEFT JOIN roots ON roots.a = c LEFT JOIN counts ON counts.a = c
 """,
     "op4_chat_formatting": r"""
 WITH rows AS (
