@@ -11,7 +11,7 @@ Scoring: tasks look up a block's distinct words and pairs, shard by shard, in
 the memory-mapped files.  P(w | u) = gain(u, w) + backoff(u) * P(w), and P(w) is
 the base model, (c + 0.1) / (N + 0.1 * (V + 1)).
 
-Words are 64-bit hashes, successors 48-bit ones; probabilities are quantised to
+Words are 64-bit hashes, successors 40-bit ones; probabilities are quantised to
 16 bits of their logarithm.
 
 Defined results: null text is empty; an empty text is the end token alone;
@@ -167,7 +167,7 @@ def train(docs: DataFrame, shard_bits: int | None = None) -> Model:
 
     text = docs.select(F.coalesce("text", F.lit("")).alias("text"))
     blocks = text.mapInArrow(count, "s int, w binary, n binary, c binary, k binary, i binary, p binary")
-    done = blocks.repartitionByRange(parts, "s").sortWithinPartitions("s").mapInArrow(build, "tokens long, distinct long, size long")
+    done = blocks.repartition(parts, "s").sortWithinPartitions("s").mapInArrow(build, "tokens long, distinct long, size long")
     total = done.agg(F.sum("tokens"), F.sum("distinct")).first()  # one row a shard, summed
     model.tokens, model.distinct = total[0] or 0, total[1] or 0
     return model

@@ -5,7 +5,7 @@ A shard is one file of arrays that a task maps into memory:
   counts     each word's training count
   backoff    weight of the unigram model after the word, quantised
   pointers   where each word's successors begin, Elias-Fano
-  successors for each word its successors' 48-bit ids, made monotone by the
+  successors for each word its successors' 40-bit ids, made monotone by the
              word's place, Elias-Fano
   gains      discounted bigram probabilities, quantised
 """
@@ -20,7 +20,7 @@ import numpy as np
 
 from .fm_index import Bits
 
-ID_BITS = 48
+ID_BITS = 40  # of a successor; 64 - ID_BITS are left for the context's place in its shard
 BINS, LOWEST = 65535, -12.0  # quantised log10 values lie in [LOWEST, 0]
 
 
@@ -126,6 +126,8 @@ class Shard:
     @staticmethod
     def build(words, counts, contexts, ids, pair_counts, start: int, bits: int, discount: float, least: int) -> list[np.ndarray]:
         """Arrays of a shard from its sorted words (counts 0: context only) and its sorted pairs (context, id)."""
+        if len(words) >> (64 - ID_BITS):
+            raise ValueError("too many words in a shard: use more shard bits")
         place = np.searchsorted(words, contexts)
         total = np.bincount(place, weights=pair_counts, minlength=len(words))
         stored = pair_counts >= least
