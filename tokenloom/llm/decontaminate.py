@@ -115,7 +115,7 @@ def _pass(docs: DataFrame, phrases: Phrases, id_col: str, window: int, clean: bo
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases, sizes = shared.value, shared.value.lengths.tolist()
         get = phrases.vocabulary.get
-        docs_: list[list] = []  # id, words, hits, text; all but the last are complete
+        docs_: list[list] = []  # id, words, hits, text, other columns; all but the last are complete
         pieces: list[tuple[int, int, np.ndarray]] = []  # document, first word, symbols
         held = 0
 
@@ -127,25 +127,26 @@ def _pass(docs: DataFrame, phrases: Phrases, id_col: str, window: int, clean: bo
             held = 0
 
         def rows() -> pa.RecordBatch:
-            spans = [merged_spans([(w, w + sizes[k]) for w, k in hits]) for _, _, hits, _ in docs_]
+            spans = [merged_spans([(w, w + sizes[k]) for w, k in hits]) for _, _, hits, *_ in docs_]
             columns = [
                 pa.array([d[0] for d in docs_], id_type),
                 pa.array([d[1] for d in docs_], pa.int64()),
                 pa.array([[{"start": a, "stop": b} for a, b in s] for s in spans], pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
-                pa.array([sorted({i for _, k in hits for i in phrases.items[k]}) for _, _, hits, _ in docs_], pa.list_(pa.string())),
+                pa.array([sorted({i for _, k in hits for i in phrases.items[k]}) for _, _, hits, *_ in docs_], pa.list_(pa.string())),
             ]
             names = [id_col, "n_words", "spans", "items"]
             if clean:
-                columns.append(pa.array([without_spans(t, s) if s else t for (_, _, _, t), s in zip(docs_, spans)], pa.string()))
-                names.append("clean_text")
+                columns.append(pa.array([without_spans(d[3], s) if s else d[3] for d, s in zip(docs_, spans)], pa.string()))
+                columns.append(pa.array([d[4] for d in docs_], rest_type))
+                names += ["text", "rest"]
             docs_.clear()
             return pa.RecordBatch.from_arrays(columns, names=names)
 
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc, text, rest in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 words = words_of(text)
                 symbols = np.fromiter(map(get, words, repeat(OTHER)), np.int32, len(words))
-                docs_.append([doc, len(words), set(), text if clean else None])
+                docs_.append([doc, len(words), set(), text if clean else None, rest])
                 for first in range(0, max(len(symbols), 1), SHARD_WORDS):
                     piece = symbols[first : first + SHARD_WORDS + window - 1]
                     pieces.append((len(docs_) - 1, first, piece))
@@ -160,24 +161,34 @@ def _pass(docs: DataFrame, phrases: Phrases, id_col: str, window: int, clean: bo
             yield rows()
 
     text = F.coalesce(F.col("text"), F.lit("")).alias("__text")
+    others = [c for c in docs.columns if c not in (id_col, "text")] if clean else []
+    rest = F.struct(*others) if others else F.lit(None).cast("int")
+    rows_in = docs.select(F.col(id_col).alias("__id"), text, rest.alias("rest"))
+    kind = rows_in.schema["rest"].dataType.simpleString()
+    rest_type = to_arrow_type(rows_in.schema["rest"].dataType)
     schema = f"`{id_col}` {dtype}, n_words long, spans array<struct<start:long,stop:long>>, items array<string>"
-    return docs.select(F.col(id_col).alias("__id"), text).mapInArrow(run, schema + (", clean_text string" if clean else ""))
+    if not clean:
+        return rows_in.mapInArrow(run, schema)
+    out = rows_in.mapInArrow(run, f"{schema}, text string, rest {kind}")
+    return out.select(*[F.col(f"rest.`{c}`").alias(c) if c in others else F.col(c) for c in docs.columns])
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, clean: bool = False, id_col: str = "doc_id") -> DataFrame:
-    """id_col, n_words, spans (merged word spans start, stop), items (ids that occur); clean: also clean_text,
-    the text without its spans (one pass only)."""
+    """id_col, n_words, spans (merged word spans start, stop), items (ids that occur).
+
+    clean: the documents themselves instead, their text without its spans (for a benchmark of one pass).
+    """
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.coalesce("text", F.lit("")).alias("text"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     passes = -(-size // MAX_ITEM_BYTES) or 1
+    if clean and passes > 1:
+        raise ValueError("a benchmark of several passes gives spans only")
     results = []
     for k in range(passes):
         part = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(passes)) == k) if passes > 1 else items
-        results.append(_pass(docs, Phrases([tuple(r) for r in part.collect()], window), id_col, window, clean and passes == 1))
+        results.append(_pass(docs, Phrases([tuple(r) for r in part.collect()], window), id_col, window, clean))
     if passes == 1:
         return results[0]
-    if clean:
-        raise ValueError("a benchmark of several passes gives spans only")
     out = results[0]
     for more in results[1:]:
         out = out.unionByName(more)

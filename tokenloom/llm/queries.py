@@ -6,10 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_format, decontaminate, jaccard_join, lm_score, quality_rules, token_counts, url_rules
+from . import byte_bpe, chat_format, decontaminate, jaccard_join, lm_score, quality_rules, suffix_dedup, token_counts, url_rules, weak_quality
 from .common import table
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_quality.weak_quality(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
@@ -56,12 +60,17 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.lm_score(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_decontamination, op3_jaccard_join, op4_chat_formatting, op5_quality_rules, op6_token_counts, op7_byte_bpe, op8_url_filters, op10_lm_scoring,
+    op1_quality_classifier, op2_decontamination, op3_jaccard_join, op4_chat_formatting, op5_quality_rules, op6_token_counts, op7_byte_bpe, op8_url_filters, op9_suffix_dedup, op10_lm_scoring,
 )}
 
 _FOLDED = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
