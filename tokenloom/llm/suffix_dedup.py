@@ -106,7 +106,8 @@ def _hasher() -> Hasher:
 
 
 def _slots(h: np.ndarray, bits: int) -> np.ndarray:
-    return (h >> np.uint64(64 - bits)).astype(np.int64)
+    """Slots spread evenly: anchors are least hashes, so the hash itself is not."""
+    return ((h * np.uint64(_BASE)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def _filter(texts: DataFrame, bits: int, parts: int, folder: str) -> None:
