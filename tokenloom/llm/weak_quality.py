@@ -112,7 +112,7 @@ class LabelModel:
 
     def __init__(self, counts: dict[str, int], rounds: int = ROUNDS):
         patterns = sorted(counts)
-        table = np.array([["01-".index(v) for v in p] for p in patterns], dtype=np.int64).reshape(len(patterns), -1)
+        table = np.array([["01-".index(v) for v in p] for p in patterns], dtype=np.int64).reshape(len(patterns), LABELLERS)
         weight = np.array([counts[p] for p in patterns], dtype=np.float64)
         ballots = np.array([[p.count("1"), p.count("0")] for p in patterns], dtype=np.float64).reshape(-1, 2)
         good = (ballots[:, 0] + 1) / (ballots.sum(axis=1) + 2)  # from the majority, which fixes what the classes mean
