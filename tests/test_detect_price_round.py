@@ -74,15 +74,6 @@ def test_canonical_tokens_join_and_fallback(spark):
     assert got == {"a": 3, "b": 2}
 
 
-def test_tokenizer_counts_fallback_or_real(spark):
-    from tokenloom.operators.metrics import tokenizer_counts
-
-    texts = ["hello world, this is a test", "", "x" * 40]
-    df = spark.createDataFrame([(t,) for t in texts], "t string")
-    got = [r[0] for r in df.select(tokenizer_counts("t")).collect()]
-    assert got[1] == 0 and all(isinstance(v, int) and v >= 0 for v in got)
-
-
 def test_build_prompts_matches_template(spark):
     from tokenloom import config as C
     from tokenloom.operators.summarize import build_prompts

@@ -19,7 +19,6 @@ from pyspark.sql import types as T
 
 CHARS_PER_TOKEN = 4
 
-CONTENT_TYPES = ("transcript", "document", "web_page", "code", "email", "chat", "unknown")
 STRATEGIES = ("none", "truncate", "extractive", "abstractive", "hierarchical")
 
 # filename rules, tested as substrings of the lowered name, in this order
@@ -52,9 +51,7 @@ PROMPT_CONTENT_CHARS = 12000
 SUMMARY_MAX_TOKENS = 2000
 SUMMARY_TOKEN_HEADROOM = 100
 SUMMARY_SYSTEM_PROMPT = "You are a precise summarizer. Be concise but preserve key information."
-SUMMARY_TEMPERATURE = 0.3
 HIERARCHY_RECOMPRESS_FACTOR = 1.2
-SECTION_LABEL = "[Section {i}]\n"
 
 # summarisation request text
 PROMPT_TEMPLATE = (
@@ -135,49 +132,8 @@ PRICE_SCHEMA = T.StructType(
     ]
 )
 
-INSTRUCTION_SCHEMA = T.StructType(
-    [
-        T.StructField("content_type", T.StringType(), False),
-        T.StructField("instruction", T.StringType(), False),
-    ]
-)
-
 
 def price_table(spark: SparkSession, prices=MODEL_PRICES) -> DataFrame:
     """Ten-row price dimension; `ordinal` keeps the partial-match order."""
     rows = [(i, k, float(a), float(b)) for i, (k, a, b) in enumerate(prices)]
     return spark.createDataFrame(rows, PRICE_SCHEMA)
-
-
-def instruction_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(TYPE_INSTRUCTIONS), INSTRUCTION_SCHEMA)
-
-
-def config_table(spark: SparkSession, configs: dict[str, OptimizerConfig]) -> DataFrame:
-    """A (small, driver-built) table of named configurations for sweeps."""
-    schema = T.StructType(
-        [T.StructField("config_name", T.StringType(), False)]
-        + [
-            T.StructField("no_compress_threshold", T.LongType(), False),
-            T.StructField("truncate_threshold", T.LongType(), False),
-            T.StructField("extractive_threshold", T.LongType(), False),
-            T.StructField("target_ratio", T.DoubleType(), False),
-            T.StructField("max_output_tokens", T.LongType(), False),
-            T.StructField("input_cost_per_1k", T.DoubleType(), False),
-            T.StructField("chunk_size", T.LongType(), False),
-        ]
-    )
-    rows = [
-        (
-            name,
-            c.no_compress_threshold,
-            c.truncate_threshold,
-            c.extractive_threshold,
-            float(c.target_ratio),
-            c.max_output_tokens,
-            float(c.input_cost_per_1k),
-            c.chunk_size,
-        )
-        for name, c in configs.items()
-    ]
-    return spark.createDataFrame(rows, schema)

@@ -14,8 +14,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .memo import memo_column
-
 from .. import config as C
 from .text import (
     col_,
@@ -31,7 +29,6 @@ from .text import (
 )
 
 
-@memo_column
 def compress_truncate(content, target_tokens) -> Column:
     """Cut at 4*target chars; back up to a paragraph (>70%) or sentence
     (>80%) end; strip; append the truncation marker."""
@@ -152,7 +149,6 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-@memo_column
 def pack_chunks(content, chunk_size) -> Column:
     """Greedy packing of '\\n\\n' paragraphs into <= chunk_size-token chunks.
 

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .memo import memo_column
-
 from .. import config as C
 from .text import col_, contains_any, count_contains, lit_, prefix
 
@@ -21,7 +19,6 @@ CHAT_NAME_RE = "^" + _WORD + "+:"  # `^\w+:` (no MULTILINE: text start only)
 CHAT_STAMP_RE = r"^\[" + _DIGIT + "{1,2}:" + _DIGIT + r"{2}\]"
 
 
-@memo_column
 def type_from_filename(filename) -> Column:
     """First-match substring rules on the lowered file name; NULL if none."""
     fn = F.lower(col_(filename))
@@ -48,7 +45,6 @@ def _b(cond: Column) -> Column:
     return F.when(cond, 1).otherwise(0)
 
 
-@memo_column
 def signal_scores(window: Column) -> Column:
     """STRUCT of the five signal counts over the lowered 2000-char window."""
     w = window
@@ -74,7 +70,6 @@ def signal_scores(window: Column) -> Column:
     )
 
 
-@memo_column
 def type_from_signals(scores: Column) -> Column:
     return (
         F.when(scores["transcript"] >= C.TRANSCRIPT_SIGNAL_MIN, F.lit("transcript"))
@@ -86,7 +81,6 @@ def type_from_signals(scores: Column) -> Column:
     )
 
 
-@memo_column
 def detect_content_type(text, filename=None, override=None) -> Column:
     """override, else filename rule, else signal thresholds, else 'document'."""
     parts = []
@@ -98,7 +92,6 @@ def detect_content_type(text, filename=None, override=None) -> Column:
     return F.coalesce(*parts) if len(parts) > 1 else parts[0]
 
 
-@memo_column
 def select_strategy(tokens, cfg: C.OptimizerConfig = C.DEFAULT_CONFIG, forced=None,
                     thresholds: tuple | None = None) -> Column:
     """Inclusive token bounds; `hierarchical` only when forced.
@@ -120,7 +113,6 @@ def select_strategy(tokens, cfg: C.OptimizerConfig = C.DEFAULT_CONFIG, forced=No
     return auto if forced is None else F.coalesce(lit_(forced), auto)
 
 
-@memo_column
 def calculate_target(tokens, target_ratio=0.3, max_output_tokens=2000) -> Column:
     """min(int(tokens * ratio), max_output) with a DOUBLE product truncated."""
     prod = (col_(tokens) * lit_(target_ratio).cast("double")).cast("bigint")

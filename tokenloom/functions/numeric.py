@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .memo import memo_column
-
 from .. import config as C
 from .text import col_, lit_
 
@@ -23,7 +21,6 @@ def _two_product_err(x: Column, c: float) -> tuple[Column, Column]:
     return p, err
 
 
-@memo_column
 def py_round(x, ndigits: int) -> Column:
     """Python's round(float, n): half-even on the exact binary value.
 
@@ -44,7 +41,6 @@ def py_round(x, ndigits: int) -> Column:
     return F.when(x.isNull(), F.lit(None).cast("double")).otherwise(k / F.lit(scale))
 
 
-@memo_column
 def price_lookup(model, prices=C.MODEL_PRICES, default=C.DEFAULT_PRICE_MODEL) -> Column:
     """Resolve a model name to STRUCT<model_key, input_per_1k, output_per_1k>.
 
@@ -87,7 +83,6 @@ def safe_ratio_loss(optimized, raw) -> Column:
     return F.when(r > 0, 1.0 - (o / r)).otherwise(F.lit(0.0))
 
 
-@memo_column
 def compression_pct(optimized, raw) -> Column:
     o, r = lit_(optimized), lit_(raw)
     return F.when(r > 0, py_round((1.0 - (o / r)) * 100.0, 1)).otherwise(F.lit(0.0))

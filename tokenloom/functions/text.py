@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .memo import memo_column
-
 from ..config import CHARS_PER_TOKEN
 
 # Python's str.isspace() set (also what `\s` and str.strip() use for str):
@@ -20,6 +18,7 @@ from ..config import CHARS_PER_TOKEN
 # them except the no-break spaces and NEL, which are added; one predicate
 # call per character instead of a chain of ranges (about a third faster).
 WS_CLASS = r"[\p{javaWhitespace}\x{85}\x{A0}\x{2007}\x{202F}]"
+RUN_START = "(?<!" + WS_CLASS + ")"
 SENTENCE_SPLIT = r"(?<=[.!?])" + WS_CLASS + "+"
 
 
@@ -31,13 +30,12 @@ def lit_(v) -> Column:
     return v if isinstance(v, Column) else F.lit(v)
 
 
-@memo_column
 def py_strip(c) -> Column:
     """str.strip(): remove leading/trailing Unicode whitespace."""
-    return F.regexp_replace(col_(c), "^" + WS_CLASS + "+|" + WS_CLASS + r"+\z", "")
+    # a run is entered at its start only and never given back: linear on padding
+    return F.regexp_replace(col_(c), "^" + WS_CLASS + "++|" + RUN_START + WS_CLASS + r"++\z", "")
 
 
-@memo_column
 def normalize_lines(c) -> Column:
     """Split on '\\n', strip every line, drop blank lines, re-join with '\\n'.
 
@@ -46,7 +44,7 @@ def normalize_lines(c) -> Column:
     A run without a newline is inside a line and stays as it is.
     """
     trimmed = py_strip(c)
-    return F.regexp_replace(trimmed, WS_CLASS + r"*\n" + WS_CLASS + "*", "\n")
+    return F.regexp_replace(trimmed, RUN_START + r"(?:(?!\n)" + WS_CLASS + r")*+\n" + WS_CLASS + "*+", "\n")
 
 
 def idiv(a, b) -> Column:
@@ -54,7 +52,6 @@ def idiv(a, b) -> Column:
     return F.floor(lit_(a) / lit_(b)).cast("bigint")
 
 
-@memo_column
 def estimate_tokens(c) -> Column:
     """len(text) // 4 in code points."""
     return idiv(F.length(col_(c)), CHARS_PER_TOKEN)
@@ -72,7 +69,6 @@ def prefix(text: Column, n) -> Column:
     return text.substr(F.lit(1), lit_(n))
 
 
-@memo_column
 def split_sentences(c) -> Column:
     """re.split(r'(?<=[.!?])\\s+', text) as ARRAY<STRING> (trailing '' kept)."""
     return F.split(col_(c), SENTENCE_SPLIT, -1)

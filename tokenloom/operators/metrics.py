@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from typing import Optional
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -138,24 +137,3 @@ def canonical_tokens(df: DataFrame, text_col: str, model_col: str = "model",
     )
     j = df.join(tc, (df[key_col] == tc["_tk"]) & (df[model_col] == tc["_tm"]), "left")
     return j.withColumn(out, F.coalesce(F.col("_tn"), fallback)).drop("_tk", "_tm", "_tn")
-
-
-def tokenizer_counts(text_col: str, encoding: str = "cl100k_base"):
-    """Optional real tokenizer as an Arrow-batched pandas UDF.
-
-    Mirrors the original's behaviour: any failure to load or run the
-    tokenizer (no package, no cached encoding file offline) gives len // 4.
-    """
-    from pyspark.sql import types as T
-
-    @F.pandas_udf(T.LongType())
-    def count(s: pd.Series) -> pd.Series:
-        try:
-            import tiktoken
-
-            enc = tiktoken.get_encoding(encoding)
-            return s.map(lambda t: None if t is None else len(enc.encode(t, disallowed_special=())))
-        except Exception:  # noqa: BLE001 - same fallback as the original
-            return s.map(lambda t: None if t is None else len(t) // 4)
-
-    return count(F.col(text_col))

@@ -10,23 +10,26 @@ from pyspark.sql import SparkSession
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app: str = "tokenloom") -> SparkSession:
-    """Session with AQE on and the UI off; reuses an active session."""
+    """Session with AQE on and the UI off; reuses an active session.
+
+    The master and all sizes are those of the submitted job; only a caller that
+    names a master (bench, tools) gets local sizes.
+    """
     active = SparkSession.getActiveSession()
     if active is not None:
         return active
-    cpus = int(os.environ.get("BENCH_CPUS", "8"))
     b = (
         SparkSession.builder.appName(app)
-        .master(master or f"local[{cpus}]")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g"))
     )
+    if master:
+        b = b.master(master).config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g"))
+    if shuffle_partitions:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -35,11 +38,13 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (spark.checkpoint.dir).
 
-    Only when the session has none (local tests) is a scratch folder created
-    and registered; on a cluster the configured shared folder is always used.
+    Only a local master without that setting (tests) gets a scratch folder; a
+    cluster without a shared folder is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="tokenloom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

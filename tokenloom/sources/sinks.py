@@ -1,7 +1,7 @@
 """OP04: run artifacts.  One JSON (and/or parquet) record per document run,
-partitioned by run minute and model so a rerun of the same minute replaces
-only its own partitions (dynamic partition overwrite) -- the table analogue
-of "run_<run_id>.json is overwritten if the same id recurs"."""
+partitioned by job, run minute and model.  A rerun of a job replaces only its
+own partitions (dynamic partition overwrite); other jobs of the same minute and
+model keep theirs."""
 
 from __future__ import annotations
 
@@ -11,17 +11,17 @@ from pyspark.sql import functions as F
 from ..operators.runs import run_summary
 
 
-def write_artifacts(runs: DataFrame, path: str, fmt: str = "json") -> DataFrame:
+def write_artifacts(runs: DataFrame, path: str, job: str, fmt: str = "json") -> DataFrame:
     """Write run results; returns the written frame (for chaining / tests).
 
-    The write is idempotent under task retry and re-runs: partition
-    directories are replaced atomically per (run_minute, model).
+    job: names what was run (source and configuration); the same job at the
+    same run time replaces its earlier records, and only those.
     """
-    out = run_summary(runs).withColumn("run_minute", F.split(F.col("run_id"), "-").getItem(0))
+    out = run_summary(runs).withColumn("run_minute", F.split(F.col("run_id"), "-").getItem(0)).withColumn("job", F.lit(job))
     w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if fmt == "json":
         w = w.option("ignoreNullFields", "false")  # keep a stable record shape
-    w.partitionBy("run_minute", "model").format(fmt).save(path)
+    w.partitionBy("job", "run_minute", "model").format(fmt).save(path)
     return out
 
 
