@@ -455,8 +455,8 @@ def _corpus_rollup():
         "sum(CASE WHEN benchmark_strategy = 'optimized' THEN 1 ELSE 0 END)::BIGINT AS accepted "
         "FROM j GROUP BY ROLLUP (model, strategy, quality))"],
         f"""SELECT model, strategy, quality::BIGINT AS quality, grouping_level, documents, raw_tokens, optimized_tokens, accepted,
-        CASE WHEN model IS NOT NULL THEN (raw_tokens / 1000) * {pin!r}::DOUBLE END AS cost_raw,
-        CASE WHEN model IS NOT NULL THEN (optimized_tokens / 1000) * {pin!r}::DOUBLE END AS cost_optimized FROM g""")
+        (raw_tokens / 1000) * {pin!r}::DOUBLE AS cost_raw,
+        (optimized_tokens / 1000) * {pin!r}::DOUBLE AS cost_optimized FROM g""")  # one model: the total is its cost
 
 
 def _distinct_content():
