@@ -305,7 +305,6 @@ def benchmark_choice(spark, sf_dir):
 
 def _run(spark, sf_dir, **kw):
     corpus = documents_corpus(spark, sf_dir)
-    corpus = spread(corpus)
     return run_pipeline(corpus, **kw)
 
 
@@ -354,7 +353,7 @@ def corpus_rollup_documents(spark, sf_dir):
 
 def distinct_content(spark, sf_dir):
     """OP32: run each distinct (content, model) once, attach to every copy."""
-    corpus = spread(documents_corpus(spark, sf_dir)).withColumn("model", F.lit(C.DEFAULT_MODEL))
+    corpus = documents_corpus(spark, sf_dir).withColumn("model", F.lit(C.DEFAULT_MODEL))
     corpus = corpus.withColumn("fingerprint", fingerprint_expr(F.col("content"), F.col("model")))
     # the (doc_key, fingerprint) list is small next to the texts and is read
     # three times below, so it is materialized once in the shared checkpoint
@@ -493,7 +492,7 @@ def compare_runs_documents(spark, sf_dir):
 
 
 def _corpus_run(corpus: DataFrame, key_name: str):
-    r = run_pipeline(spread(corpus), keep_text=False)
+    r = run_pipeline(corpus, keep_text=False)
     return r.select(
         F.col("doc_key").cast("bigint").alias(key_name), "chars_normalized", "raw_tokens",
         "content_type", "strategy", "compressed_tokens", "benchmark_strategy",

@@ -24,6 +24,9 @@ def spread(df: DataFrame, min_partitions: int | None = None, keys: list[str] | N
     or by a unique key when given: deterministic, so a plan that uses the
     same spread corpus twice shares one exchange); a large scan already has
     enough splits and is left as it is (no shuffle).
+
+    For bare scans only: asking a frame with a shuffle for its partitions would
+    run that shuffle while the query is built.
     """
     spark = df.sparkSession
     want = min_partitions or spark.sparkContext.defaultParallelism
