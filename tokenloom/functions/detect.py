@@ -94,7 +94,7 @@ def detect_content_type(text, filename=None, override=None) -> Column:
 
 def select_strategy(tokens, cfg: C.OptimizerConfig = C.DEFAULT_CONFIG, forced=None,
                     thresholds: tuple | None = None) -> Column:
-    """Inclusive token bounds; `hierarchical` only when forced.
+    """Inclusive token bounds; `hierarchical` only when forced; null without a count.
 
     `thresholds` may carry Columns (config sweeps) instead of cfg values.
     """
@@ -108,7 +108,7 @@ def select_strategy(tokens, cfg: C.OptimizerConfig = C.DEFAULT_CONFIG, forced=No
         F.when(t <= lit_(lo), F.lit("none"))
         .when(t <= lit_(mid), F.lit("truncate"))
         .when(t <= lit_(hi), F.lit("extractive"))
-        .otherwise(F.lit("abstractive"))
+        .when(t.isNotNull(), F.lit("abstractive"))
     )
     return auto if forced is None else F.coalesce(lit_(forced), auto)
 

@@ -100,21 +100,20 @@ def benchmark(
 
     Adds benchmark_accuracy_raw (unrounded), benchmark_accuracy,
     benchmark_strategy and benchmark_cost (the chosen strategy's cost).
+    Without a token count nothing is accepted or rejected: all are null.
     """
     price = price_lookup(F.col(model_col))
     r, o = F.col(raw_tokens), F.col(optimized_tokens)
-    loss = F.when(r > 0, 1.0 - (o / r)).otherwise(F.lit(0.0))
+    loss = F.when(r > 0, 1.0 - (o / r)).when(r.isNotNull() & o.isNotNull(), F.lit(0.0))
     acc_raw = 1.0 - loss
     acc = py_round(acc_raw, 3)
     ok = acc >= lit_(C.ACCEPT_ACCURACY)
     return df.withColumns(
         {
             "benchmark_accuracy_raw": acc_raw,
-            "benchmark_strategy": F.when(ok, "optimized").otherwise("baseline"),
-            "benchmark_accuracy": F.when(ok, acc).otherwise(F.lit(1.0)),
-            "benchmark_cost": F.when(ok, estimate_cost(o, 0, price)).otherwise(
-                estimate_cost(r, 0, price)
-            ),
+            "benchmark_strategy": F.when(ok, "optimized").when(~ok, "baseline"),
+            "benchmark_accuracy": F.when(ok, acc).when(~ok, F.lit(1.0)),
+            "benchmark_cost": F.when(ok, estimate_cost(o, 0, price)).when(~ok, estimate_cost(r, 0, price)),
         }
     )
 

@@ -31,6 +31,7 @@ def with_run_identity(df: DataFrame, model, run_ts: str, content_col: str = "con
     return df.withColumns({"fingerprint": fp, "run_id": run_id_expr(fp, run_ts)})
 
 
+# fixed values: the metrics each stage reports
 STAGE_METRICS = (
     # (stage_no, stage_name, metric, numeric column or None, text column or None)
     (1, "Intake", "file_size_bytes", "file_size_bytes", None),
@@ -47,6 +48,17 @@ STAGE_METRICS = (
     (6, "Benchmark", "strategy", None, "benchmark_strategy"),
 )
 
+# metrics that are not DOUBLE
+METRIC_TYPES = {
+    "file_size_bytes": "bigint", "chars_extracted": "bigint", "chars_normalized": "bigint",
+    "raw_tokens": "bigint", "optimized_tokens": "bigint", "strategy": "string",
+}
+
+
+def stage_field(name: str) -> str:
+    """Field of a stage in `stage_results`: its name in lower case, joined by underscores."""
+    return name.lower().replace(" ", "_")
+
 
 def stage_report(runs: DataFrame, keys: Sequence[str] = ("run_id", "fingerprint", "doc_key", "model")) -> DataFrame:
     """OP29: 12 metric rows per document run (a narrow Generate, no shuffle)."""
@@ -65,7 +77,7 @@ def stage_report(runs: DataFrame, keys: Sequence[str] = ("run_id", "fingerprint"
 
 
 def run_summary(runs: DataFrame) -> DataFrame:
-    """OP30: the nested run result (summary STRUCT + stage list + preview)."""
+    """OP30: the nested run result (summary STRUCT, one typed STRUCT per stage, preview)."""
     summary = F.struct(
         F.col("raw_tokens").alias("raw_tokens"),
         F.col("compressed_tokens").alias("optimized_tokens"),
@@ -76,26 +88,16 @@ def run_summary(runs: DataFrame) -> DataFrame:
         F.col("benchmark_accuracy").alias("benchmark_accuracy"),
         F.col("benchmark_strategy").alias("benchmark_strategy"),
     )
-    stages = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("stage_name"),
-                # stages are fused into one Spark stage: no per-stage timer
-                F.lit(None).cast("double").alias("duration_ms"),
-                F.map_from_arrays(
-                    F.array(*[F.lit(m) for n, s, m, _, _ in STAGE_METRICS if s == name]),
-                    F.array(
-                        *[
-                            (F.col(num).cast("string") if num else F.col(txt))
-                            for n, s, m, num, txt in STAGE_METRICS
-                            if s == name
-                        ]
-                    ),
-                ).alias("metrics"),
-            )
-            for name in C.STAGE_NAMES
-        ]
-    )
+    def stage(name: str) -> Column:
+        own = [(m, num or txt) for _, of, m, num, txt in STAGE_METRICS if of == name]
+        return F.struct(
+            F.lit(name).alias("stage_name"),
+            # stages are fused into one Spark stage: no per-stage timer
+            F.lit(None).cast("double").alias("duration_ms"),
+            F.struct(*[F.col(c).cast(METRIC_TYPES.get(m, "double")).alias(m) for m, c in own]).alias("metrics"),
+        )
+
+    stages = F.struct(*[stage(name).alias(stage_field(name)) for name in C.STAGE_NAMES])
     return runs.select(
         "run_id",
         "fingerprint",

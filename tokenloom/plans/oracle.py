@@ -556,6 +556,41 @@ def _file_roundtrip():
         "doc_id", "filename")
 
 
+def _artifact_roundtrip():
+    prev = f"CASE WHEN length(compressed) > {C.PREVIEW_CHARS} THEN left(compressed, {C.PREVIEW_CHARS}) || '...' ELSE compressed END"
+
+    def job(name: str, p: str) -> str:
+        return f"""SELECT doc_id, {q(name)} AS job, strftime(TIMESTAMP '{Q.DEFAULT_RUN_TS}', '%Y%m%d_%H%M') AS run_minute,
+        '{C.DEFAULT_MODEL}' AS model,
+        strftime(TIMESTAMP '{Q.DEFAULT_RUN_TS}', '%Y%m%d_%H%M') || '-' || left(sha256(raw || '{C.DEFAULT_MODEL}'), 6) AS run_id,
+        sha256(raw || '{C.DEFAULT_MODEL}') AS fingerprint, content_type,
+        octet_length(encode(raw))::BIGINT AS file_size_bytes, length(raw)::BIGINT AS chars_extracted,
+        length(nt)::BIGINT AS chars_normalized, strategy, compression_pct AS stage_compression_pct,
+        cost_raw - cost_optimized AS stage_cost_saved, benchmark_accuracy AS stage_accuracy,
+        raw_tokens, compressed_tokens AS optimized_tokens, compression_pct, cost_raw, cost_optimized,
+        cost_raw - cost_optimized AS cost_saved, benchmark_accuracy, benchmark_strategy,
+        sha256({prev}) AS preview_sha FROM {p}_res"""
+
+    jobs = list(Q.ARTIFACT_JOBS.items())
+    ctes = [c for k, (_, cfg) in enumerate(jobs) for c in _doc_run(f"r{k}", cfg)]
+    return with_(ctes, " UNION ALL ".join(job(name, f"r{k}") for k, (name, _) in enumerate(jobs)))
+
+
+def _normalize_padded():
+    padded = (f"repeat(' ', 5000) || replace(text, {NL}, {NL} || repeat(' ' || chr(9), 200) || {NL} || repeat(' ', 200)) "
+              f"|| repeat({NL} || ' ', 2000)")
+    return f"""WITH p AS (SELECT doc_id, {padded} AS padded, {norm('text')} AS nt FROM documents)
+        SELECT doc_id, length(padded)::BIGINT AS chars_extracted, length(nt)::BIGINT AS chars_normalized,
+        sha256(nt) AS norm_sha FROM p"""
+
+
+def _rejected_documents():
+    ctes = ["src AS (SELECT doc_id, text AS raw FROM documents WHERE doc_id % 7 <> 3)"] + run_ctes("r", "src", "doc_id")
+    return with_(ctes, """SELECT 'accepted' AS status, strategy, count(*)::BIGINT AS documents,
+        sum(raw_tokens)::BIGINT AS raw_tokens FROM r_res GROUP BY strategy UNION ALL
+        SELECT 'null_text', NULL, count(*)::BIGINT, NULL FROM documents WHERE doc_id % 7 = 3""")
+
+
 ORACLE_SQL = {
     "normalize_documents": _normalize_documents(),
     "filename_types": _filename_types(),
@@ -583,4 +618,7 @@ ORACLE_SQL = {
     "page_corpus": _page_corpus(),
     "decode_text": _decode_text(),
     "file_roundtrip": _file_roundtrip(),
+    "artifact_roundtrip": _artifact_roundtrip(),
+    "normalize_padded": _normalize_padded(),
+    "rejected_documents": _rejected_documents(),
 }

@@ -32,7 +32,15 @@ from ..operators.runs import (
 )
 from ..operators.summarize import max_tokens_expr, prompt_expr
 from ..sources.files import decode_text
-from ..sources.tables import conversations_corpus, documents_corpus, pages_corpus, spread, table
+from ..sources.tables import (
+    conversations_corpus,
+    documents_corpus,
+    pages_corpus,
+    split_rejects,
+    spread,
+    table,
+    table_corpus,
+)
 from .pipeline import DEFAULT_RUN_TS, run_pipeline
 
 # forced content type per row for the scoring queries (doc_id % 4)
@@ -68,6 +76,8 @@ SWEEP_CONFIGS = (
                                      max_output_tokens=1000)),
 )
 
+ARTIFACT_JOBS = {"default": C.DEFAULT_CONFIG, "half": C.DEFAULT_CONFIG.with_(target_ratio=0.5)}
+
 
 def _pick(key: Column, values) -> Column:
     """values[key % len(values)] as a CASE (literal list, may contain None)."""
@@ -566,6 +576,64 @@ def file_roundtrip(spark, sf_dir):
     )
 
 
+def artifact_roundtrip(spark, sf_dir):
+    """OP04/OP30: two jobs of one run time and model write their records, one of
+    them twice; every record of both is read back, nested and typed."""
+    import uuid
+
+    from ..session import checkpoint_dir
+    from ..sources.sinks import read_artifacts, write_artifacts
+
+    root = f"{checkpoint_dir(spark).rstrip('/')}/artifacts-{uuid.uuid4().hex}"
+    for job in ("default", "half", "default"):
+        write_artifacts(_run(spark, sf_dir, cfg=ARTIFACT_JOBS[job]), root, job)
+    stage = F.col("stage_results")
+    return read_artifacts(spark, root).select(
+        F.col("doc_key").cast("bigint").alias("doc_id"), "job", "run_minute", "model", "run_id", "fingerprint",
+        "content_type",
+        stage["intake"]["metrics"]["file_size_bytes"].alias("file_size_bytes"),
+        stage["parse"]["metrics"]["chars_extracted"].alias("chars_extracted"),
+        stage["normalize"]["metrics"]["chars_normalized"].alias("chars_normalized"),
+        stage["optimize"]["metrics"]["strategy"].alias("strategy"),
+        stage["optimize"]["metrics"]["compression_pct"].alias("stage_compression_pct"),
+        stage["cost_analysis"]["metrics"]["cost_saved"].alias("stage_cost_saved"),
+        stage["benchmark"]["metrics"]["accuracy"].alias("stage_accuracy"),
+        "summary.*",
+        _sha("compressed_preview").alias("preview_sha"),
+    )
+
+
+def _padding(text: Column) -> Column:
+    """text with long runs of blanks around it, inside its lines' ends and as blank lines."""
+    wide = "\n" + " \t" * 200 + "\n" + " " * 200
+    return F.concat(F.lit(" " * 5000), F.replace(text, F.lit("\n"), F.lit(wide)), F.lit("\n " * 2000))
+
+
+def normalize_padded(spark, sf_dir):
+    """OP05 on documents with long whitespace runs: the work stays linear."""
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    d = d.select("doc_id", _padding(F.col("text")).alias("padded"))
+    d = d.withColumn("norm_text", normalize_lines("padded"))
+    return d.select("doc_id", F.length("padded").alias("chars_extracted"),
+                    F.length("norm_text").alias("chars_normalized"), _sha("norm_text").alias("norm_sha"))
+
+
+def rejected_documents(spark, sf_dir):
+    """Documents with some texts taken away: rejects are counted with their
+    reason, the others run and are reported by strategy."""
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    d = d.withColumn("text", F.when(F.pmod("doc_id", F.lit(7)) != 3, F.col("text")))
+    accepted, rejects = split_rejects(table_corpus(
+        d, F.col("doc_id"), F.lit(None).cast("string"), F.lit(None).cast("string"), F.col("text"), C.DEFAULT_DOC_TYPE))
+    runs = run_pipeline(accepted, keep_text=False).groupBy("strategy").agg(
+        F.count(F.lit(1)).alias("documents"), F.sum("raw_tokens").alias("raw_tokens"))
+    none = F.lit(None)
+    return runs.select(F.lit("accepted").alias("status"), "strategy", "documents", "raw_tokens").unionByName(
+        rejects.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("documents")).select(
+            F.col("reject_reason").alias("status"), none.cast("string").alias("strategy"), "documents",
+            none.cast("bigint").alias("raw_tokens")))
+
+
 QUERIES = {
     "normalize_documents": normalize_documents,
     "filename_types": filename_types,
@@ -593,6 +661,9 @@ QUERIES = {
     "page_corpus": page_corpus,
     "decode_text": decode_documents,
     "file_roundtrip": file_roundtrip,
+    "artifact_roundtrip": artifact_roundtrip,
+    "normalize_padded": normalize_padded,
+    "rejected_documents": rejected_documents,
 }
 def file_roundtrip(spark, sf_dir):
     """OP01/OP02/OP04 end to end: documents are written as one text file per

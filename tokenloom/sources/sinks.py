@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.runs import run_summary
+from .. import config as C
+from ..operators.runs import METRIC_TYPES, STAGE_METRICS, run_summary, stage_field
 
 
 def write_artifacts(runs: DataFrame, path: str, job: str, fmt: str = "json") -> DataFrame:
@@ -25,8 +26,21 @@ def write_artifacts(runs: DataFrame, path: str, job: str, fmt: str = "json") ->
     return out
 
 
+def artifact_schema() -> str:
+    """The schema of stored records, partition columns included (no inference pass over the files)."""
+    def stage(name: str) -> str:
+        own = ", ".join(f"{m}: {METRIC_TYPES.get(m, 'double')}" for _, of, m, _, _ in STAGE_METRICS if of == name)
+        return f"{stage_field(name)}: struct<stage_name: string, duration_ms: double, metrics: struct<{own}>>"
+
+    return (
+        "run_id string, fingerprint string, doc_key string, file_path string, doc_type string, "
+        f"stage_results struct<{', '.join(stage(n) for n in C.STAGE_NAMES)}>, "
+        "summary struct<raw_tokens: bigint, optimized_tokens: bigint, compression_pct: double, cost_raw: double, "
+        "cost_optimized: double, cost_saved: double, benchmark_accuracy: double, benchmark_strategy: string>, "
+        "content_type string, compressed_preview string, job string, run_minute string, model string"
+    )
+
+
 def read_artifacts(spark, path: str, fmt: str = "json", schema=None) -> DataFrame:
-    r = spark.read.format(fmt)
-    if schema is not None:
-        r = r.schema(schema)
-    return r.load(path)
+    """Stored records of every job; filters on job, run_minute and model prune partitions."""
+    return spark.read.format(fmt).schema(schema or artifact_schema()).load(path)

@@ -2,6 +2,9 @@
 
     doc_key STRING, file_path STRING, filename STRING, doc_type STRING,
     file_size_bytes BIGINT, content BINARY, raw_text STRING
+
+The ready sources return only rows with a text; `split_rejects` gives the others
+with their reason.  A null role or text of a turn counts as empty.
 """
 
 from __future__ import annotations
@@ -36,7 +39,16 @@ def spread(df: DataFrame, min_partitions: int | None = None, keys: list[str] | N
     return df.repartition(want, *keys) if keys else df.repartition(want)
 
 
-def _corpus(df: DataFrame, key, path, filename, text, doc_type: str) -> DataFrame:
+def split_rejects(corpus: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows that can run, rejects): a row without text is a reject and never
+    enters a run or a report.  Rejects have doc_key, file_path and reject_reason."""
+    null = F.col("raw_text").isNull()
+    rejects = corpus.where(null).select("doc_key", "file_path", F.lit("null_text").alias("reject_reason"))
+    return corpus.where(~null), rejects
+
+
+def table_corpus(df: DataFrame, key, path, filename, text, doc_type: str) -> DataFrame:
+    """Any table as a corpus; null texts are kept, see split_rejects."""
     content = F.encode(text, "UTF-8")
     return df.select(
         key.cast("string").alias("doc_key"),
@@ -60,7 +72,7 @@ def documents_corpus(
     """
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
     d = spread(d, keys=spread_keys) if spread_scan else d
-    out = _corpus(
+    out = table_corpus(
         d,
         F.col("doc_id"),
         F.concat(F.lit("documents/"), F.col("doc_id").cast("string")),
@@ -68,13 +80,14 @@ def documents_corpus(
         F.col("text"),
         doc_type,
     )
+    out = split_rejects(out)[0]
     return out if with_content else out.drop("content")
 
 
 def pages_corpus(spark: SparkSession, sf_dir: str, doc_type: str = "web_page") -> DataFrame:
     """`pages.html` with the url as file name (the name rules apply to it)."""
     p = spread(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
-    return _corpus(p, F.col("page_id"), F.col("url"), F.col("url"), F.col("html"), doc_type)
+    return split_rejects(table_corpus(p, F.col("page_id"), F.col("url"), F.col("url"), F.col("html"), doc_type))[0]
 
 
 def transcript_text(conversations: DataFrame) -> DataFrame:
@@ -87,7 +100,7 @@ def transcript_text(conversations: DataFrame) -> DataFrame:
         F.array_join(
             F.transform(
                 F.array_sort(F.collect_list(F.struct("turn", "role", "text"))),
-                lambda t: F.concat(t["role"], F.lit(": "), t["text"]),
+                lambda t: F.concat(F.coalesce(t["role"], F.lit("")), F.lit(": "), F.coalesce(t["text"], F.lit(""))),
             ),
             "\n",
         ).alias("text"),
@@ -97,7 +110,7 @@ def transcript_text(conversations: DataFrame) -> DataFrame:
 
 def conversations_corpus(spark: SparkSession, sf_dir: str, doc_type: str = "transcript") -> DataFrame:
     t = transcript_text(table(spark, sf_dir, "conversations"))
-    return _corpus(
+    corpus = table_corpus(
         t,
         F.col("conv_id"),
         F.concat(F.lit("conversations/"), F.col("conv_id").cast("string")),
@@ -105,3 +118,4 @@ def conversations_corpus(spark: SparkSession, sf_dir: str, doc_type: str = "tran
         F.col("text"),
         doc_type,
     )
+    return split_rejects(corpus)[0]
