@@ -116,6 +116,8 @@ class OptimizerConfig:
     input_cost_per_1k: float = 0.00015
     summarization_model: str = "gpt-4o-mini"
     chunk_size: int = 3000
+    # characters of the text that a prompt carries; None: all of it
+    prompt_content_chars: int | None = PROMPT_CONTENT_CHARS
 
     def with_(self, **kw) -> "OptimizerConfig":
         return replace(self, **kw)

@@ -90,19 +90,23 @@ def optimize(
     summarizer: Optional[Callable] = None,
     chunk_size=None,
     allow_hierarchical: bool = True,
+    cache_path: Optional[str] = None,
 ) -> DataFrame:
     """OP22 + OP26 (TokenStats): route each prepared row to its strategy.
 
     With a `summarizer` the abstractive / hierarchical rows go through
-    `summarize.optimize_with_summarizer` (Arrow batches); everything else
-    stays narrow.  `allow_hierarchical=False` (nothing forced) leaves the
+    `summarize.optimize_with_summarizer` (Arrow batches, narrow) or, with a
+    `cache_path`, `summarize.optimize_with_cache` (chunks as rows, answers
+    written before use).  `allow_hierarchical=False` (nothing forced) leaves the
     chunking columns out of the plan.
     """
     chunk_size = cfg.chunk_size if chunk_size is None else chunk_size
     text = F.col(text_col)
     if summarizer is not None:
-        from .summarize import optimize_with_summarizer
+        from .summarize import optimize_with_cache, optimize_with_summarizer
 
+        if cache_path is not None:
+            return optimize_with_cache(df, text_col, cfg, summarizer, chunk_size, cache_path)
         return optimize_with_summarizer(df, text_col, cfg, summarizer, chunk_size)
     if not allow_hierarchical:
         return token_stats(df.withColumn("compressed", _compressed_expr(text, cfg, False)), cfg)

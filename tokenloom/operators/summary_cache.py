@@ -38,23 +38,24 @@ def request_key(prompt, max_tokens, model: str = C.DEFAULT_CONFIG.summarization_
 
 
 def _read_cache(spark, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(CACHE_SCHEMA).parquet(path)
-    except Exception:  # noqa: BLE001 - no cache written yet
+    """The cache table; empty only where the path does not exist (any other failure rises)."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
         return spark.createDataFrame([], CACHE_SCHEMA)
+    return spark.read.schema(CACHE_SCHEMA).parquet(path)
 
 
 def cached_summaries(requests: DataFrame, fn: Callable, cache_path: str | None = None,
                      text_col: str = "norm_text", target_col: str = "target_tokens",
-                     type_col: str = "content_type") -> DataFrame:
-    """requests + `summary` (NULL where the model gave nothing).
+                     type_col: str = "content_type", window: int | None = C.PROMPT_CONTENT_CHARS) -> DataFrame:
+    """requests + `summary` (NULL where the model gave nothing; such a request is asked again by the next pass).
 
     `requests` needs text, target and type columns; the prompt is built here.
     """
     spark = requests.sparkSession
     path = cache_path or f"{checkpoint_dir(spark).rstrip('/')}/summary-cache"
     req = requests.withColumn(
-        "_prompt", prompt_expr(F.col(text_col), F.col(target_col), F.col(type_col))
+        "_prompt", prompt_expr(F.col(text_col), F.col(target_col), F.col(type_col), window)
     ).withColumn("_max_tokens", max_tokens_expr(F.col(target_col)))
     req = req.withColumn("_key", request_key("_prompt", "_max_tokens"))
 
@@ -77,7 +78,7 @@ def cached_summaries(requests: DataFrame, fn: Callable, cache_path: str | None =
     # one write per pass; a retried task rewrites only its own file, and the
     # anti join above keeps earlier passes' answers from being requested again
     fresh.write.mode("append").parquet(path)
-    cache = _read_cache(spark, path).dropDuplicates(["req_key"])
+    cache = _read_cache(spark, path).groupBy("req_key").agg(F.min("summary").alias("summary"))
     out = req.join(cache.withColumnRenamed("req_key", "_key"), "_key", "left")
     return out.drop("_prompt", "_max_tokens", "_key")
 

@@ -319,18 +319,28 @@ def _extractive_documents():
         {tok('e.out')} AS out_tokens, sha256(e.out) AS out_sha FROM b JOIN e_out e USING (doc_id)""")
 
 
-def _prompt_table():
+def prompt(content: str) -> str:
+    """The request over columns content_type and target_tokens."""
     inst = "CASE content_type " + " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in C.TYPE_INSTRUCTIONS) + f" ELSE {q(dict(C.TYPE_INSTRUCTIONS)['unknown'])} END"
-    tpl = C.PROMPT_TEMPLATE
-    b, r = tpl.split("{content_type}")
+    b, r = C.PROMPT_TEMPLATE.split("{content_type}")
     m1, r = r.split("{target_tokens}")
     m2, r = r.split("{instruction}")
     m3, a = r.split("{content}")
-    prompt = (f"{lit_str(b)} || content_type || {lit_str(m1)} || target_tokens::VARCHAR || {lit_str(m2)} || ({inst}) || "
-              f"{lit_str(m3)} || left(norm_text, {C.PROMPT_CONTENT_CHARS}) || {lit_str(a)}")
+    return (f"{lit_str(b)} || content_type || {lit_str(m1)} || target_tokens::VARCHAR || {lit_str(m2)} || ({inst}) || "
+            f"{lit_str(m3)} || left({content}, {C.PROMPT_CONTENT_CHARS}) || {lit_str(a)}")
+
+
+def lead(content: str) -> str:
+    """What the callable of the summary queries answers; NULL where it refuses."""
+    rest = C.PROMPT_TEMPLATE.split("{content}")[1]
+    return (f"CASE WHEN length({prompt(content)}) % 5 <> 0 THEN "
+            f"{strip(f'left(left({content}, {C.PROMPT_CONTENT_CHARS}) || {lit_str(rest)}, {Q.LEAD_CHARS})')} END")
+
+
+def _prompt_table():
     return with_([DOCS, DOCS2, f"b AS (SELECT doc_id, norm_text, {type_from_signals('norm_text')} AS content_type, "
                                f"{target('raw_tokens')} AS target_tokens FROM docs2)",
-                  f"p AS (SELECT doc_id, content_type, target_tokens, {prompt} AS prompt FROM b)"],
+                  f"p AS (SELECT doc_id, content_type, target_tokens, {prompt('norm_text')} AS prompt FROM b)"],
                  """SELECT doc_id, content_type, target_tokens, least(target_tokens + 100, 2000)::BIGINT AS max_tokens,
                  length(prompt)::BIGINT AS prompt_chars, sha256(prompt) AS prompt_sha FROM p""")
 
@@ -591,6 +601,40 @@ def _rejected_documents():
         SELECT 'null_text', NULL, count(*)::BIGINT, NULL FROM documents WHERE doc_id % 7 = 3""")
 
 
+CALLABLE_SRC = f"hb AS (SELECT doc_id, t, {FORCED} AS content_type, {target(tok('t'))} AS target_tokens FROM pv)"
+CALLABLE_OUT = f"""SELECT doc_id, content_type, target_tokens,
+        CASE WHEN got = 0 THEN 'fallback' WHEN got < asked THEN 'partial' ELSE 'answered' END AS summary_status,
+        length(out)::BIGINT AS out_chars, {tok('out')} AS out_tokens, sha256(out) AS out_sha FROM fin"""
+
+
+def _abstractive_callable():
+    ctes = [PARA, CALLABLE_SRC] + extractive_ctes("e", "hb", ["doc_id"], "t", "target_tokens", "content_type")
+    ctes += [f"an AS (SELECT *, {lead('t')} AS answer FROM hb)",
+             "fin AS (SELECT an.doc_id, content_type, target_tokens, 1 AS asked, (answer IS NOT NULL)::INT AS got, "
+             "coalesce(answer, e_out.out) AS out FROM an JOIN e_out USING (doc_id))"]
+    return with_(ctes, CALLABLE_OUT)
+
+
+def _hierarchical_callable():
+    ctes = [PARA, CALLABLE_SRC] + chunk_ctes("k", "hb", "doc_id", "t", Q.CHUNK_SIZE_HIER)
+    ctes += ["kn AS (SELECT doc_id, count(*) AS n_chunks FROM k_c GROUP BY doc_id)",
+             "req AS (SELECT k_c.doc_id, k_c.chunk_no, n_chunks, hb.content_type, hb.target_tokens AS budget, "
+             "CASE WHEN n_chunks > 1 THEN k_c.chunk ELSE hb.t END AS piece, hb.target_tokens // n_chunks AS target_tokens "
+             "FROM k_c JOIN kn USING (doc_id) JOIN hb USING (doc_id))"]
+    ctes += extractive_ctes("e", "req", ["doc_id", "chunk_no"], "piece", "target_tokens", "content_type")
+    ctes += [f"an AS (SELECT *, {lead('piece')} AS answer FROM req)",
+             "pc AS (SELECT an.*, coalesce(answer, e_out.out) AS o FROM an JOIN e_out USING (doc_id, chunk_no))",
+             "mg AS (SELECT doc_id, content_type, budget AS target_tokens, n_chunks, count(*) AS asked, count(answer) AS got, "
+             f"string_agg(CASE WHEN n_chunks > 1 THEN '[Section ' || (chunk_no + 1)::VARCHAR || ']' || {NL} ELSE '' END || o, {NL2} "
+             "ORDER BY chunk_no) AS merged FROM pc GROUP BY ALL)",
+             f"big AS (SELECT *, {lead('merged')} AS answer FROM mg WHERE n_chunks > 1 AND {tok('merged')} > target_tokens * 1.2::DOUBLE)"]
+    ctes += extractive_ctes("e2", "big", ["doc_id"], "merged", "target_tokens", "content_type")
+    ctes += ["fin AS (SELECT mg.doc_id, mg.content_type, mg.target_tokens, "
+             "mg.asked + (big.doc_id IS NOT NULL)::INT AS asked, mg.got + (big.answer IS NOT NULL)::INT AS got, "
+             "coalesce(big.answer, e2_out.out, mg.merged) AS out FROM mg LEFT JOIN big USING (doc_id) LEFT JOIN e2_out USING (doc_id))"]
+    return with_(ctes, CALLABLE_OUT)
+
+
 ORACLE_SQL = {
     "normalize_documents": _normalize_documents(),
     "filename_types": _filename_types(),
@@ -621,4 +665,6 @@ ORACLE_SQL = {
     "artifact_roundtrip": _artifact_roundtrip(),
     "normalize_padded": _normalize_padded(),
     "rejected_documents": _rejected_documents(),
+    "abstractive_callable": _abstractive_callable(),
+    "hierarchical_callable": _hierarchical_callable(),
 }

@@ -63,17 +63,22 @@ def run_pipeline(
     summarizer: Optional[Callable] = None,
     keep_text: bool = True,
     passthrough: tuple = (),
+    summary_cache: Optional[str] = None,
 ) -> DataFrame:
     """One run row per corpus document (see RUN_COLUMNS); `passthrough`
-    columns of the corpus are carried along unchanged."""
+    columns of the corpus are carried along unchanged.  With a summarizer the
+    rows also have summary_status; summary_cache names its cache table."""
     df = corpus.withColumn("model", F.lit(model)) if "model" not in corpus.columns else corpus
     df = with_run_identity(df, F.col("model"), run_ts)
     df = normalize(df, "raw_text", "norm_text")
     df = prepare(df, "norm_text", "filename", cfg, content_type, force_strategy)
-    df = optimize(df, "norm_text", cfg, summarizer, allow_hierarchical=force_strategy is not None)
+    df = optimize(df, "norm_text", cfg, summarizer, allow_hierarchical=force_strategy is not None,
+                  cache_path=summary_cache)
     df = cost_analysis(df, "model", "raw_tokens", "compressed_tokens")
     df = benchmark(df, "model", "raw_tokens", "compressed_tokens")
     cols = list(RUN_COLUMNS) + (["norm_text"] if keep_text else []) + list(passthrough)
+    if summarizer is not None:
+        cols.append("summary_status")
     if not keep_text:
         cols.remove("compressed")
     return df.select(*cols)

@@ -634,6 +634,42 @@ def rejected_documents(spark, sf_dir):
             none.cast("bigint").alias("raw_tokens")))
 
 
+LEAD_CHARS = 200
+
+
+def _lead_summaries(requests):
+    """Stands in for a model: the first characters of the content; a batch
+    that holds a prompt whose length is a multiple of five raises."""
+    if (requests["prompt"].str.len() % 5 == 0).any():
+        raise ValueError("request refused")
+    return requests["prompt"].str.split("Content:\n", n=1).str[1].str[:LEAD_CHARS]
+
+
+def _summarized(spark, sf_dir, strategy: str):
+    import uuid
+
+    from ..session import checkpoint_dir
+
+    d = _forced_type(_para_variant(spark, sf_dir)).withColumnRenamed("t", "norm_text")
+    d = d.withColumn("raw_tokens", estimate_tokens("norm_text")).withColumn("strategy", F.lit(strategy))
+    d = d.withColumn("target_tokens", calculate_target("raw_tokens"))
+    cache = f"{checkpoint_dir(spark).rstrip('/')}/summaries-{uuid.uuid4().hex}"
+    out = optimize(d, "norm_text", summarizer=_lead_summaries, chunk_size=CHUNK_SIZE_HIER, cache_path=cache)
+    return out.select("doc_id", "content_type", "target_tokens", "summary_status",
+                      F.col("compressed_chars").alias("out_chars"), F.col("compressed_tokens").alias("out_tokens"),
+                      _sha("compressed").alias("out_sha"))
+
+
+def abstractive_callable(spark, sf_dir):
+    """OP19 with a callable that refuses some requests."""
+    return _summarized(spark, sf_dir, "abstractive")
+
+
+def hierarchical_callable(spark, sf_dir):
+    """OP21 with that callable: chunk summaries, merged, summarised again where too long."""
+    return _summarized(spark, sf_dir, "hierarchical")
+
+
 QUERIES = {
     "normalize_documents": normalize_documents,
     "filename_types": filename_types,
@@ -664,6 +700,8 @@ QUERIES = {
     "artifact_roundtrip": artifact_roundtrip,
     "normalize_padded": normalize_padded,
     "rejected_documents": rejected_documents,
+    "abstractive_callable": abstractive_callable,
+    "hierarchical_callable": hierarchical_callable,
 }
 def file_roundtrip(spark, sf_dir):
     """OP01/OP02/OP04 end to end: documents are written as one text file per
