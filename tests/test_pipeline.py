@@ -184,11 +184,78 @@ def test_salted_join_back_equals_plain_join(spark):
     results = copies.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("copies")).withColumn(
         "v", F.length("fingerprint"))
     plain = copies.join(results, "fingerprint")
-    for threshold in (1, 10, 10_000):  # all hot, some hot, none hot
-        salted = attach_to_copies(copies, results, hot_threshold=threshold, salts=8)
+    for salts in (1, 8, 64):
+        salted = attach_to_copies(copies, results, salts=salts)
         assert sorted(salted.select(*plain.columns).collect()) == sorted(plain.collect())
 
 
+def _corpus(spark, rows):
+    """(doc_key, filename, raw_text) rows in the corpus shape."""
+    df = spark.createDataFrame(rows, "doc_key string, filename string, raw_text string")
+    return df.select("doc_key", F.col("doc_key").alias("file_path"), "filename", F.lit("document").alias("doc_type"),
+                     F.octet_length("raw_text").cast("bigint").alias("file_size_bytes"),
+                     F.encode("raw_text", "UTF-8").alias("content"), "raw_text")
+
+
+def test_equal_bytes_under_other_names_are_other_content(spark):
+    from tokenloom.operators.runs import count_copies
+
+    runs = run_pipeline(_corpus(spark, [("1", "a.py", "x = 1"), ("2", "b.txt", "x = 1"), ("3", "c.py", "x = 1"), ("4", None, "")]))
+    got = {r.doc_key: (r.content_type, r.copies) for r in count_copies(runs).collect()}
+    assert got["1"] == got["3"] == ("code", 2) and got["2"] == ("document", 1) and got["4"][1] == 1
+
+
+def test_rejects_are_split_off_and_never_accepted(spark):
+    from tokenloom.sources.tables import split_rejects
+
+    corpus = _corpus(spark, [("1", None, "some text"), ("2", None, None), ("3", None, "")])
+    accepted, rejects = split_rejects(corpus)
+    assert sorted(r.doc_key for r in accepted.collect()) == ["1", "3"]
+    assert [(r.doc_key, r.reject_reason) for r in rejects.collect()] == [("2", "null_text")]
+    by_key = {r.doc_key: r for r in run_pipeline(corpus).collect()}
+    assert by_key["2"].strategy is None and by_key["2"].benchmark_strategy is None
+    assert by_key["1"].benchmark_strategy == by_key["3"].benchmark_strategy == "optimized"
+
+
+def test_one_bad_request_keeps_the_others(spark):
+    texts = [(str(i), None, f"number {i} " * 10) for i in range(20)]
+
+    def picky(req):
+        if req["prompt"].str.contains("number 7 ", regex=False).any():
+            raise ValueError("refused")
+        return "S" + req["prompt"].str.len().astype(str)
+
+    runs = run_pipeline(_corpus(spark, texts).coalesce(1), force_strategy="abstractive", summarizer=picky)
+    status = {r.doc_key: r.summary_status for r in runs.collect()}
+    assert {k for k, v in status.items() if v == "fallback"} == {"7"}
+    assert sum(v == "answered" for v in status.values()) == 19
+
+
+def test_cached_and_narrow_summaries_agree(spark, sf):
+    from tokenloom.operators.summary_cache import new_cache_path
+
+    def picky(req):
+        if (req["prompt"].str.len() % 3 == 0).any():
+            raise ValueError("refused")
+        return req["prompt"].str.split("Content:\n").str[1].str[:400]
+
+    corpus = documents_corpus(spark, sf).withColumn("raw_text", F.regexp_replace("raw_text", "\n", "\n\n"))
+    cols = ["doc_key", "compressed", "compressed_tokens", "summary_status"]
+    for forced in ("abstractive", "hierarchical", None):
+        kw = dict(force_strategy=forced, summarizer=picky, cfg=C.DEFAULT_CONFIG.with_(chunk_size=50, prompt_content_chars=None))
+        narrow = run_pipeline(corpus, **kw).select(*cols)
+        cached = run_pipeline(corpus, summary_cache=new_cache_path(spark), **kw).select(*cols)
+        assert sorted(narrow.collect()) == sorted(cached.collect())
+
+
+def test_prompt_window_reports_what_it_drops(spark):
+    from tokenloom.operators.summarize import build_prompts
+
+    d = spark.createDataFrame([("abcdefghij", 5, "document"), ("", 5, "document")], "norm_text string, target_tokens bigint, content_type string")
+    assert [r.prompt_dropped_chars for r in build_prompts(d, window=4).collect()] == [6, 0]
+    assert all(r.prompt_dropped_chars == 0 for r in build_prompts(d, window=None).collect())
+
+
 def test_edge_rows(spark):
     def text_of(tokens):  # exactly `tokens` tokens after normalization
         return ("Word " * (tokens * 4))[: tokens * 4 - 1] + "."

@@ -137,10 +137,13 @@ def select_within_budget(scored: Column, target_tokens) -> Column:
     return F.array_sort(F.transform(picked, lambda x: F.struct(x["idx"].alias("idx"), x["s"].alias("s"))))
 
 
+def extract_scored(scored: Column, target_tokens) -> Column:
+    """The picked sentences' text, from sentences that are already scored."""
+    return F.array_join(F.transform(select_within_budget(scored, target_tokens), lambda x: x["s"]), C.EXTRACT_JOINER)
+
+
 def compress_extractive(content, target_tokens, content_type) -> Column:
-    sentences = split_sentences(col_(content))
-    picked = select_within_budget(scored_sentences(sentences, content_type), target_tokens)
-    return F.array_join(F.transform(picked, lambda x: x["s"]), C.EXTRACT_JOINER)
+    return extract_scored(scored_sentences(split_sentences(col_(content)), content_type), target_tokens)
 
 
 def let(value: Column, body) -> Column:

@@ -170,35 +170,37 @@ def compare_runs(a: DataFrame, b: DataFrame, keys: Sequence[str], fields: Sequen
     )
 
 
+#: tasks over which the rows of one key may spread
+SALTS = 64
+COPY_KEYS = ("fingerprint", "content_type", "strategy", "model")
+
+
+def _salted(df: DataFrame, row_key: str, salts: int) -> DataFrame:
+    return df.withColumn("_salt", F.pmod(F.xxhash64(row_key), F.lit(salts)).cast("int"))
+
+
+def count_copies(runs: DataFrame, keys: Sequence[str] = COPY_KEYS, row_key: str = "doc_key", salts: int = SALTS) -> DataFrame:
+    """OP32: each run with `copies`, the number of runs equal in `keys`.
+
+    The file name can decide the content type, so equal bytes under different
+    names are different content.  Counts are taken per (keys, salt), summed over
+    the at most `salts` rows of a key and joined back on (keys, salt): one key
+    with a third of all rows takes the same plan as any other and no task gets
+    all of it.  No text is shuffled.
+    """
+    rows = _salted(runs, row_key, salts)
+    counts = rows.groupBy(*keys, "_salt").agg(F.count(F.lit(1)).alias("_n"))
+    totals = counts.withColumn("copies", F.sum("_n").over(Window.partitionBy(*keys))).drop("_n")
+    return rows.join(totals, [*keys, "_salt"]).drop("_salt")
+
+
 def attach_to_copies(copies: DataFrame, results: DataFrame, key: str = "fingerprint",
-                     count_col: str = "copies", hot_threshold: int = 100_000,
-                     salts: int = 64, row_key: str = "doc_key") -> DataFrame:
-    """Join per-distinct results back to every copy without a hot task.
-
-    `results` has one row per `key` and its copy count; `copies` has one row
-    per copy (keep it small and materialized: it is read three times).  Keys
-    with more than `hot_threshold` copies are hot: there are at most
-    N / hot_threshold of them, so their key list has a proven size bound and
-    is broadcast.  A hot key's result row is replicated over `salts` salt
-    values and its copies are spread over those salts by a hash of the row
-    key; every other key joins on salt 0 as usual.  The result equals the
-    plain join.
+                     salts: int = SALTS, row_key: str = "doc_key") -> DataFrame:
+    """Join per-distinct results (one row per `key`) back to every copy without a hot task.
+
+    A result row is repeated only for the salts that its copies have (at most
+    `salts`), and the copies of a key join in as many tasks.  Equals the plain join.
     """
-    hot = (
-        copies.groupBy(F.col(key).alias("_hk")).count()
-        .filter(F.col("count") > hot_threshold)
-        .select("_hk", F.lit(True).alias("_hot"))
-    )
-    c = copies.join(F.broadcast(hot), copies[key] == hot["_hk"], "left").drop("_hk")
-    c = c.withColumn(
-        "_salt",
-        F.when(F.col("_hot"), F.pmod(F.xxhash64(F.col(row_key)), F.lit(salts))).otherwise(F.lit(0)).cast("int"),
-    ).drop("_hot")
-    r = results.withColumn(
-        "_salt",
-        F.explode(
-            F.when(F.col(count_col) > hot_threshold, F.sequence(F.lit(0), F.lit(salts - 1)))
-            .otherwise(F.array(F.lit(0)))
-        ),
-    )
+    c = _salted(copies, row_key, salts)
+    r = results.join(c.select(key, "_salt").distinct(), key)
     return c.join(r, [key, "_salt"]).drop("_salt")

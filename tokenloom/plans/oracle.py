@@ -635,6 +635,35 @@ def _hierarchical_callable():
     return with_(ctes, CALLABLE_OUT)
 
 
+def _forced_sweep():
+    pins = dict((k, a) for k, a, _ in C.MODEL_PRICES)
+    ctes = [PARA, f"hb AS (SELECT doc_id, t, {tok('t')} AS raw_tokens, {FORCED} AS content_type, {target(tok('t'))} AS target_tokens FROM pv)"]
+    ctes += chunk_ctes("k", "hb", "doc_id", "t", Q.CHUNK_SIZE_HIER)
+    ctes += extractive_ctes("e1", "hb", ["doc_id"], "t", "target_tokens", "content_type")
+    ctes += ["kn AS (SELECT doc_id, count(*) AS n_chunks FROM k_c GROUP BY doc_id)",
+             "many AS (SELECT k_c.doc_id, k_c.chunk_no, k_c.chunk, hb.content_type, hb.target_tokens // kn.n_chunks AS budget "
+             "FROM k_c JOIN hb USING (doc_id) JOIN kn USING (doc_id) WHERE n_chunks > 1)"]
+    ctes += extractive_ctes("e2", "many", ["doc_id", "chunk_no"], "chunk", "budget", "content_type")
+    ctes += [f"mg AS (SELECT doc_id, string_agg('[Section ' || (chunk_no + 1)::VARCHAR || ']' || {NL} || out, {NL2} "
+             "ORDER BY chunk_no) AS merged FROM e2_out GROUP BY doc_id)",
+             "mg2 AS (SELECT mg.doc_id, mg.merged, hb.content_type, hb.target_tokens FROM mg JOIN hb USING (doc_id))",
+             f"re AS (SELECT * FROM mg2 WHERE {tok('merged')} > target_tokens * 1.2::DOUBLE)"]
+    ctes += extractive_ctes("e3", "re", ["doc_id"], "merged", "target_tokens", "content_type")
+    parts = [("truncate", truncate("hb.t", "hb.target_tokens")), ("extractive", "e1_out.out"),
+             ("hierarchical", "coalesce(e3_out.out, mg2.merged, e1_out.out)")]
+    ctes += ["al AS (" + " UNION ALL ".join(
+        f"SELECT hb.doc_id, {i} AS ord, {q('forced_' + n)} AS config_name, {q(n)} AS strategy, hb.target_tokens, hb.raw_tokens, "
+        f"{tok(x)} AS compressed_tokens FROM hb JOIN e1_out USING (doc_id) LEFT JOIN mg2 USING (doc_id) LEFT JOIN e3_out USING (doc_id)"
+        for i, (n, x) in enumerate(parts)) + ")",
+        f"ac AS (SELECT *, {py_round_items('1.0::DOUBLE - (CASE WHEN raw_tokens > 0 THEN 1.0::DOUBLE - (compressed_tokens / raw_tokens) ELSE 0.0 END)', 3, 'acc', 'a')} FROM al)",
+        "md AS (SELECT ac.*, unnest([" + ", ".join(f"{{'m': {q(m)}, 'pin': {pins[m]!r}::DOUBLE}}" for m in Q.SWEEP_MODELS) + "]) AS mp FROM ac)",
+        "co AS (SELECT *, CASE WHEN acc >= 0.9 THEN (compressed_tokens / 1000) * mp.pin ELSE (raw_tokens / 1000) * mp.pin END AS benchmark_cost FROM md)"]
+    return with_(ctes, """SELECT doc_id, mp.m AS model, config_name, strategy, target_tokens, compressed_tokens,
+        CASE WHEN acc >= 0.9 THEN acc ELSE 1.0 END AS benchmark_accuracy,
+        CASE WHEN acc >= 0.9 THEN 'optimized' ELSE 'baseline' END AS benchmark_strategy, benchmark_cost,
+        row_number() OVER (PARTITION BY doc_id, mp.m ORDER BY benchmark_cost, ord) = 1 AS is_best FROM co""")
+
+
 ORACLE_SQL = {
     "normalize_documents": _normalize_documents(),
     "filename_types": _filename_types(),
@@ -657,6 +686,7 @@ ORACLE_SQL = {
     "distinct_content": _distinct_content(),
     "model_sweep": _model_sweep(),
     "config_sweep": _config_sweep(),
+    "forced_sweep": _forced_sweep(),
     "compare_runs": _compare_runs(),
     "transcript_corpus": _transcript_corpus(),
     "page_corpus": _page_corpus(),

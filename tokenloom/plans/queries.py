@@ -18,19 +18,20 @@ from ..functions.detect import (
     type_from_filename,
     type_from_signals,
 )
-from ..functions.numeric import estimate_cost, price_lookup, py_round
+from ..functions.numeric import estimate_cost, price_lookup
 from ..functions.text import estimate_tokens, normalize_lines
 from ..operators.metrics import benchmark, count_and_cost
 from ..operators.optimize import optimize, prepare
 from ..operators.runs import (
-    attach_to_copies,
     compare_runs,
     corpus_rollup,
+    count_copies,
     fingerprint_expr,
     run_id_expr,
     stage_report,
 )
 from ..operators.summarize import max_tokens_expr, prompt_expr
+from ..operators.sweep import Variant, sweep
 from ..sources.files import decode_text
 from ..sources.tables import (
     conversations_corpus,
@@ -64,8 +65,6 @@ HEADER_VARIANTS = (
     "<html><div>https://x\n",
 )
 CHUNK_SIZE_SMALL = 100
-# copies above which a fingerprint's join back is salted
-HOT_COPIES = 100_000
 CHUNK_SIZE_HIER = 300
 BENCH_RATIOS = (0.3, 0.6, 0.9, 0.95)
 SWEEP_CONFIGS = (
@@ -78,6 +77,10 @@ SWEEP_CONFIGS = (
 
 ARTIFACT_JOBS = {"default": C.DEFAULT_CONFIG, "half": C.DEFAULT_CONFIG.with_(target_ratio=0.5)}
 
+_HIER = C.DEFAULT_CONFIG.with_(chunk_size=CHUNK_SIZE_HIER)
+FORCED_VARIANTS = tuple(Variant(f"forced_{s}", _HIER, s) for s in ("truncate", "extractive", "hierarchical"))
+SWEEP_MODELS = ("gpt-4o", "claude-3-haiku")
+
 
 def _pick(key: Column, values) -> Column:
     """values[key % len(values)] as a CASE (literal list, may contain None)."""
@@ -362,35 +365,9 @@ def corpus_rollup_documents(spark, sf_dir):
 
 
 def distinct_content(spark, sf_dir):
-    """OP32: run each distinct (content, model) once, attach to every copy."""
-    corpus = documents_corpus(spark, sf_dir).withColumn("model", F.lit(C.DEFAULT_MODEL))
-    corpus = corpus.withColumn("fingerprint", fingerprint_expr(F.col("content"), F.col("model")))
-    # the (doc_key, fingerprint) list is small next to the texts and is read
-    # three times below, so it is materialized once in the shared checkpoint
-    # folder (reliable checkpoint, survives a lost executor)
-    from ..session import checkpoint_dir
-
-    checkpoint_dir(spark)
-    copies = corpus.select("doc_key", "fingerprint").checkpoint()
-    # one representative per fingerprint; partial aggregation map-side keeps a
-    # hot (heavily copied) fingerprint from landing in one task unreduced
-    reps = corpus.groupBy("fingerprint").agg(
-        F.min("doc_key").alias("rep_key"),
-        F.count(F.lit(1)).alias("copies"),
-        F.first("raw_text").alias("raw_text"),
-        F.first("content").alias("content"),
-        F.first("file_path").alias("file_path"),
-        F.first("filename").alias("filename"),
-        F.first("doc_type").alias("doc_type"),
-        F.first("file_size_bytes").alias("file_size_bytes"),
-    ).withColumnRenamed("rep_key", "doc_key")
-    runs = run_pipeline(reps, keep_text=False, passthrough=("copies",)).select(
-        "fingerprint", "copies", "strategy", "compressed_tokens", "benchmark_strategy"
-    )
-    # hot fingerprints (many copies) are salted so that one heavily copied
-    # text never puts a third of the corpus into one join task
-    out = attach_to_copies(copies, runs, "fingerprint", "copies", HOT_COPIES, 64)
-    return out.select(
+    """OP32: every run with the number of rows of equal content, type, strategy and model."""
+    runs = run_pipeline(documents_corpus(spark, sf_dir), keep_text=False)
+    return count_copies(runs).select(
         F.col("doc_key").cast("bigint").alias("doc_id"), "fingerprint", "copies",
         "strategy", "compressed_tokens", "benchmark_strategy",
     )
@@ -425,62 +402,15 @@ def model_sweep(spark, sf_dir):
 
 
 def config_sweep(spark, sf_dir):
-    """OP33 over configurations: every config evaluated inside the row
-    (array of config structs -> transform), best by (cost, order)."""
+    """OP33 over configurations, strategies routed by size."""
     d = _docs(spark, sf_dir).withColumn("content_type", detect_content_type("norm_text"))
-    cfgs = F.array(*[
-        F.struct(
-            F.lit(i).alias("ordinal"), F.lit(n).alias("config_name"),
-            F.lit(c.no_compress_threshold).cast("bigint").alias("lo"),
-            F.lit(c.truncate_threshold).cast("bigint").alias("mid"),
-            F.lit(c.extractive_threshold).cast("bigint").alias("hi"),
-            F.lit(float(c.target_ratio)).alias("ratio"),
-            F.lit(c.max_output_tokens).cast("bigint").alias("max_out"),
-        )
-        for i, (n, c) in enumerate(SWEEP_CONFIGS)
-    ])
-    tok, text, ct = F.col("raw_tokens"), F.col("norm_text"), F.col("content_type")
-    price = price_lookup(F.lit(C.DEFAULT_MODEL))
-
-    # three passes so that each lambda reads only fields of the previous
-    # pass: a lambda body has no common-subexpression reuse, so computing the
-    # compressed text and its derived numbers in one body would repeat it
-    def compress(c):
-        strat = select_strategy(tok, thresholds=(c["lo"], c["mid"], c["hi"]))
-        target = calculate_target(tok, c["ratio"], c["max_out"])
-        return F.struct(c["ordinal"].alias("ordinal"), c["config_name"].alias("config_name"),
-                        strat.alias("strategy"), target.alias("target_tokens"))
-
-    def text_of(c):
-        strat, target = c["strategy"], c["target_tokens"]
-        comp = (F.when(strat == "none", text)
-                .when(strat == "truncate", compress_truncate(text, target))
-                .otherwise(compress_extractive(text, target, ct)))
-        return F.struct(c["ordinal"].alias("ordinal"), c["config_name"].alias("config_name"),
-                        strat.alias("strategy"), target.alias("target_tokens"),
-                        estimate_tokens(comp).alias("compressed_tokens"))
-
-    def one(c):
-        ctok = c["compressed_tokens"]
-        acc = py_round(1.0 - F.when(tok > 0, 1.0 - ctok / tok).otherwise(0.0), 3)
-        ok = acc >= C.ACCEPT_ACCURACY
-        cost = F.when(ok, estimate_cost(ctok, 0, price)).otherwise(estimate_cost(tok, 0, price))
-        return F.struct(
-            cost.alias("benchmark_cost"), c["ordinal"].alias("ordinal"),
-            c["config_name"].alias("config_name"), c["strategy"].alias("strategy"),
-            c["target_tokens"].alias("target_tokens"), ctok.alias("compressed_tokens"),
-            F.when(ok, acc).otherwise(F.lit(1.0)).alias("benchmark_accuracy"),
-            F.when(ok, "optimized").otherwise("baseline").alias("benchmark_strategy"),
-        )
+    return sweep(d, [Variant(n, c) for n, c in SWEEP_CONFIGS]).drop("model")
 
-    d = d.withColumn("per", F.transform(cfgs, compress))
-    d = d.withColumn("per", F.transform("per", text_of))
-    d = d.withColumn("per", F.transform("per", one)).withColumn("best", F.array_min("per"))
-    return d.select("doc_id", "best", F.inline_outer("per")).select(
-        "doc_id", "config_name", "strategy", "target_tokens", "compressed_tokens",
-        "benchmark_accuracy", "benchmark_strategy", "benchmark_cost",
-        (F.col("ordinal") == F.col("best.ordinal")).alias("is_best"),
-    )
+
+def forced_sweep(spark, sf_dir):
+    """OP33 over forced strategies, hierarchical among them, and two models."""
+    d = _forced_type(_para_variant(spark, sf_dir)).withColumn("raw_tokens", estimate_tokens("t"))
+    return sweep(d, FORCED_VARIANTS, SWEEP_MODELS, text_col="t")
 
 
 COMPARE_FIELDS = ("strategy", "target_tokens", "compressed_tokens", "benchmark_strategy")
@@ -692,6 +622,7 @@ QUERIES = {
     "distinct_content": distinct_content,
     "model_sweep": model_sweep,
     "config_sweep": config_sweep,
+    "forced_sweep": forced_sweep,
     "compare_runs": compare_runs_documents,
     "transcript_corpus": transcript_corpus,
     "page_corpus": page_corpus,
@@ -703,25 +634,5 @@ QUERIES = {
     "abstractive_callable": abstractive_callable,
     "hierarchical_callable": hierarchical_callable,
 }
-def file_roundtrip(spark, sf_dir):
-    """OP01/OP02/OP04 end to end: documents are written as one text file per
-    document under the shared checkpoint folder, read back as binary files,
-    decoded and run.  Each call writes to a fresh sub-folder."""
-    import uuid
-
-    from ..session import checkpoint_dir
-    from ..sources.files import read_files
-
-    root = f"{checkpoint_dir(spark).rstrip('/')}/files-{uuid.uuid4().hex}"
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    docs.write.partitionBy("doc_id").text(root)
-    corpus = read_files(spark, root, glob="*.txt")
-    runs = run_pipeline(spread(corpus), keep_text=False)
-    return runs.select(
-        F.regexp_extract("file_path", r"doc_id=(\d+)", 1).cast("bigint").alias("doc_id"),
-        "chars_normalized", "raw_tokens", "content_type", "strategy", "compressed_tokens",
-        "benchmark_strategy",
-    )
-
 
 QUERIES = {k: _widen(v) for k, v in QUERIES.items()}
