@@ -24,7 +24,7 @@ def spark():
     )
     s.sparkContext.setLogLevel("ERROR")
     if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tl-ckpt-"))
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tl-ckpt-"))
     yield s
 
 

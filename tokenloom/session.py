@@ -42,10 +42,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     cluster without a shared folder is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        if not spark.sparkContext.master.startswith("local["):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        d = tempfile.mkdtemp(prefix="tokenloom-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    if d:
+        spark.sparkContext.setCheckpointDir(d)
+        return d
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    # a running session refuses the setting, so its context remembers the folder
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tokenloom-ckpt-"))
+    return spark.sparkContext.getCheckpointDir()
