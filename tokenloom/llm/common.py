@@ -31,12 +31,15 @@ def shared_dir(spark: SparkSession) -> str:
     (tests); a cluster without a shared folder is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        if not spark.sparkContext.master.startswith("local["):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        d = "file://" + tempfile.mkdtemp(prefix="llm-shared-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    return d
+    if d:
+        return d
+    sc = spark.sparkContext
+    if not sc.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    # a running session refuses the setting, so its context remembers the folder
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="llm-shared-"))
+    return sc.getCheckpointDir()
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
