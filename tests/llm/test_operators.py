@@ -249,6 +249,23 @@ def test_lm_scoring(docs, none):
     assert lm_score.lm_score(none.select("doc_id", "text")).count() == 0
 
 
+def test_lm_scoring_of_pairs_seen_once(spark):
+    texts = [(i, f"left{i} right{i} left{i + 1}") for i in range(20)]
+    rows = spark.createDataFrame([*texts, (100, "left3 right3"), (101, "left3 right4")], "doc_id long, text string")
+    train = [t.encode().split() + [None] for _, t in texts]
+    count = collections.Counter(w for t in train for w in t)
+    total, heads = sum(count.values()) + 0.1 * (len(count) + 1), collections.Counter(w for t in train for w in [b""] + t[:-1])
+    pairs = collections.Counter(p for t in train for p in zip([b""] + t, t))
+    gain = {p: (n - lm_score.DISCOUNT) / heads[p[0]] for p, n in pairs.items()}
+    rest = {h: 1 - sum(g for p, g in gain.items() if p[0] == h) for h in heads}
+    model = lm_score.train(rows.where("doc_id < 100"))
+    got = by_id(lm_score.score(rows.where("doc_id >= 100"), model))
+    for i, t in ((100, [b"left3", b"right3", None]), (101, [b"left3", b"right4", None])):
+        want = sum(math.log10(gain.get(p, 0) + rest[p[0]] * (count[p[1]] + 0.1) / total) for p in zip([b""] + t, t))
+        assert abs(got[i]["score"] - want) < 1e-3 * len(t)
+    assert pairs[(b"left3", b"right3")] == 1 and got[100]["score"] > got[101]["score"] + 0.5
+
+
 def test_pipeline_by_stages(spark):
     import corpus_pipeline
 

@@ -3,8 +3,8 @@
 Counting: tasks count words and word pairs of the training documents in blocks
 of BLOCK_TOKENS tokens and send each shard (by the context word's hash) one
 packed, sorted array per block.  A shard's task sums them, discounts the pairs
-(absolute discounting; pairs seen once are not stored, their mass goes to the
-unigram model), and writes its trie into the shared folder.  What is gathered
+(absolute discounting; every pair is stored), and writes its trie into the shared
+folder.  What is gathered
 grows with the corpus; the driver gets two numbers a shard.
 
 Scoring: tasks look up a block's distinct words and pairs, shard by shard, in
@@ -36,7 +36,7 @@ from .lm_trie import ID_BITS, Shard, read_arrays, write_arrays
 
 BLOCK_TOKENS = 3_000_000
 DISCOUNT = 0.75
-LEAST_PAIR = 2
+LEAST_PAIR = 1  # every pair that was counted
 END, BEGIN = xxhash.xxh3_64_intdigest(b"\nend"), xxhash.xxh3_64_intdigest(b"\nbegin")  # no words: they hold white space
 _ID = np.uint64((1 << ID_BITS) - 1)
 
