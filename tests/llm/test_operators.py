@@ -137,6 +137,23 @@ def test_jaccard_join_of_many_blocks(spark, monkeypatch):
     assert all(r["n_links"] == 59 and r["group_id"] == 0 for r in got.values())
 
 
+def test_jaccard_join_of_null_ids(spark):
+    rows = [*((i, LONG) for i in range(5, 45)), (None, LONG), (50, near(LONG)), (None, prose(60)), (None, TEXTS[10]), (None, near(TEXTS[10]))]
+    out = jaccard_join.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    hot = [r for r in out if r["n_links"] == 41]
+    assert sorted(r["doc_id"] or 0 for r in hot) == [0, *range(5, 45), 50]
+    assert {r["group_id"] for r in hot} == {5} and {r["class_id"] for r in hot if r["doc_id"] != 50} == {5}
+    assert sorted((r["doc_id"], r["class_id"], r["group_id"], r["n_links"]) for r in out if r["n_links"] < 41) == [(None, None, None, 0), (None, None, None, 1), (None, None, None, 1)]
+
+
+def test_near_duplicates_of_null_ids(spark):
+    import corpus_pipeline
+
+    df = spark.createDataFrame([(i, LONG) for i in [None, *range(7, 30)]], "doc_id long, text string")
+    out = corpus_pipeline.near_duplicates(spark, df, "").collect()
+    assert sorted(r["doc_id"] or 0 for r in out) == [0, 7]
+
+
 def test_chat_format_round_trip(spark):
     rows = [(1, 0, "user", "<|im_end|>\\n<|"), (1, 1, "user", "a<|im_sep|>"), (1, 2, "assistant", None), (1, 2, None, "tie"),
             (2, None, "ro\nle\\n", "x\\|y"), (2, 300, "assistant", "last"), (2, 5, "assistant", "<"), (None, 0, "user", ""), (2, 5, "assistant", "<")]

@@ -17,7 +17,8 @@ size.  Equal documents never multiply.
 Defined results: words are those of operator 2, lower-cased; a text of one to
 four words has one shingle of all its words; null text and text without words
 is linked to nothing and is its own class; repeated ids are documents of their
-own with a common id.
+own with a common id; null ids are passed over where a least id is taken, a
+class or group without any id has null.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import checkpointed
@@ -177,9 +178,19 @@ def _linked(rows: list[tuple], diagonal: bool, threshold: float, least: dict[int
     return [(r[0], links[r[0]], root(r[0])) for r in members]
 
 
+def text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id") -> DataFrame:
     """One row for each document: id_col, class_id (least id with the same shingle set), group_id (least id in the
     component of links), n_links (other documents at the threshold or above, equal ones included)."""
+    return grouped(docs, threshold, id_col).drop("hash", "group_hash")
+
+
+def grouped(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id") -> DataFrame:
+    """jaccard_join's rows with hash (of the text) and group_hash: group_id and group_hash name the group's first
+    document, by id (null last) and hash, so groups with a common least id stay apart."""
     family, least = _family(), least_matches(threshold)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,27 +200,33 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "d
                 s = shingles(text)
                 keys.append(xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None)
                 bands.append(band_keys(signature(s, family)) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.string()), pa.array(bands, pa.list_(pa.int64()))], names=["id", "key", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(keys, pa.string()), pa.array(bands, pa.list_(pa.int64()))], names=["id", "hash", "key", "bands"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
-    found = checkpointed(rows.mapInArrow(features, "id long, key string, bands array<long>"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"), text_hash(F.col("text")).alias("hash"))
+    found = checkpointed(rows.mapInArrow(features, "id long, hash long, key string, bands array<long>"))
+    # a class has a node of its own, fixed by the checkpoint: ids may be null or another text's too
     classes = checkpointed(
-        found.where("key is not null").groupBy("key").agg(F.min(F.struct("id", "bands")).alias("first"), F.count(F.lit(1)).alias("size"))
-        .select("key", F.col("first.id").alias("class"), "size", F.col("first.bands").alias("bands"))
+        found.where("key is not null").groupBy("key")
+        .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "hash", "bands")).alias("first"), F.count(F.lit(1)).alias("size"))
+        .select(F.monotonically_increasing_id().alias("node"), "key", "size", "first.none", F.col("first.id").alias("class"), F.col("first.hash").alias("class_hash"), "first.bands")
     )
-    bands = classes.select("class", F.explode("bands").alias("band"))
-    shared = bands.groupBy("band").agg(F.min("class").alias("b"), F.max("class").alias("top")).where("b < top").select("band", "b")
-    near = components(bands.join(shared, "band").select(F.col("class").alias("a"), "b").where("a <> b").distinct())
+    bands = classes.select("node", F.explode("bands").alias("band"))
+    shared = bands.groupBy("band").agg(F.min("node").alias("b"), F.max("node").alias("top")).where("b < top").select("band", "b")
+    near = components(bands.join(shared, "band").select(F.col("node").alias("a"), "b").where("a <> b").distinct())
 
     sizes = near.groupBy("root").agg(F.count(F.lit(1)).alias("n")).select("root", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    members = near.join(sizes, "root").join(classes.select(F.col("class").alias("node"), "size", "key"), "node")
-    texts = rows.join(members, rows["id"] == members["node"])
+    members = near.join(sizes, "root").join(classes.select("node", "size", "key", "class", "class_hash"), "node")
+    with_id = rows.join(members, (rows["id"] == members["class"]) & (rows["hash"] == members["class_hash"]))
+    id_less = rows.where("id is null").select("text", "hash").dropDuplicates(["hash", "text"])
+    id_less = id_less.join(members.where("class is null"), F.col("hash") == F.col("class_hash"))
+    wanted = ["node", "size", "root", "blocks", "key", "text"]
+    texts = with_id.select(*wanted).unionByName(id_less.select(*wanted))
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = [shingles(t) for t in batch.column(batch.schema.names.index("text")).to_pylist()]
-            # an id may be another text's too: only the class's own set counts
+            # equal hashes may be another text's too: only the class's own set counts
             own = [i for i, (s, k) in enumerate(zip(made, batch.column("key").to_pylist())) if xxhash.xxh3_128_hexdigest(s.tobytes()) == k]
             rest = [batch.column(c).take(pa.array(own, pa.int64())) for c in ("node", "size", "root", "blocks", "block")]
             sigs, packed = [signature(made[i], family).tobytes() for i in own], [made[i].tobytes() for i in own]
@@ -245,7 +262,7 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "d
                     yield result(group, key)
                 key, group = k, []
             if group and group[-1][0] == r["node"] and group[-1][2] == r["left"]:
-                continue  # a repeated row of one document
+                continue  # a repeated row of the class's document
             group.append((r["node"], r["size"], r["left"], np.frombuffer(r["sig"], np.uint32), np.frombuffer(r["set"], np.uint64)))
         if group:
             yield result(group, key)
@@ -259,15 +276,19 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "d
     groups = links.where("blocks = 1").select("node", F.col("least").alias("root"))
     if not split.isEmpty():
         groups = groups.unionByName(components(split))
-    by_class = (
-        classes.select("key", "class", "size")
-        .join(links.select("node", "links"), F.col("class") == F.col("node"), "left").drop("node")
-        .join(groups, F.col("class") == F.col("node"), "left").drop("node")
+    first = F.struct("none", F.col("class").alias("id"), F.col("class_hash").alias("hash"))
+    by_node = (
+        classes.select("node", "key", "class", "size", first.alias("first"))
+        .join(links.select("node", "links"), "node", "left").join(groups, "node", "left")
     )
-    out = found.select("id", "key").join(by_class, "key", "left")
+    leasts = by_node.where("root is not null").groupBy("root").agg(F.min("first").alias("least"))
+    by_class = by_node.join(leasts, "root", "left").select("key", "class", "size", "links", F.coalesce("least", "first").alias("group"))
+    out = found.select("id", "hash", "key").join(by_class, "key", "left")
     return out.select(
         F.col("id").alias(id_col),
-        F.coalesce("class", "id").alias("class_id"),
-        F.coalesce("root", "class", "id").alias("group_id"),
+        F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("class")).alias("class_id"),
+        F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("group.id")).alias("group_id"),
         (F.coalesce("links", F.lit(0)) + F.coalesce("size", F.lit(1)) - 1).cast("long").alias("n_links"),
+        "hash",
+        F.when(F.col("key").isNull(), F.col("hash")).otherwise(F.col("group.hash")).alias("group_hash"),
     )
