@@ -26,15 +26,21 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each group of near duplicates (repeated rows of an id: one; without an id: all)."""
-    found = jaccard_join.jaccard_join(docs.select("doc_id", "text"))
-    gone = found.where("doc_id <> group_id").select("doc_id").distinct()
-    kept = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").select(*docs.columns)
-    twice = kept.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    """The document of least id of each group of near duplicates (equal rows: one; without an id: all).
+
+    Ids may repeat with different texts, so a document is its id and its text's hash.
+    """
+    hash_ = "__hash" + "_" * max(map(len, docs.columns))  # no column of the documents has this name
+    found = jaccard_join.grouped(docs.select("doc_id", "text")).withColumnRenamed("hash", hash_)
+    key = ["doc_id", hash_]
+    gone = found.where((F.col("doc_id") != F.col("group_id")) | (F.col(hash_) != F.col("group_hash"))).select(*key).distinct()
+    kept = docs.where("doc_id is not null").withColumn(hash_, jaccard_join.text_hash(F.col("text"))).join(gone, key, "left_anti")
+    kept, id_less = kept.select(*docs.columns, hash_), docs.where("doc_id is null")
+    twice = kept.groupBy(*key).count().where("count > 1").select(*key)
     if twice.isEmpty():
-        return kept.unionByName(docs.where("doc_id is null"))
-    again = kept.join(twice, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return kept.join(twice, "doc_id", "left_anti").select(*docs.columns).unionByName(again).unionByName(docs.where("doc_id is null"))
+        return kept.drop(hash_).unionByName(id_less)
+    again = kept.join(twice, key, "left_semi").dropDuplicates(key)
+    return kept.join(twice, key, "left_anti").unionByName(again).drop(hash_).unionByName(id_less)
 
 
 def _with_length(docs: DataFrame) -> DataFrame:

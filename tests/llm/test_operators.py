@@ -154,6 +154,19 @@ def test_near_duplicates_of_null_ids(spark):
     assert sorted(r["doc_id"] or 0 for r in out) == [0, 7]
 
 
+def test_repeated_ids_of_different_texts(spark):
+    import corpus_pipeline
+
+    other = prose(90)
+    rows = [(5, LONG), (5, other), (5, other), (6, near(LONG)), (7, near(other)), (7, TEXTS[10]), (7, TEXTS[10]), (8, TEXTS[11])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = jaccard_join.jaccard_join(df).collect()
+    assert sorted((r["doc_id"], r["group_id"], r["n_links"]) for r in out) == [(5, 5, 1), (5, 5, 2), (5, 5, 2), (6, 5, 1), (7, 5, 2), (7, 7, 1), (7, 7, 1), (8, 8, 0)]
+    out = corpus_pipeline.near_duplicates(spark, df, "")
+    assert out.columns == df.columns
+    assert sorted(map(tuple, out.collect())) == sorted([(5, LONG), (5, other), (7, TEXTS[10]), (8, TEXTS[11])])
+
+
 def test_chat_format_round_trip(spark):
     rows = [(1, 0, "user", "<|im_end|>\\n<|"), (1, 1, "user", "a<|im_sep|>"), (1, 2, "assistant", None), (1, 2, None, "tie"),
             (2, None, "ro\nle\\n", "x\\|y"), (2, 300, "assistant", "last"), (2, 5, "assistant", "<"), (None, 0, "user", ""), (2, 5, "assistant", "<")]
