@@ -114,6 +114,24 @@ def test_decontamination(spark, docs, none):
     assert all(not r["items"] for r in decontaminate.decontaminate(docs, bench.limit(0)).collect())
 
 
+def test_decontamination_in_several_passes(spark, monkeypatch):
+    words = LONG.split()
+    items = [(k, " ".join(words[k : k + 14])) for k in range(20, 90, 7)] + [(900, "a b c"), (901, TEXTS[10])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    ids = [1, 1, None, None, 2, 2, 3, 4, 5]
+    texts = [LONG, TEXTS[10], LONG, "a b c", LONG, LONG, None, "x A, b C y", prose(50)]
+    df = spark.createDataFrame([(i, t, f"r{k}") for k, (i, t) in enumerate(zip(ids, texts))], "doc_id long, text string, rest string").repartition(3)
+    shown = lambda found: sorted(map(repr, found.collect()))
+    want = shown(decontaminate.decontaminate(df, bench)), shown(decontaminate.decontaminate(df, bench, clean=True))
+    monkeypatch.setattr(decontaminate, "MAX_ITEM_BYTES", 250)
+    assert sum(len(t) for _, t in items) > 3 * 250
+    clean = decontaminate.decontaminate(df, bench, clean=True)
+    assert (shown(decontaminate.decontaminate(df, bench)), shown(clean)) == want
+    assert clean.columns == df.columns and len(want[0]) == len(ids)
+    by_rest = {r["rest"]: r["text"] for r in clean.collect()}
+    assert by_rest["r1"] == by_rest["r3"] == "" and by_rest["r7"] == "x  y" and by_rest["r8"] == texts[8]
+
+
 def test_jaccard_join(docs, none):
     got = by_id(jaccard_join.jaccard_join(docs))
     sets = {}

@@ -10,7 +10,9 @@ overlap by a phrase less one word, so no occurrence is lost.
 
 Test phrases: WINDOW consecutive words of an item; a shorter item is one
 phrase.  They are broadcast while they are below MAX_ITEM_BYTES of text; a
-larger benchmark goes in several passes, each with a part of the items.
+larger benchmark goes in several passes, each with a part of the items, over
+rows that are numbered and written once; the passes' spans are merged by row,
+and the text is cut once after that.
 
 Defined results: null text and text without words has no words and no hit; an
 empty benchmark or one without words hits nothing; repeated documents and items
@@ -29,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from .common import checkpointed
 from .fm_index import FMIndex
 
 WINDOW = 10
@@ -176,23 +179,26 @@ def _pass(docs: DataFrame, phrases: Phrases, id_col: str, window: int, clean: bo
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, clean: bool = False, id_col: str = "doc_id") -> DataFrame:
     """id_col, n_words, spans (merged word spans start, stop), items (ids that occur).
 
-    clean: the documents themselves instead, their text without its spans (for a benchmark of one pass).
+    clean: the documents themselves instead, their text without its spans.
     """
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.coalesce("text", F.lit("")).alias("text"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     passes = -(-size // MAX_ITEM_BYTES) or 1
-    if clean and passes > 1:
-        raise ValueError("a benchmark of several passes gives spans only")
-    results = []
-    for k in range(passes):
+
+    def phrases(k: int) -> Phrases:
         part = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(passes)) == k) if passes > 1 else items
-        results.append(_pass(docs, Phrases([tuple(r) for r in part.collect()], window), id_col, window, clean))
+        return Phrases([tuple(r) for r in part.collect()], window)
+
     if passes == 1:
-        return results[0]
-    out = results[0]
-    for more in results[1:]:
-        out = out.unionByName(more)
-    union = F.aggregate(
+        return _pass(docs, phrases(0), id_col, window, clean)
+    # a row has a key of its own, fixed by the checkpoint: ids may be null or repeated
+    own = [id_col, "text", *(c for c in docs.columns if clean and c not in (id_col, "text"))]
+    numbered = checkpointed(docs.select(F.monotonically_increasing_id().alias("key"), F.struct(*own).alias("doc")))
+    texts = numbered.select("key", F.col("doc.text").alias("text"))
+    found = _pass(texts, phrases(0), "key", window, False)
+    for k in range(1, passes):
+        found = found.unionByName(_pass(texts, phrases(k), "key", window, False))
+    spans = F.aggregate(
         F.array_sort(F.flatten(F.collect_list("spans"))),
         F.array().cast("array<struct<start:long,stop:long>>"),
         lambda acc, s: F.when(
@@ -203,4 +209,22 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, c
             ),
         ).otherwise(F.concat(acc, F.array(s))),
     )
-    return out.groupBy(id_col).agg(F.max("n_words").alias("n_words"), union.alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
+    merged = found.groupBy("key").agg(
+        F.max("n_words").alias("n_words"), spans.alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
+    )
+    rows = numbered.join(merged, "key")
+    if not clean:
+        return rows.select(F.col(f"doc.`{id_col}`").alias(id_col), "n_words", "spans", "items")
+    return _cut(rows.select("doc", "spans")).select(*[F.col("text") if c == "text" else F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
+
+
+def _cut(rows: DataFrame) -> DataFrame:
+    """doc and text: doc's text without the spans."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(0).field("text").to_pylist()
+            cut = [without_spans(t or "", [(x["start"], x["stop"]) for x in s]) if s else t or "" for t, s in zip(texts, batch.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cut, pa.string())], names=["doc", "text"])
+
+    return rows.mapInArrow(run, f"doc {rows.schema['doc'].dataType.simpleString()}, text string")
