@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_format, decontaminate, jaccard_join, lm_score, quality_rules, suffix_dedup, token_counts, url_rules, weak_quality
+from . import (
+    byte_bpe, chat_format, decontaminate, jaccard_join, lm_score, merkle_manifest, quality_rules, suffix_dedup, token_counts,
+    url_rules, weak_quality,
+)
 from .common import table
 
 
@@ -69,8 +72,25 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.lm_score(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+#: the columns that a leaf hashes, and the divisor of the crc32 of an id whose row is tampered with
+LEAF_COLUMNS, TAMPERED = ("doc_id", "source", "lang", "n_chars", "text"), 7
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    longer = [F.col(c).cast("decimal(20,0)") + 1 if c == "n_chars" else F.col(c) for c in LEAF_COLUMNS]
+    tampered = F.crc32(F.col("doc_id").cast("string")) % TAMPERED == 0
+    leaves = docs.select("doc_id", "lang", merkle_manifest.leaf_hash([F.col(c) for c in LEAF_COLUMNS]).alias("leaf"),
+                         F.when(tampered, merkle_manifest.leaf_hash(longer)).alias("claimed"))
+    found = merkle_manifest.merkle_manifest(leaves, "lang", "doc_id", "leaf", ["claimed"])
+    found = found.withColumn("folded_root", merkle_manifest.fold(F.coalesce("claimed", "leaf"), F.col("siblings")))
+    return found.select("doc_id", "leaf", "subroot", "root", merkle_manifest.proof_hash(F.col("siblings")).alias("proof_sha256"),
+                        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_classifier, op2_decontamination, op3_jaccard_join, op4_chat_formatting, op5_quality_rules, op6_token_counts, op7_byte_bpe, op8_url_filters, op9_suffix_dedup, op10_lm_scoring,
+    op11_merkle_manifest,
 )}
 
 _FOLDED = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -148,5 +168,50 @@ WITH rules(rh, rp, verdict) AS (
     FROM split, rules WHERE (host = rh OR host LIKE '%.' || rh) AND starts_with(path, rp) GROUP BY n
 )
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM split LEFT JOIN best USING (n)
+""",
+    "op11_merkle_manifest": r"""
+WITH RECURSIVE typed AS (
+    SELECT doc_id, lang, n_chars::HUGEINT AS chars, doc_id::VARCHAR AS d, source::VARCHAR AS s, lang::VARCHAR AS l, text AS t FROM documents
+), sums AS (
+    SELECT *, list_reduce([4294967295] || list_transform(string_split(d, ''), lambda c: ascii(c)::BIGINT),
+        lambda h, b: list_reduce([xor(h, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))) AS crc
+    FROM typed
+), claims AS (
+    SELECT *, coalesce(xor(crc, 4294967295) % 7 = 0, false) AS tampered,
+        coalesce(strlen(d) || ':' || d, '-') || coalesce(strlen(s) || ':' || s, '-') || coalesce(strlen(l) || ':' || l, '-') AS a,
+        coalesce(strlen(t) || ':' || t, '-') AS z FROM sums
+), leaves AS (
+    SELECT doc_id, lang, tampered, sha256(a || coalesce(strlen(chars::VARCHAR) || ':' || chars, '-') || z) AS leaf,
+        sha256(a || coalesce(strlen((chars + 1)::VARCHAR) || ':' || (chars + 1), '-') || z) AS other FROM claims
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM leaves
+), trees(lang, level, hs) AS (
+    SELECT lang, 0, list(leaf ORDER BY i) FROM placed GROUP BY lang
+    UNION ALL SELECT lang, level + 1, list_transform(range(0, (len(hs) + 1) // 2),
+        lambda k: sha256(hs[2 * k + 1] || coalesce(hs[2 * k + 2], ''))) FROM trees WHERE len(hs) > 1
+), tops AS (SELECT lang, hs[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS j FROM trees WHERE len(hs) = 1),
+upper(level, hs) AS (
+    SELECT 0, list(subroot ORDER BY j) FROM tops HAVING count(*) > 0
+    UNION ALL SELECT level + 1, list_transform(range(0, (len(hs) + 1) // 2),
+        lambda k: sha256(hs[2 * k + 1] || coalesce(hs[2 * k + 2], ''))) FROM upper WHERE len(hs) > 1
+), steps AS (
+    SELECT lang, level, hs, 0 AS part FROM trees WHERE len(hs) > 1
+    UNION ALL SELECT lang, level, hs, 1 FROM tops, upper WHERE len(hs) > 1
+), paths AS (
+    SELECT p.doc_id, p.lang, p.leaf, list({
+        'own': ((CASE part WHEN 0 THEN p.i ELSE t.j END) >> level) & 1,
+        'other': coalesce(hs[xor((CASE part WHEN 0 THEN p.i ELSE t.j END) >> level, 1) + 1], '')} ORDER BY part, level)
+        FILTER (level IS NOT NULL) AS path
+    FROM placed p JOIN tops t ON t.lang IS NOT DISTINCT FROM p.lang
+    LEFT JOIN steps s ON s.lang IS NOT DISTINCT FROM p.lang GROUP BY ALL
+), folded AS (
+    SELECT p.doc_id, p.lang, p.leaf, list_reduce(
+        [CASE WHEN tampered THEN other ELSE p.leaf END] || list_transform(coalesce(path, []), lambda x: x.own || x.other),
+        lambda h, x: CASE WHEN x[1] = '0' THEN sha256(h || x[2:]) ELSE sha256(x[2:] || h) END) AS folded_root,
+        sha256(array_to_string(list_transform(coalesce(path, []), lambda x: x.other), '')) AS proof_sha256
+    FROM placed p JOIN paths q ON q.doc_id IS NOT DISTINCT FROM p.doc_id AND q.leaf = p.leaf AND q.lang IS NOT DISTINCT FROM p.lang
+)
+SELECT f.doc_id, f.leaf, t.subroot, u.hs[1] AS root, proof_sha256, folded_root, folded_root = u.hs[1] AS verified
+FROM folded f JOIN tops t ON t.lang IS NOT DISTINCT FROM f.lang, upper u WHERE len(u.hs) = 1
 """,
 }
