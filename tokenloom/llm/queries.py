@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    byte_bpe, chat_format, decontaminate, jaccard_join, lm_score, merkle_manifest, quality_rules, suffix_dedup, token_counts,
-    url_rules, weak_quality,
+    byte_bpe, chat_format, decontaminate, jaccard_join, lm_score, merkle_manifest, periodic_text, quality_rules,
+    suffix_dedup, token_counts, url_rules, weak_quality,
 )
 from .common import table
 
@@ -88,9 +88,21 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    key = F.crc32(F.col("doc_id").cast("string"))
+    found = periodic_text.periodic_text(docs.select("doc_id", periodic_text.planted(F.col("text"), key).alias("text")))
+    found = found.withColumn("best", periodic_text.longest(F.col("runs")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        periodic_text.runs_hash(F.col("runs")).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_classifier, op2_decontamination, op3_jaccard_join, op4_chat_formatting, op5_quality_rules, op6_token_counts, op7_byte_bpe, op8_url_filters, op9_suffix_dedup, op10_lm_scoring,
-    op11_merkle_manifest,
+    op11_merkle_manifest, op12_periodic_runs,
 )}
 
 _FOLDED = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
