@@ -1,4 +1,4 @@
-"""Training-data operators: ten corpus operators and their queries.
+"""Training-data operators: corpus operators and their queries.
 
 Nothing else in the library imports this subpackage.  Code that runs in Python
 tasks is pickled by value, so executors need no copy of the package on their

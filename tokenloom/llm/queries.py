@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators: whole tables, production parameters."""
+"""The registered queries of the operators: whole tables, production parameters."""
 
 from __future__ import annotations
 
@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    byte_bpe, chat_format, decontaminate, jaccard_join, lm_score, merkle_manifest, periodic_text, quality_rules,
-    suffix_dedup, token_counts, url_rules, weak_quality,
+    byte_bpe, chat_format, decontaminate, html_extract, jaccard_join, lm_score, merkle_manifest, periodic_text,
+    quality_rules, suffix_dedup, token_counts, url_rules, weak_quality,
 )
 from .common import table
 
@@ -100,9 +100,13 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.html_extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_classifier, op2_decontamination, op3_jaccard_join, op4_chat_formatting, op5_quality_rules, op6_token_counts, op7_byte_bpe, op8_url_filters, op9_suffix_dedup, op10_lm_scoring,
-    op11_merkle_manifest, op12_periodic_runs,
+    op11_merkle_manifest, op12_periodic_runs, op13_html_extraction,
 )}
 
 _FOLDED = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -225,5 +229,15 @@ upper(level, hs) AS (
 )
 SELECT f.doc_id, f.leaf, t.subroot, u.hs[1] AS root, proof_sha256, folded_root, folded_root = u.hs[1] AS verified
 FROM folded f JOIN tops t ON t.lang IS NOT DISTINCT FROM f.lang, upper u WHERE len(u.hs) = 1
+""",
+    "op13_html_extraction": r"""
+WITH bodies AS (
+    SELECT page_id, url, regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1), '<[^>]*>', ' ', 'g') AS body FROM pages
+), shown AS (
+    SELECT page_id, url, replace(replace(replace(replace(regexp_replace(body, '&amp;?', chr(1), 'g'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'),
+        chr(1), '&') AS body FROM bodies
+)
+SELECT page_id, url, trim(regexp_replace(body, '[\s\pZ]+', ' ', 'g')) AS text,
+    length(trim(regexp_replace(body, '[\s\pZ]+', ' ', 'g')))::BIGINT AS n_chars FROM shown
 """,
 }
