@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import blocks
+from .common import blocks, opened, shared
 from .merge_replay import Ranks, pair_key, replay
 
 MEMO = 250_000
@@ -93,13 +93,13 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "do
 
 
 def _encoded(docs: DataFrame, ranks_path: str, pattern: str, id_col: str, digest: bool) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(ByteModel(ranks_path))
+    held = shared(docs.sparkSession, ByteModel(ranks_path))
     dtype = docs.schema[id_col].dataType.simpleString()
     id_type = to_arrow_type(docs.schema[id_col].dataType)
     splitter = white_space(pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = opened(held)
         find, memo = regex.compile(splitter).findall, {}
         spell = {i: b for b, i in model.ranks.items()}
         for ids, texts in blocks(batches):
@@ -134,11 +134,11 @@ def _encoded(docs: DataFrame, ranks_path: str, pattern: str, id_col: str, digest
 
 def decode(encoded: DataFrame, ranks_path: str, ids: str = "ids") -> DataFrame:
     """The rows with `decoded` (binary) in place of the ids; null ids decode to null."""
-    shared = encoded.sparkSession.sparkContext.broadcast({i: b for b, i in read_ranks(ranks_path).items()})
+    held = encoded.sparkSession.sparkContext.broadcast({i: b for b, i in read_ranks(ranks_path).items()})
 
     @F.pandas_udf("binary")
     def joined(column):
-        spell = shared.value
+        spell = held.value
         return column.map(lambda x: None if x is None else b"".join(spell[int(i)] for i in x))
 
     return encoded.withColumn("decoded", joined(F.col(ids))).drop(ids)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +53,24 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def shared(spark: SparkSession, value) -> Broadcast:
+    """A broadcast of any object, its class by value: workers need no copy of this package.  Tasks read it with `opened`."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def opened(b: Broadcast):
+    """The object of `shared`, unpickled once in each Python worker."""
+    if not hasattr(b, "opened_value"):
+        b.opened_value = pickle.loads(b.value)
+    return b.opened_value
+
+
+def without(columns: list[str], names) -> list[str]:
+    """The columns that have none of the names, in any case (Spark's column names ignore case)."""
+    taken = {n.lower() for n in names}
+    return [c for c in columns if c.lower() not in taken]
+
+
 def new_folder(spark: SparkSession, what: str) -> str:
     """A path in the shared folder that no other run uses."""
     return f"{shared_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import checkpointed
+from .common import checkpointed, opened, shared
 from .fm_index import FMIndex
 
 WINDOW = 10
@@ -111,12 +111,13 @@ def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
 
 
 def _pass(docs: DataFrame, phrases: Phrases, id_col: str, window: int, clean: bool) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(phrases)
+    held_phrases = shared(docs.sparkSession, phrases)
     id_type = to_arrow_type(docs.schema[id_col].dataType)
     dtype = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        phrases, sizes = shared.value, shared.value.lengths.tolist()
+        phrases = opened(held_phrases)
+        sizes = phrases.lengths.tolist()
         get = phrases.vocabulary.get
         docs_: list[list] = []  # id, words, hits, text, other columns; all but the last are complete
         pieces: list[tuple[int, int, np.ndarray]] = []  # document, first word, symbols

@@ -7,14 +7,15 @@ target multinomial over trusted documents.  A document's score is the sum of
 log(target / raw) over its n-grams, divided by their number; it is kept when
 the score reaches THRESHOLD.  Nothing is random.
 
-The trusted documents are a bounded sample of the labelled rows (TRUSTED_ROWS,
-first by hash of the id), so their ids can be broadcast; raw counts cover all
-documents.  What reaches the driver is one row for each bin.
+Target counts cover all documents whose id is trusted, raw counts all documents;
+how the ids are joined is Spark's choice by their size.  What reaches the driver
+is one row for each bin.
 
 Defined results: a null text has no words; an empty or short text (n_words
 below MIN_WORDS) fails the base rules; with no trusted rows every ratio is 0;
-repeated ids are judged row by row; extra columns of the documents pass
-through, and columns with the names of the results are replaced.
+repeated ids are judged row by row; extra columns of the documents pass through,
+whatever their names, but those named like a result (in any case) are replaced
+by it; `judged` keeps these too, since it returns row and results as two structs.
 """
 
 from __future__ import annotations
@@ -24,15 +25,16 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import without
+
 BUCKETS = 16384
-TRUSTED_ROWS = 20_000
 MIN_WORDS = 50
 THRESHOLD = -0.2
 SMOOTHING = 0.5
 SPACE = r"[\x20\x09-\x0D]"
 SPACES = " \t\n\x0b\x0c\r"
 MARKS = r"[#*$%&|<>]"
-RESULTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept")
+RESULTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
 
 
 def _let(value: Column, use) -> Column:
@@ -98,11 +100,8 @@ def gram_weights(docs: DataFrame, trusted: DataFrame | None) -> list[float]:
     rows = docs.select("doc_id", text.alias("text"))
     flag = F.lit(False)
     if trusted is not None:
-        ids = (
-            trusted.where("doc_id is not null").select(F.col("doc_id").alias("__id")).distinct()
-            .orderBy(F.xxhash64("__id"), "__id").limit(TRUSTED_ROWS)
-        )
-        rows = rows.join(F.broadcast(ids), rows["doc_id"] == F.col("__id"), "left")
+        ids = trusted.where("doc_id is not null").select(F.col("doc_id").alias("__id")).distinct()
+        rows = rows.join(ids, rows["doc_id"] == F.col("__id"), "left")
         flag = F.col("__id").isNotNull()
     words = rows.select(flag.alias("trusted"), _words(F.col("text")).alias("w"))
     pairs = words.select("trusted", F.explode(F.arrays_zip(F.col("w").alias("a"), _from(F.col("w"), 2, 0).alias("b"))).alias("g"))
@@ -126,39 +125,43 @@ def gram_weights(docs: DataFrame, trusted: DataFrame | None) -> list[float]:
     ]
 
 
-def quality_rules(docs: DataFrame, trusted: DataFrame | None, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, score and kept."""
+def judged(docs: DataFrame, trusted: DataFrame | None, threshold: float = THRESHOLD) -> DataFrame:
+    """row (struct of all columns of the document) and result (struct of RESULTS)."""
     weights = gram_weights(docs, trusted)
     w = F.split(F.lit(",".join(map(repr, weights))), ",").cast("array<double>")
-    own = [c for c in docs.columns if c not in RESULTS]
-    text = F.col("__text")
-    rows = docs.select(*own, F.coalesce(F.col("text"), F.lit("")).alias("__text"))
-    rows = rows.select("*", _words(text).alias("__words"), F.filter(F.split(text, "\n"), lambda x: F.ltrim(F.translate(x, "\t\x0b\x0c\r", "    ")) != "").alias("__lines"))
-    words = F.col("__words")
+    text = F.col("text")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(text, F.lit("")).alias("text"))
+    rows = rows.select("*", _words(text).alias("words"), F.filter(F.split(text, "\n"), lambda x: F.ltrim(F.translate(x, "\t\x0b\x0c\r", "    ")) != "").alias("lines"))
+    words = F.col("words")
     rows = rows.select(
-        *own,
+        "row",
         F.size(words).cast("long").alias("n_words"),
         F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
         F.regexp_count(text, F.lit(MARKS)).cast("long").alias("n_symbols"),
-        (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("n_dup_lines"),
-        F.transform(F.arrays_zip(_from(words, 1, 2), _from(words, 2, 1), _from(words, 3, 0)), lambda x: F.xxhash64(x)).alias("__tri"),
-        F.transform(words, lambda x: F.xxhash64(x)).alias("__h"),
+        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
+        F.transform(F.arrays_zip(_from(words, 1, 2), _from(words, 2, 1), _from(words, 3, 0)), lambda x: F.xxhash64(x)).alias("tri"),
+        F.transform(words, lambda x: F.xxhash64(x)).alias("h"),
     )
-    h = F.col("__h")
+    h = F.col("h")
     ones = F.aggregate(h, F.lit(0.0), lambda acc, x: acc + w[_bin(x)])
-    twos = F.aggregate("__pairs", F.lit(0.0), lambda acc, x: acc + w[x])
-    rows = rows.select("*", F.zip_with(_from(h, 1, 1), _from(h, 2, 0), lambda x, y: _bin(F.xxhash64(x, y))).alias("__pairs"))
-    grams = F.size(h) + F.size("__pairs")
+    twos = F.aggregate("pairs", F.lit(0.0), lambda acc, x: acc + w[x])
+    rows = rows.select("*", F.zip_with(_from(h, 1, 1), _from(h, 2, 0), lambda x, y: _bin(F.xxhash64(x, y))).alias("pairs"))
+    grams = F.size(h) + F.size("pairs")
     rows = rows.select(
-        *own, "n_words", "word_chars", "n_symbols", "n_dup_lines",
-        _repeat_words(F.col("__tri")).alias("n_repeat_words"),
+        "row", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+        _repeat_words(F.col("tri")).alias("n_repeat_words"),
         F.when(grams > 0, (ones + twos) / grams).otherwise(0.0).alias("score"),
     )
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return rows.select(
-        *own, *RESULTS[:5], failed.alias("base_failed"), "score",
-        (~failed & (F.col("score") >= threshold)).alias("kept"),
-    )
+    rows = rows.select("*", failed.alias("base_failed")).select(
+        "*", (~F.col("base_failed") & (F.col("score") >= threshold)).alias("kept"))
+    return rows.select("row", F.struct(*RESULTS).alias("result"))
+
+
+def quality_rules(docs: DataFrame, trusted: DataFrame | None, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept and score."""
+    own = without(docs.columns, RESULTS)
+    return judged(docs, trusted, threshold).select(*[F.col(f"row.`{c}`") for c in own], "result.*")
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:

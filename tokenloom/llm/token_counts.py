@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import blocks
+from .common import blocks, opened, shared
 from .merge_replay import Ranks, pair_key, replay
 
 MEMO = 500_000
@@ -96,13 +96,13 @@ def normal(text: str) -> str:
 
 
 def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 2048, id_col: str = "doc_id") -> DataFrame:
-    """id_col, n_bytes, n_tokens, n_whole (pre-tokens counted by the shortcut), over_limit."""
-    shared = docs.sparkSession.sparkContext.broadcast(WordModel(tokenizer_path))
+    """id_col, n_bytes, n_tokens, over_limit, n_whole (pre-tokens counted by the shortcut)."""
+    held = shared(docs.sparkSession, WordModel(tokenizer_path))
     dtype = docs.schema[id_col].dataType.simpleString()
     id_type = to_arrow_type(docs.schema[id_col].dataType)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = opened(held)
         find, one, memo = regex.compile(PRETOKEN).findall, model.one, {}
         special = regex.compile("|".join(map(regex.escape, model.special))) if model.special else None
         for ids, texts in blocks(batches):
@@ -130,4 +130,4 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 2048, id_col
 
     rows = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col("text"), F.lit("")).alias("__text"))
     out = rows.mapInArrow(count, f"`{id_col}` {dtype}, n_bytes long, n_tokens long, n_whole long")
-    return out.withColumn("over_limit", F.col("n_tokens") > limit)
+    return out.select(id_col, "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"), "n_whole")

@@ -15,7 +15,7 @@ Defined results: null url or one without `://` has empty host and path and no
 rule; rules without a host are ignored; repeated rules for one host and path
 count once, `block` before `allow`; of fitting rules the longest text (host +
 path) wins, ties by text; extra columns of the pages pass through
-(columns named host, path, rule or verdict are replaced by the results).
+(columns named host, path, rule or verdict, in any case, are replaced by the results).
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, checkpointed
+from .common import ascii_lower, checkpointed, without
 
 
 def host_and_path(url):
@@ -68,7 +68,6 @@ def url_rules(pages: DataFrame, rules: DataFrame, default: str = "allow", url: s
     """The pages with host, path, rule (null: none fits) and verdict."""
     spark = pages.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    host, path = host_and_path(F.col(url))
     urls = pages.select(F.col(url).alias("__url")).where("__url is not null").distinct()
     h, p = host_and_path(F.col("__url"))
     events = rule_events(rules)
@@ -105,9 +104,11 @@ def url_rules(pages: DataFrame, rules: DataFrame, default: str = "allow", url: s
         .groupBy("__url")
         .agg(F.max(F.struct(F.length("top.rule").alias("n"), F.col("top.rule").alias("rule"), F.col("top.verdict").alias("verdict"))).alias("__hit"))
     )
-    out = pages.drop("host", "path", "rule", "verdict").join(found, pages[url] == found["__url"], "left")
+    rows = pages.select(F.struct(*pages.columns).alias("row"), F.col(url).alias("own_url"))
+    out = rows.join(found, rows["own_url"] == found["__url"], "left")
+    host, path = host_and_path(F.col("own_url"))
     return out.select(
-        *[pages[c] for c in pages.columns if c not in ("host", "path", "rule", "verdict")],
+        *[F.col(f"row.`{c}`") for c in without(pages.columns, ("host", "path", "rule", "verdict"))],
         host.alias("host"),
         path.alias("path"),
         F.col("__hit.rule").alias("rule"),

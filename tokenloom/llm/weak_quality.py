@@ -151,12 +151,15 @@ def weak_quality(docs: DataFrame, id_col: str = "doc_id", keep: float = KEEP) ->
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             said = [votes(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(said, pa.string())], names=["__id", "votes"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(said, pa.string()), batch.column(2)], names=["__id", "votes", "__hash"])
 
-    voted = checkpointed(rows.mapInArrow(vote, f"__id {dtype}, votes string"))
+    # rows are told apart by id and text, so that an id with several texts gives its sample the votes of the text that is taken
+    rows = rows.withColumn("__hash", F.xxhash64("__text"))
+    voted = checkpointed(rows.mapInArrow(vote, f"__id {dtype}, votes string, __hash long"))
     counts = {r[0]: r[1] for r in voted.groupBy("votes").count().collect()}
     model = LabelModel(counts)
-    chosen = voted.where("__id is not null").groupBy("__id").agg(F.min("votes").alias("votes")).orderBy(F.xxhash64("__id"), "__id").limit(SAMPLE)
+    chosen = voted.where("__id is not null").groupBy("__id").agg(F.min(F.struct("votes", "__hash")).alias("own"))
+    chosen = chosen.select("__id", "own.votes", "own.__hash").orderBy(F.xxhash64("__id"), "__id").limit(SAMPLE)
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shapes: dict[bytes, int] = {}
@@ -165,7 +168,7 @@ def weak_quality(docs: DataFrame, id_col: str = "doc_id", keep: float = KEEP) ->
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.binary())], names=["votes", "x"])
 
     sample = (
-        rows.join(F.broadcast(chosen), "__id").select("votes", "__text", "__id").dropDuplicates(["__id"])
+        rows.join(F.broadcast(chosen), ["__id", "__hash"]).select("votes", "__text", "__id").dropDuplicates(["__id"])
         .select("votes", "__text").mapInArrow(featured, "votes string, x binary").toArrow()
     )
     if sample.num_rows:
