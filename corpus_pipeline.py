@@ -18,11 +18,10 @@ from tokenloom.llm.common import new_folder, table
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep; rejected ones go."""
-    judged = quality_rules.quality_rules(docs, quality_rules.trusted_ids(table(spark, sf_dir, "labels")))
+    judged = quality_rules.judged(docs, quality_rules.trusted_ids(table(spark, sf_dir, "labels")))
     # a filter is never pushed below a row number: without it the rules would be evaluated again for the filter
-    row = "__row" + "_" * max(map(len, docs.columns))  # no column of the documents has this name
-    numbered = judged.select("*", F.monotonically_increasing_id().alias(row))
-    return numbered.where(F.col("kept") & (F.col(row) >= 0)).select(*docs.columns)
+    numbered = judged.select("*", F.monotonically_increasing_id().alias("number"))
+    return numbered.where(F.col("result.kept") & (F.col("number") >= 0)).select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
