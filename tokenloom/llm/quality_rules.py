@@ -7,9 +7,9 @@ target multinomial over trusted documents.  A document's score is the sum of
 log(target / raw) over its n-grams, divided by their number; it is kept when
 the score reaches THRESHOLD.  Nothing is random.
 
-Target counts cover all documents whose id is trusted, raw counts all documents;
-how the ids are joined is Spark's choice by their size.  What reaches the driver
-is one row for each bin.
+Raw counts cover all documents.  Target counts cover the documents whose id is
+trusted, up to `trusted_rows` ids (first by hash of the id above that), since the
+ids are broadcast.  What reaches the driver is one row for each bin.
 
 Defined results: a null text has no words; an empty or short text (n_words
 below MIN_WORDS) fails the base rules; with no trusted rows every ratio is 0;
@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from .common import without
 
 BUCKETS = 16384
+#: trusted ids that are broadcast at most, 8 MB
+TRUSTED_ROWS = 500_000
 MIN_WORDS = 50
 THRESHOLD = -0.2
 SMOOTHING = 0.5
@@ -94,14 +96,15 @@ def _repeat_words(tri: Column) -> Column:
     return _let(again, count).cast("long")
 
 
-def gram_weights(docs: DataFrame, trusted: DataFrame | None) -> list[float]:
-    """log(target / raw) of each bin.  trusted: table with doc_id, or None."""
+def gram_weights(docs: DataFrame, trusted: DataFrame | None, trusted_rows: int = TRUSTED_ROWS) -> list[float]:
+    """log(target / raw) of each bin.  trusted: table with doc_id, or None; at most trusted_rows ids of it count."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", text.alias("text"))
     flag = F.lit(False)
     if trusted is not None:
         ids = trusted.where("doc_id is not null").select(F.col("doc_id").alias("__id")).distinct()
-        rows = rows.join(ids, rows["doc_id"] == F.col("__id"), "left")
+        ids = ids.orderBy(F.xxhash64("__id"), "__id").limit(trusted_rows)
+        rows = rows.join(F.broadcast(ids), rows["doc_id"] == F.col("__id"), "left")
         flag = F.col("__id").isNotNull()
     words = rows.select(flag.alias("trusted"), _words(F.col("text")).alias("w"))
     pairs = words.select("trusted", F.explode(F.arrays_zip(F.col("w").alias("a"), _from(F.col("w"), 2, 0).alias("b"))).alias("g"))
@@ -125,9 +128,9 @@ def gram_weights(docs: DataFrame, trusted: DataFrame | None) -> list[float]:
     ]
 
 
-def judged(docs: DataFrame, trusted: DataFrame | None, threshold: float = THRESHOLD) -> DataFrame:
+def judged(docs: DataFrame, trusted: DataFrame | None, threshold: float = THRESHOLD, trusted_rows: int = TRUSTED_ROWS) -> DataFrame:
     """row (struct of all columns of the document) and result (struct of RESULTS)."""
-    weights = gram_weights(docs, trusted)
+    weights = gram_weights(docs, trusted, trusted_rows)
     w = F.split(F.lit(",".join(map(repr, weights))), ",").cast("array<double>")
     text = F.col("text")
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(text, F.lit("")).alias("text"))
@@ -158,10 +161,10 @@ def judged(docs: DataFrame, trusted: DataFrame | None, threshold: float = THRESH
     return rows.select("row", F.struct(*RESULTS).alias("result"))
 
 
-def quality_rules(docs: DataFrame, trusted: DataFrame | None, threshold: float = THRESHOLD) -> DataFrame:
+def quality_rules(docs: DataFrame, trusted: DataFrame | None, threshold: float = THRESHOLD, trusted_rows: int = TRUSTED_ROWS) -> DataFrame:
     """The documents with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept and score."""
     own = without(docs.columns, RESULTS)
-    return judged(docs, trusted, threshold).select(*[F.col(f"row.`{c}`") for c in own], "result.*")
+    return judged(docs, trusted, threshold, trusted_rows).select(*[F.col(f"row.`{c}`") for c in own], "result.*")
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
