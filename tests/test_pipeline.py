@@ -176,19 +176,6 @@ def test_summary_cache_calls_model_once(spark, sf):
     assert calls.value == n_first  # second pass answered from the cache
 
 
-def test_salted_join_back_equals_plain_join(spark):
-    from tokenloom.operators.runs import attach_to_copies
-
-    copies = spark.createDataFrame(
-        [(f"d{i}", "hot" if i % 3 else f"k{i}") for i in range(300)], "doc_key string, fingerprint string")
-    results = copies.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("copies")).withColumn(
-        "v", F.length("fingerprint"))
-    plain = copies.join(results, "fingerprint")
-    for salts in (1, 8, 64):
-        salted = attach_to_copies(copies, results, salts=salts)
-        assert sorted(salted.select(*plain.columns).collect()) == sorted(plain.collect())
-
-
 def _corpus(spark, rows):
     """(doc_key, filename, raw_text) rows in the corpus shape."""
     df = spark.createDataFrame(rows, "doc_key string, filename string, raw_text string")
@@ -197,14 +184,6 @@ def _corpus(spark, rows):
                      F.encode("raw_text", "UTF-8").alias("content"), "raw_text")
 
 
-def test_equal_bytes_under_other_names_are_other_content(spark):
-    from tokenloom.operators.runs import count_copies
-
-    runs = run_pipeline(_corpus(spark, [("1", "a.py", "x = 1"), ("2", "b.txt", "x = 1"), ("3", "c.py", "x = 1"), ("4", None, "")]))
-    got = {r.doc_key: (r.content_type, r.copies) for r in count_copies(runs).collect()}
-    assert got["1"] == got["3"] == ("code", 2) and got["2"] == ("document", 1) and got["4"][1] == 1
-
-
 def test_rejects_are_split_off_and_never_accepted(spark):
     from tokenloom.sources.tables import split_rejects
 

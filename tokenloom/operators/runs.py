@@ -1,5 +1,5 @@
-"""OP28-OP34: run identity, stage report, run summary, corpus rollup,
-distinct-content reuse, model/config sweeps and run comparison."""
+"""OP28-OP31, OP34: run identity, stage report, run summary, corpus rollup and
+run comparison."""
 
 from __future__ import annotations
 
@@ -27,7 +27,8 @@ def run_id_expr(fingerprint: Column, run_ts: str) -> Column:
 
 
 def with_run_identity(df: DataFrame, model, run_ts: str, content_col: str = "content") -> DataFrame:
-    fp = fingerprint_expr(F.col(content_col), model)
+    """A fingerprint that the rows bring along is taken as it is."""
+    fp = F.col("fingerprint") if "fingerprint" in df.columns else fingerprint_expr(F.col(content_col), model)
     return df.withColumns({"fingerprint": fp, "run_id": run_id_expr(fp, run_ts)})
 
 
@@ -168,39 +169,3 @@ def compare_runs(a: DataFrame, b: DataFrame, keys: Sequence[str], fields: Sequen
         *[F.col(f"a_{f}") for f in fields],
         *[F.col(f"b_{f}") for f in fields],
     )
-
-
-#: tasks over which the rows of one key may spread
-SALTS = 64
-COPY_KEYS = ("fingerprint", "content_type", "strategy", "model")
-
-
-def _salted(df: DataFrame, row_key: str, salts: int) -> DataFrame:
-    return df.withColumn("_salt", F.pmod(F.xxhash64(row_key), F.lit(salts)).cast("int"))
-
-
-def count_copies(runs: DataFrame, keys: Sequence[str] = COPY_KEYS, row_key: str = "doc_key", salts: int = SALTS) -> DataFrame:
-    """OP32: each run with `copies`, the number of runs equal in `keys`.
-
-    The file name can decide the content type, so equal bytes under different
-    names are different content.  Counts are taken per (keys, salt), summed over
-    the at most `salts` rows of a key and joined back on (keys, salt): one key
-    with a third of all rows takes the same plan as any other and no task gets
-    all of it.  No text is shuffled.
-    """
-    rows = _salted(runs, row_key, salts)
-    counts = rows.groupBy(*keys, "_salt").agg(F.count(F.lit(1)).alias("_n"))
-    totals = counts.withColumn("copies", F.sum("_n").over(Window.partitionBy(*keys))).drop("_n")
-    return rows.join(totals, [*keys, "_salt"]).drop("_salt")
-
-
-def attach_to_copies(copies: DataFrame, results: DataFrame, key: str = "fingerprint",
-                     salts: int = SALTS, row_key: str = "doc_key") -> DataFrame:
-    """Join per-distinct results (one row per `key`) back to every copy without a hot task.
-
-    A result row is repeated only for the salts that its copies have (at most
-    `salts`), and the copies of a key join in as many tasks.  Equals the plain join.
-    """
-    c = _salted(copies, row_key, salts)
-    r = results.join(c.select(key, "_salt").distinct(), key)
-    return c.join(r, [key, "_salt"]).drop("_salt")

@@ -472,8 +472,9 @@ def _corpus_rollup():
 def _distinct_content():
     return with_(_doc_run() + [
         f"fp AS (SELECT doc_id, sha256(text || '{C.DEFAULT_MODEL}') AS fingerprint FROM documents)",
-        "cp AS (SELECT fingerprint, count(*)::BIGINT AS copies FROM fp GROUP BY fingerprint)"],
-        """SELECT fp.doc_id, fp.fingerprint, cp.copies, r_res.strategy, r_res.compressed_tokens, r_res.benchmark_strategy
+        "cp AS (SELECT fingerprint, count(*)::BIGINT AS copies, min(doc_id::VARCHAR) AS first FROM fp GROUP BY fingerprint)"],
+        """SELECT fp.doc_id, fp.fingerprint, cp.copies, length(r_res.raw)::BIGINT AS chars_extracted, r_res.strategy,
+        r_res.compressed_tokens, r_res.benchmark_strategy, cp.first = fp.doc_id::VARCHAR AS computed
         FROM fp JOIN cp USING (fingerprint) JOIN r_res USING (doc_id)""")
 
 

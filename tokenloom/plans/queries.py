@@ -25,11 +25,11 @@ from ..operators.optimize import optimize, prepare
 from ..operators.runs import (
     compare_runs,
     corpus_rollup,
-    count_copies,
     fingerprint_expr,
     run_id_expr,
     stage_report,
 )
+from ..operators.reuse import run_distinct
 from ..operators.summarize import max_tokens_expr, prompt_expr
 from ..operators.sweep import Variant, sweep
 from ..sources.files import decode_text
@@ -365,11 +365,13 @@ def corpus_rollup_documents(spark, sf_dir):
 
 
 def distinct_content(spark, sf_dir):
-    """OP32: every run with the number of rows of equal content, type, strategy and model."""
-    runs = run_pipeline(documents_corpus(spark, sf_dir), keep_text=False)
-    return count_copies(runs).select(
-        F.col("doc_key").cast("bigint").alias("doc_id"), "fingerprint", "copies",
+    """OP32: each content is run once; every document has its content's result and number of copies."""
+    out = run_distinct(documents_corpus(spark, sf_dir, spread_scan=False),
+                       ["fingerprint", "strategy", "compressed_tokens", "benchmark_strategy"])
+    return out.select(
+        F.col("doc_key").cast("bigint").alias("doc_id"), "fingerprint", "copies", "chars_extracted",
         "strategy", "compressed_tokens", "benchmark_strategy",
+        (F.col("representative") == F.col("doc_key")).alias("computed"),
     )
 
 
