@@ -80,7 +80,9 @@ def test_streaming_ingest(spark):
             f.write(f"Document {i}. " * (50 * (i + 1)))
     q = start_ingest(spark, src, os.path.join(d, "out"), os.path.join(d, "ckpt"))
     q.awaitTermination(120)
-    out = spark.read.parquet(os.path.join(d, "out"))
+    from tokenloom.streaming.ingest import read_ingested
+
+    out = read_ingested(spark, os.path.join(d, "out"))
     assert out.count() == 3
     assert set(r.strategy for r in out.collect()) <= set(C.STRATEGIES)
 

@@ -416,6 +416,26 @@ def _benchmark_choice():
                  ELSE (raw_tokens / 1000) * {pin!r}::DOUBLE + (0 / 1000) * 0.0006::DOUBLE END AS benchmark_cost FROM b4""")
 
 
+def _canonical_counts():
+    """Counts by the matches of each family's pattern; a family without one has len // 4."""
+    def counted(x: str) -> str:
+        def by(p: str) -> str:
+            return f"len(regexp_extract_all({x}, {q(p)}))::BIGINT"
+        return (f"CASE WHEN starts_with(model, 'gpt-') THEN {by(Q.WORD_TOKENS)} "
+                f"WHEN starts_with(model, 'claude-') THEN {by(Q.PIECE_TOKENS)} ELSE {tok(x)} END")
+
+    ratio = "CASE WHEN rc > 0 THEN 1.0::DOUBLE - ({} / rc) ELSE 0.0 END"
+    return with_(_doc_run() + [
+        f"m AS (SELECT doc_id, {pick('doc_id', Q.COUNTED_MODELS)} AS model, nt, compressed, raw_tokens, compressed_tokens FROM r_res)",
+        f"c AS (SELECT *, {counted('nt')} AS rc, {counted('compressed')} AS oc FROM m)",
+        f"""b AS (SELECT *, {py_round_items(f"(1.0::DOUBLE - ({ratio.format('oc')}))", 3, "acc", "a")},
+            {py_round_items(f"CASE WHEN rc > 0 THEN (1.0::DOUBLE - (compressed_tokens / rc)) * 100.0::DOUBLE ELSE 0.0 END", 1, "pct_r", "p")} FROM c)"""],
+        """SELECT doc_id, model, raw_tokens, rc AS raw_tokens_canonical, compressed_tokens AS optimized_tokens,
+        oc AS optimized_tokens_canonical, CASE WHEN rc > 0 THEN pct_r ELSE 0.0 END AS compression_pct,
+        CASE WHEN acc >= 0.9 THEN acc ELSE 1.0 END AS benchmark_accuracy,
+        CASE WHEN acc >= 0.9 THEN 'optimized' ELSE 'baseline' END AS benchmark_strategy, 0::BIGINT AS new_counts FROM b""")
+
+
 def _run_fingerprints():
     models = [k for k, _, _ in C.MODEL_PRICES]
     return f"""WITH f AS (SELECT doc_id, {pick('doc_id', models)} AS model, text FROM documents)
@@ -680,6 +700,7 @@ ORACLE_SQL = {
     "price_resolution": _price_resolution(),
     "count_and_cost": _count_and_cost(),
     "benchmark_choice": _benchmark_choice(),
+    "canonical_counts": _canonical_counts(),
     "run_fingerprints": _run_fingerprints(),
     "stage_report": _stage_report(),
     "run_summary": _run_summary(),

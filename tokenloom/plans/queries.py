@@ -18,7 +18,7 @@ from ..functions.detect import (
     type_from_filename,
     type_from_signals,
 )
-from ..functions.numeric import estimate_cost, price_lookup
+from ..functions.numeric import compression_pct, estimate_cost, price_lookup
 from ..functions.text import estimate_tokens, normalize_lines
 from ..operators.metrics import benchmark, count_and_cost
 from ..operators.optimize import optimize, prepare
@@ -32,6 +32,7 @@ from ..operators.runs import (
 from ..operators.reuse import run_distinct
 from ..operators.summarize import max_tokens_expr, prompt_expr
 from ..operators.sweep import Variant, sweep
+from ..operators.token_store import by_family, count_missing, with_token_counts
 from ..sources.files import decode_text
 from ..sources.tables import (
     conversations_corpus,
@@ -314,6 +315,47 @@ def benchmark_choice(spark, sf_dir):
     )
 
 
+# models whose texts have counters of their own, and one without (its counts are estimates)
+COUNTED_MODELS = ("gpt-4o", "claude-3-haiku", "mistral-large")
+WORD_TOKENS = r"[A-Za-z0-9_]+|[^A-Za-z0-9_ \t\n\x0B\f\r]"
+PIECE_TOKENS = r"[A-Za-z]{1,4}|[0-9]|[^A-Za-z0-9 \t\n\x0B\f\r]"
+COUNTERS = {
+    "gpt": lambda text: F.regexp_count(text, F.lit(WORD_TOKENS)),
+    "claude": lambda text: F.regexp_count(text, F.lit(PIECE_TOKENS)),
+}
+
+
+def canonical_counts(spark, sf_dir):
+    """OP07 through the store: raw and optimized counts of each run in one unit.
+
+    A first pass counts every distinct text of the runs for its model, a second
+    one over the same runs finds nothing left to count (new_counts).
+    """
+    import uuid
+
+    from ..session import checkpoint_dir
+
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/counts-{uuid.uuid4().hex}"
+    corpus = documents_corpus(spark, sf_dir).withColumn("model", _pick(F.col("doc_key").cast("bigint"), COUNTED_MODELS))
+    run_pipeline(corpus).select(
+        "doc_key", "model", "norm_text", "compressed", "raw_tokens", F.col("compressed_tokens").alias("optimized_tokens"),
+    ).write.parquet(f"{folder}/runs")
+    runs = spark.read.parquet(f"{folder}/runs")
+    texts = runs.select("model", F.explode(F.array("norm_text", "compressed")).alias("text"))
+    counter = by_family(COUNTERS)
+    first = count_missing(texts, "text", f"{folder}/store", counter)
+    again = count_missing(texts, "text", f"{folder}/store", counter)
+    out = with_token_counts(runs, "norm_text", f"{folder}/store", "raw_tokens_canonical", as_of=first.seq)
+    out = with_token_counts(out, "compressed", f"{folder}/store", "optimized_tokens_canonical", as_of=first.seq)
+    out = benchmark(out, "model", "raw_tokens_canonical", "optimized_tokens_canonical")
+    return out.select(
+        F.col("doc_key").cast("bigint").alias("doc_id"), "model", "raw_tokens", "raw_tokens_canonical", "optimized_tokens",
+        "optimized_tokens_canonical",
+        compression_pct(F.col("optimized_tokens"), F.col("raw_tokens_canonical")).alias("compression_pct"),
+        "benchmark_accuracy", "benchmark_strategy", F.lit(again.rows).cast("bigint").alias("new_counts"),
+    )
+
+
 # --- E. runs and corpus jobs -----------------------------------------------
 
 def _run(spark, sf_dir, **kw):
@@ -617,6 +659,7 @@ QUERIES = {
     "price_resolution": price_resolution,
     "count_and_cost": count_and_cost_turns,
     "benchmark_choice": benchmark_choice,
+    "canonical_counts": canonical_counts,
     "run_fingerprints": run_fingerprints,
     "stage_report": stage_report_documents,
     "run_summary": run_summary_documents,

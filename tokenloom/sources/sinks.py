@@ -1,15 +1,26 @@
-"""OP04: run artifacts.  One JSON (and/or parquet) record per document run,
-partitioned by job, run minute and model.  A rerun of a job replaces only its
-own partitions (dynamic partition overwrite); other jobs of the same minute and
-model keep theirs."""
+"""OP04: run artifacts, a committed table (manifest.py) of one record per document run.
+
+Records are partitioned by job, run minute and model.  A rerun of a job replaces
+its own records once all new ones are written; other jobs of the same minute and
+model keep theirs, and a job that dies half-way changes nothing a reader sees.
+"""
 
 from __future__ import annotations
 
+from typing import Optional
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..operators.runs import METRIC_TYPES, STAGE_METRICS, run_summary, stage_field
+from .manifest import commit, read_committed
+
+PARTS = ("job", "run_minute", "model")
+
+
+def artifact_records(runs: DataFrame, job: str) -> DataFrame:
+    return run_summary(runs).withColumn("run_minute", F.split(F.col("run_id"), "-").getItem(0)).withColumn("job", F.lit(job))
 
 
 def write_artifacts(runs: DataFrame, path: str, job: str, fmt: str = "json") -> DataFrame:
@@ -18,11 +29,8 @@ def write_artifacts(runs: DataFrame, path: str, job: str, fmt: str = "json") ->
     job: names what was run (source and configuration); the same job at the
     same run time replaces its earlier records, and only those.
     """
-    out = run_summary(runs).withColumn("run_minute", F.split(F.col("run_id"), "-").getItem(0)).withColumn("job", F.lit(job))
-    w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    if fmt == "json":
-        w = w.option("ignoreNullFields", "false")  # keep a stable record shape
-    w.partitionBy("job", "run_minute", "model").format(fmt).save(path)
+    out = artifact_records(runs, job)
+    commit(out, path, PARTS, fmt=fmt)
     return out
 
 
@@ -41,6 +49,6 @@ def artifact_schema() -> str:
     )
 
 
-def read_artifacts(spark, path: str, fmt: str = "json", schema=None) -> DataFrame:
-    """Stored records of every job; filters on job, run_minute and model prune partitions."""
-    return spark.read.format(fmt).schema(schema or artifact_schema()).load(path)
+def read_artifacts(spark, path: str, fmt: str = "json", schema=None, as_of: Optional[int] = None) -> DataFrame:
+    """Stored records of every job, now or as of an earlier commit; filters on job, run_minute and model prune partitions."""
+    return read_committed(spark, path, schema or artifact_schema(), PARTS, fmt, as_of)
