@@ -65,13 +65,47 @@ def test_price_table_join_matches_case(spark):
     assert got == want
 
 
-def test_canonical_tokens_join_and_fallback(spark):
-    from tokenloom.operators.metrics import canonical_tokens
+def test_price_table_of_any_names(spark):
+    import random
 
-    df = spark.createDataFrame([("a", "gpt-4o", "x" * 40), ("b", "gpt-4o", "y" * 8)], "doc_key string, model string, t string")
-    counts = spark.createDataFrame([("a", "gpt-4o", 3)], "doc_key string, model string, n long")
-    got = {r.doc_key: r.canonical_tokens for r in canonical_tokens(df, "t", token_counts=counts).collect()}
-    assert got == {"a": 3, "b": 2}
+    from tokenloom.operators.metrics import resolve_price_table
+
+    rng = random.Random(1)
+
+    def first(rows):
+        return min(rows, key=lambda p: (p[1], p[0]), default=None)
+
+    for letters, least, default in (("abcé-🎉", 0, "none"), ("abc", 1, None), ("ab", 0, None)):
+        def word(n=least):
+            return "".join(rng.choice(letters) for _ in range(rng.randint(n, 7)))
+
+        rows = [(word(), rng.randint(0, 50), i * 1.0, i * 2.0) for i in range(40)]
+        rows += [(None, 0, 9.0, 9.0), (rows[3][0], 99, 5.0, 5.0)]
+        default = default or rows[5][0]
+        prices = spark.createDataFrame(rows, "model_key string, ordinal long, input_per_1k double, output_per_1k double")
+        names = [(word(0),) for _ in range(200)] + [(None,), ("zzzz",), ("",)]
+        got = {r[0]: tuple(r)[1:] for r in resolve_price_table(spark.createDataFrame(names, "model string"), prices, default=default).collect()}
+        real = [p for p in rows if p[0] is not None]
+        for (m,) in names:
+            best = None
+            if m is not None:
+                best = first([p for p in real if p[0] == m]) or first([p for p in real if p[0] in m or m in p[0]])
+            best = best or first([p for p in real if p[0] == default]) or (default, None, None, None)
+            assert got[m] == (best[0], best[2], best[3]), m
+
+
+def test_price_table_of_many_keys_has_no_nested_loop(spark):
+    from tokenloom.operators.metrics import resolve_price_table
+
+    prices = spark.range(100_000).select(F.concat(F.lit("model-"), F.hex("id"), F.lit("-x")).alias("model_key"),
+                                         F.col("id").alias("ordinal"), (F.col("id") / 10).alias("input_per_1k"))
+    models = spark.createDataFrame([("model-FF-x",), ("my model-1A2-x today",), ("-F",), ("",), ("other",)], "model string")
+    out = resolve_price_table(models, prices, default="model-7-x")
+    got = {r.model: (r.model_key, r.input_per_1k) for r in out.collect()}
+    assert got == {"model-FF-x": ("model-FF-x", 25.5), "my model-1A2-x today": ("model-1A2-x", 41.8), "-F": ("model-F-x", 1.5),
+                   "": ("model-0-x", 0.0), "other": ("model-7-x", 0.7)}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
 def test_build_prompts_matches_template(spark):

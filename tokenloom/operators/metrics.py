@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from typing import Optional
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -18,33 +18,48 @@ def resolve_price(df: DataFrame, model_col: str = "model", out: str = "price") -
     return df.withColumn(out, price_lookup(F.col(model_col)))
 
 
-def resolve_price_table(models: DataFrame, prices: DataFrame, model_col: str = "model") -> DataFrame:
-    """OP23 against a price *table* (any size, any order column).
+def _substrings(c: str, most: str) -> Column:
+    """All substrings of column c of up to `most` (a column) characters, the empty one too, each once."""
+    starts = F.sequence(F.lit(1), F.greatest(F.length(c), F.lit(1)))
+    sizes = F.sequence(F.lit(0), F.least(F.length(c), F.col(most)))
+    cut = F.transform(starts, lambda i: F.transform(sizes, lambda n: F.substring(F.col(c), i, n)))
+    return F.array_distinct(F.flatten(cut))
 
-    Exact equi-join, plus a theta join on substring containment, take the
-    lowest ordinal, fall back to the default key.  The price table is a
-    dimension; it is broadcast only after its row count has been checked.
+
+def resolve_price_table(models: DataFrame, prices: DataFrame, model_col: str = "model", default: str = C.DEFAULT_PRICE_MODEL) -> DataFrame:
+    """OP23 against a price table of any size: the distinct models with model_key and the table's other columns.
+
+    prices: model_key, ordinal (the order of the list) and prices.  A model has the
+    row of its own key; else the first row (by ordinal, then key) whose key is part
+    of the model's name or has the name as a part; else the row of `default`, or
+    nulls if there is none.  A null model has the default.
+
+    Contained names are found by equality: the names' substrings, up to the length
+    of the longest key, meet the keys, and the keys' substrings, up to that of the
+    longest name and reduced to the first row of each, meet the names.  Lengths are
+    subqueries of the one plan; nothing runs while it is built.
     """
-    n = prices.count()
-    p = F.broadcast(prices) if n <= 100_000 else prices
-    m = models.select(model_col).distinct()
-    exact = m.join(p, m[model_col] == p["model_key"], "left").select(
-        m[model_col].alias("_m"), p["model_key"].alias("_exact")
-    )
-    partial = (
-        m.join(
-            p,
-            (F.instr(m[model_col], p["model_key"]) > 0) | (F.instr(p["model_key"], m[model_col]) > 0),
-            "inner",
-        )
-        .groupBy(m[model_col].alias("_m"))
-        .agg(F.min_by(p["model_key"], p["ordinal"]).alias("_partial"))
-    )
-    resolved = exact.join(partial, "_m", "left").select(
-        F.col("_m").alias(model_col),
-        F.coalesce("_exact", "_partial", F.lit(C.DEFAULT_PRICE_MODEL)).alias("model_key"),
-    )
-    return resolved.join(p.drop("ordinal"), "model_key", "left")
+    kept = [c for c in prices.columns if c not in ("model_key", "ordinal")]
+    names = models.select(F.col(model_col).alias("_name")).distinct()
+    row = F.struct(F.col("ordinal").alias("ordinal"), F.col("model_key").alias("model_key"), *kept)
+    listed = prices.where("model_key is not null").groupBy("model_key").agg(F.min(row).alias("_row"))
+    longest_key = listed.agg(F.max(F.length("model_key"))).scalar()
+    longest_name = names.agg(F.max(F.length("_name"))).scalar()
+
+    parts = names.where("_name is not null").withColumn("_most", F.coalesce(longest_key, F.lit(0)))
+    parts = parts.select("_name", F.explode(_substrings("_name", "_most")).alias("_part"))
+    holds = parts.join(listed, parts["_part"] == listed["model_key"]).select(
+        "_name", F.when(F.col("_part") == F.col("_name"), 0).otherwise(1).alias("_rank"), "_row")
+    pieces = listed.withColumn("_most", F.coalesce(longest_name, F.lit(0)))
+    pieces = pieces.select("_row", F.explode(_substrings("model_key", "_most")).alias("_piece"))
+    first = pieces.groupBy("_piece").agg(F.min("_row").alias("_row"))
+    held = names.join(first, names["_name"] == first["_piece"]).select("_name", F.lit(1).alias("_rank"), "_row")
+    found = holds.unionByName(held).groupBy(F.col("_name").alias("_of")).agg(F.min(F.struct("_rank", "_row")).alias("_best"))
+
+    fallback = listed.where(F.col("model_key") == default).agg(F.first("_row")).scalar()
+    out = names.join(found, names["_name"] == found["_of"], "left").select(
+        F.col("_name").alias(model_col), F.coalesce("_best._row", fallback).alias("_row"))
+    return out.select(model_col, F.coalesce("_row.model_key", F.lit(default)).alias("model_key"), *[F.col(f"_row.{c}") for c in kept])
 
 
 def cost_analysis(
@@ -116,23 +131,3 @@ def benchmark(
             "benchmark_cost": F.when(ok, estimate_cost(o, 0, price)).when(~ok, estimate_cost(r, 0, price)),
         }
     )
-
-
-def canonical_tokens(df: DataFrame, text_col: str, model_col: str = "model",
-                     token_counts: Optional[DataFrame] = None, key_col: str = "doc_key",
-                     out: str = "canonical_tokens") -> DataFrame:
-    """OP07: model-aware token count, `len // 4` when no count is known.
-
-    `token_counts(doc_key, model, n)` -- e.g. produced offline by a real
-    tokenizer -- is joined in on (doc_key, model).  It grows with the corpus,
-    so the join is a plain shuffle join (AQE may still broadcast it at run
-    time when it turns out small); it is never hinted.
-    """
-    fallback = estimate_tokens(text_col)
-    if token_counts is None:
-        return df.withColumn(out, fallback)
-    tc = token_counts.select(
-        F.col(key_col).alias("_tk"), F.col(model_col).alias("_tm"), F.col("n").cast("bigint").alias("_tn")
-    )
-    j = df.join(tc, (df[key_col] == tc["_tk"]) & (df[model_col] == tc["_tm"]), "left")
-    return j.withColumn(out, F.coalesce(F.col("_tn"), fallback)).drop("_tk", "_tm", "_tn")

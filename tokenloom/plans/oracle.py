@@ -387,11 +387,26 @@ def _optimize_documents():
 
 
 def _price_resolution():
-    ctes = [f"dm AS (SELECT doc_id, {pick('doc_id', Q.MODEL_NAMES)} AS model FROM documents)"] + price_ctes("dm")
-    return with_(ctes, """SELECT doc_id, dm.model, p.model_key, p.pin AS input_per_1k, p.pout AS output_per_1k
+    name = pick("conv_id", Q.MODEL_NAMES)
+    ctes = [f"dm AS (SELECT conv_id, turn, {name} || CASE WHEN length(text) % 3 = 0 THEN '-' || role ELSE '' END AS model FROM conversations)"]
+    return with_(ctes + price_ctes("dm"), """SELECT conv_id, turn, dm.model, p.model_key, p.pin AS input_per_1k, p.pout AS output_per_1k
         FROM dm JOIN dm_price p ON p.model = dm.model""")
 
 
+def _price_table():
+    """Containment by a nested loop over names and keys."""
+    return with_([
+        "w AS (SELECT doc_id, unnest(list_distinct(regexp_extract_all(text, '[A-Za-z]+'))) AS k FROM documents)",
+        "p AS (SELECT k, min(doc_id) AS o FROM w GROUP BY k)",
+        "t AS (SELECT conv_id, turn, text, regexp_extract(text, '[A-Za-z]+') AS model FROM conversations)",
+        "m AS (SELECT DISTINCT model FROM t)",
+        "c AS (SELECT model, min(struct_pack(r := (k <> model)::INT, o := o, k := k)).k AS k FROM m JOIN p ON contains(model, k) OR contains(k, model) GROUP BY model)",
+        ], f"""SELECT conv_id, turn, t.model, coalesce(c.k, {q(C.DEFAULT_PRICE_MODEL)}) AS model_key,
+        CASE WHEN c.k IS NOT NULL THEN length(c.k) / 1000 END AS input_per_1k,
+        (length(text) // 4) / 1000 * (CASE WHEN c.k IS NOT NULL THEN length(c.k) / 1000 END) AS cost
+        FROM t LEFT JOIN c ON c.model = t.model""")
+
+
 def _count_and_cost():
     ctes = [f"cm AS (SELECT conv_id, turn, role, text, {pick('conv_id', Q.MODEL_NAMES)} AS model, "
             "role <> 'assistant' AS is_input FROM conversations)"] + price_ctes("cm")
@@ -698,6 +713,7 @@ ORACLE_SQL = {
     "hierarchical_documents": _hierarchical_documents(),
     "optimize_documents": _optimize_documents(),
     "price_resolution": _price_resolution(),
+    "price_table": _price_table(),
     "count_and_cost": _count_and_cost(),
     "benchmark_choice": _benchmark_choice(),
     "canonical_counts": _canonical_counts(),

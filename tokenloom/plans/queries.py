@@ -20,7 +20,7 @@ from ..functions.detect import (
 )
 from ..functions.numeric import compression_pct, estimate_cost, price_lookup
 from ..functions.text import estimate_tokens, normalize_lines
-from ..operators.metrics import benchmark, count_and_cost
+from ..operators.metrics import benchmark, count_and_cost, resolve_price_table
 from ..operators.optimize import optimize, prepare
 from ..operators.runs import (
     compare_runs,
@@ -278,18 +278,39 @@ def optimize_documents(spark, sf_dir):
 
 # --- D. metrics ------------------------------------------------------------
 
+def _turns(spark, sf_dir) -> DataFrame:
+    """conversations with the model of each turn: a full, partial or unknown name, some with the role behind it."""
+    c = table(spark, sf_dir, "conversations")
+    name = _pick(F.col("conv_id"), MODEL_NAMES)
+    return c.withColumn("model", F.when(F.length("text") % 3 == 0, F.concat(name, F.lit("-"), F.col("role"))).otherwise(name))
+
+
 def price_resolution(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id")
-    d = d.withColumn("model", _pick(F.col("doc_id"), MODEL_NAMES))
+    """OP23 against the fixed price list, inside the row."""
     p = price_lookup(F.col("model"))
-    return d.select(
-        "doc_id", "model",
+    return _turns(spark, sf_dir).select(
+        "conv_id", "turn", "model",
         p["model_key"].alias("model_key"),
         p["input_per_1k"].alias("input_per_1k"),
         p["output_per_1k"].alias("output_per_1k"),
     )
 
 
+def price_table(spark, sf_dir):
+    """OP23 against a price table as large as the vocabulary of `documents`: every turn of `conversations`
+    names its model by its first word, exactly, as a part of a key or around one."""
+    words = table(spark, sf_dir, "documents").select(
+        "doc_id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0)))).alias("model_key"))
+    prices = words.groupBy("model_key").agg(F.min("doc_id").alias("ordinal")).select(
+        "model_key", "ordinal", (F.length("model_key") / 1000.0).alias("input_per_1k"))
+    turns = table(spark, sf_dir, "conversations").select(
+        "conv_id", "turn", "text", F.regexp_extract("text", "[A-Za-z]+", 0).alias("model"))
+    resolved = resolve_price_table(turns, prices).withColumnRenamed("model", "_model")
+    out = turns.join(resolved, turns["model"].eqNullSafe(resolved["_model"]))
+    return out.select("conv_id", "turn", "model", "model_key", "input_per_1k",
+                      (estimate_tokens("text") / 1000.0 * F.col("input_per_1k")).alias("cost"))
+
+
 def count_and_cost_turns(spark, sf_dir):
     c = table(spark, sf_dir, "conversations")
     c = c.withColumn("model", _pick(F.col("conv_id"), MODEL_NAMES))
@@ -657,6 +678,7 @@ QUERIES = {
     "hierarchical_documents": hierarchical_documents,
     "optimize_documents": optimize_documents,
     "price_resolution": price_resolution,
+    "price_table": price_table,
     "count_and_cost": count_and_cost_turns,
     "benchmark_choice": benchmark_choice,
     "canonical_counts": canonical_counts,
