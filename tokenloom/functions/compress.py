@@ -142,6 +142,35 @@ def extract_scored(scored: Column, target_tokens) -> Column:
     return F.array_join(F.transform(select_within_budget(scored, target_tokens), lambda x: x["s"]), C.EXTRACT_JOINER)
 
 
+def extract_sizes(scored: Column, budgets: list[Column]) -> Column:
+    """The sizes of the extracts for all budgets, by one pass over the sentences in the order they are tried.
+
+    A STRUCT of used tokens, characters and sentences for each budget; no text
+    is built.  The budgets are plain columns: a lambda evaluates them for every
+    sentence.
+    """
+    ordered = F.transform(F.array_sort(scored), lambda x: F.struct(
+        x["tok"].alias("tok"), F.length(x["s"]).cast("bigint").alias("chars")))
+    zero = F.lit(0).cast("bigint")
+    start = F.struct(*[zero.alias(f"{c}{i}") for i in range(len(budgets)) for c in ("used", "chars", "n")])
+
+    def step(acc, x):
+        out = []
+        for i, budget in enumerate(budgets):
+            fits = acc[f"used{i}"] + x["tok"] <= budget
+            for c, more in (("used", x["tok"]), ("chars", x["chars"]), ("n", F.lit(1).cast("bigint"))):
+                out.append((acc[f"{c}{i}"] + F.when(fits, more).otherwise(0)).alias(f"{c}{i}"))
+        return F.struct(*out)
+
+    return F.aggregate(ordered, start, step)
+
+
+def tokens_of_extract(fold: Column, i: int) -> Column:
+    """Tokens of the i-th budget's extract, joiners included, from the fold's result."""
+    joiners = F.greatest(fold[f"n{i}"] - 1, F.lit(0)) * len(C.EXTRACT_JOINER)
+    return F.floor((fold[f"chars{i}"] + joiners) / C.CHARS_PER_TOKEN).cast("bigint")
+
+
 def compress_extractive(content, target_tokens, content_type) -> Column:
     return extract_scored(scored_sentences(split_sentences(col_(content)), content_type), target_tokens)
 

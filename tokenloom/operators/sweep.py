@@ -2,9 +2,8 @@
 evaluated inside each row.
 
 The grid is a driver-side list of literals, so nothing is joined or shuffled.
-Sentences are split, scored and sorted once per document; a variant only runs
-its own budget fold over them.  Each variant is a projected column, not a lambda
-body, so what it shares with the others is computed once.
+Sentences are split, scored and sorted once per document, and one fold over them
+carries the budgets of all variants; only sizes come out of it, no text.
 """
 
 from __future__ import annotations
@@ -19,11 +18,12 @@ from ..functions.compress import (
     chunk_target,
     compress_extractive,
     compress_truncate,
-    extract_scored,
+    extract_sizes,
     hierarchical_merge,
     needs_recompress,
     pack_chunks,
     scored_sentences,
+    tokens_of_extract,
 )
 from ..functions.detect import calculate_target, select_strategy
 from ..functions.numeric import estimate_cost, price_lookup, py_round
@@ -60,7 +60,8 @@ def sweep(df: DataFrame, variants: Sequence[Variant], models: Sequence[str] = (C
     for i in range(len(variants)):
         scored = scored | F.col(f"_strategy{i}").isin(*whole, "hierarchical")
     d = d.withColumns({
-        "_scored": F.when(scored, F.array_sort(scored_sentences(split_sentences(text), ctype))),
+        "_sizes": F.when(scored, extract_sizes(
+            scored_sentences(split_sentences(text), ctype), [F.col(f"_target{i}") for i in range(len(variants))])),
         **{f"_chunks{i}": pack_chunks(text, F.lit(variants[i].cfg.chunk_size)) for i in single},
     })
     d = d.withColumns({
@@ -72,16 +73,14 @@ def sweep(df: DataFrame, variants: Sequence[Variant], models: Sequence[str] = (C
 
     def compressed_tokens(i: int) -> Column:
         strategy, budget = F.col(f"_strategy{i}"), F.col(f"_target{i}")
-        extract = extract_scored(F.col("_scored"), budget)
-        out = (F.when(strategy == "none", text)
-               .when(strategy == "truncate", compress_truncate(text, budget))
-               .when(strategy.isin(*whole), extract))
+        extract = tokens_of_extract(F.col("_sizes"), i)
         if i in single:
             merged = F.col(f"_merged{i}")
-            out = (F.when(merged.isNull(), extract)
-                   .when(needs_recompress(merged, budget), compress_extractive(merged, budget, ctype))
-                   .otherwise(merged))
-        return estimate_tokens(out)
+            again = F.when(needs_recompress(merged, budget), compress_extractive(merged, budget, ctype)).otherwise(merged)
+            return F.when(merged.isNull(), extract).otherwise(estimate_tokens(again))
+        return (F.when(strategy == "none", tok)
+                .when(strategy == "truncate", estimate_tokens(compress_truncate(text, budget)))
+                .when(strategy.isin(*whole), extract))
 
     d = d.select(*own[:-1], *[F.col(f"_{c}{i}") for i in range(len(variants)) for c in ("strategy", "target")],
                  *[compressed_tokens(i).alias(f"_tokens{i}") for i in range(len(variants))])

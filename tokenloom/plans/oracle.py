@@ -573,6 +573,28 @@ def _compare_runs():
         array_to_string(ch, ',') AS changed_fields FROM d""")
 
 
+def _compare_artifacts():
+    """The records compared directly; a group of fields differs where one of its fields does."""
+    summary = ("raw_tokens", "compressed_tokens", "compression_pct", "cost_raw", "cost_optimized", "benchmark_accuracy", "benchmark_strategy")
+    preview = (f"CASE WHEN length({{0}}.compressed) > {C.PREVIEW_CHARS} THEN left({{0}}.compressed, {C.PREVIEW_CHARS}) || '...' "
+               "ELSE {0}.compressed END")
+    ne = "a.{0} IS DISTINCT FROM b.{0}".format
+    groups = {
+        "fingerprint": ne("raw"), "content_type": ne("content_type"), "summary": " OR ".join(map(ne, summary)),
+        "stage_results": " OR ".join([ne("raw"), ne("strategy"), "length(a.nt) <> length(b.nt)", *map(ne, summary)]),
+        "compressed_preview": f"{preview.format('a')} IS DISTINCT FROM {preview.format('b')}",
+    }
+    diff = ", ".join(f"CASE WHEN {cond} THEN {q(name)} END" for name, cond in groups.items())
+    ctes = _doc_run("ra") + [
+        "cut AS (SELECT doc_id, CASE WHEN text LIKE '%a.' THEN left(text, length(text) - 1) ELSE text END AS raw FROM documents)",
+        "kept AS (SELECT * FROM cut WHERE length(raw) > 200)"] + run_ctes("rb", "kept", "doc_id")
+    ctes += [f"d AS (SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, b.doc_id IS NULL AS no_b, list_filter([{diff}], lambda x: x IS NOT NULL) AS ch "
+             "FROM ra_res a FULL OUTER JOIN rb_res b USING (doc_id))"]
+    return with_(ctes, f"""SELECT 'second' AS other, doc_id, '{C.DEFAULT_MODEL}' AS model,
+        CASE WHEN no_b THEN 'only_a' ELSE 'changed' END AS status, CASE WHEN NOT no_b THEN array_to_string(ch, ',') END AS changed_fields
+        FROM d WHERE no_b OR len(ch) > 0""")
+
+
 def _corpus_sql(src_cte: str, key: str, filename: str | None = None):
     ctes = [src_cte] + run_ctes("r", "src", key, filename=filename)
     return with_(ctes, f"""SELECT {key}, length(nt)::BIGINT AS chars_normalized, raw_tokens, content_type, strategy,
@@ -726,6 +748,7 @@ ORACLE_SQL = {
     "config_sweep": _config_sweep(),
     "forced_sweep": _forced_sweep(),
     "compare_runs": _compare_runs(),
+    "compare_artifacts": _compare_artifacts(),
     "transcript_corpus": _transcript_corpus(),
     "page_corpus": _page_corpus(),
     "decode_text": _decode_text(),

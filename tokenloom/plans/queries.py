@@ -20,6 +20,7 @@ from ..functions.detect import (
 )
 from ..functions.numeric import compression_pct, estimate_cost, price_lookup
 from ..functions.text import estimate_tokens, normalize_lines
+from ..operators.compare import compare_artifacts
 from ..operators.metrics import benchmark, count_and_cost, resolve_price_table
 from ..operators.optimize import optimize, prepare
 from ..operators.runs import (
@@ -34,6 +35,7 @@ from ..operators.summarize import max_tokens_expr, prompt_expr
 from ..operators.sweep import Variant, sweep
 from ..operators.token_store import by_family, count_missing, with_token_counts
 from ..sources.files import decode_text
+from ..sources.sinks import write_artifacts
 from ..sources.tables import (
     conversations_corpus,
     documents_corpus,
@@ -482,18 +484,40 @@ COMPARE_FIELDS = ("strategy", "target_tokens", "compressed_tokens", "benchmark_s
 
 
 def compare_runs_documents(spark, sf_dir):
-    # both runs start from the same spread corpus, so Spark reuses its
-    # exchange and the documents are scanned once
-    # the run outputs compared here need no file bytes, so spreading the
-    # derived corpus by doc_key costs no extra bytes and lets the full outer
-    # join on (doc_key, model) reuse that partitioning
-    corpus = spread(documents_corpus(spark, sf_dir, spread_scan=False), keys=["doc_key"])
-    a = run_pipeline(corpus, keep_text=False)
-    b = run_pipeline(corpus, cfg=C.DEFAULT_CONFIG.with_(target_ratio=0.5), keep_text=False)
-    out = compare_runs(a, b, ["doc_key", "model"], COMPARE_FIELDS)
-    return out.select(
-        F.col("doc_key").cast("bigint").alias("doc_id"), "model", "status", "changed_fields",
-    )
+    """OP34 on two configurations: both are evaluated in one pass over the texts and stored, narrow, then compared."""
+    import uuid
+
+    from ..session import checkpoint_dir
+
+    d = _docs(spark, sf_dir).withColumn("content_type", detect_content_type("norm_text"))
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/compare-{uuid.uuid4().hex}"
+    sweep(d, [Variant(n, c) for n, c in ARTIFACT_JOBS.items()]).write.partitionBy("config_name").parquet(folder)
+    runs = spark.read.parquet(folder)
+    a, b = (runs.where(F.col("config_name") == n) for n in ARTIFACT_JOBS)
+    out = compare_runs(a, b, ["doc_id", "model"], COMPARE_FIELDS)
+    return out.select("doc_id", "model", "status", "changed_fields")
+
+
+def compare_artifacts_documents(spark, sf_dir):
+    """OP34 on stored artifacts: the default job, the same job over shorter texts of a few documents, and
+    the default job once more.  Checksums tell the parts that differ; equal jobs give no row."""
+    import uuid
+
+    from ..session import checkpoint_dir
+
+    root = f"{checkpoint_dir(spark).rstrip('/')}/artifacts-{uuid.uuid4().hex}"
+    corpus = documents_corpus(spark, sf_dir)
+    cut = F.expr("CASE WHEN raw_text LIKE '%a.' THEN left(raw_text, length(raw_text) - 1) ELSE raw_text END")
+    changed = corpus.withColumn("raw_text", cut).where("length(raw_text) > 200").withColumn("content", F.encode("raw_text", "UTF-8"))
+    for job, rows in (("first", corpus), ("second", changed), ("again", corpus)):
+        write_artifacts(run_pipeline(rows), root, job, "parquet")
+    out = None
+    for other in ("second", "again"):
+        rows = compare_artifacts(spark, root, "first", root, other, fmt="parquet").rows
+        rows = rows.select(F.lit(other).alias("other"), F.col("doc_key").cast("bigint").alias("doc_id"), "model", "status",
+                           F.when(F.col("status") == "changed", F.col("changed_fields")).alias("changed_fields"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def _corpus_run(corpus: DataFrame, key_name: str):
@@ -577,7 +601,7 @@ def artifact_roundtrip(spark, sf_dir):
     import uuid
 
     from ..session import checkpoint_dir
-    from ..sources.sinks import read_artifacts, write_artifacts
+    from ..sources.sinks import read_artifacts
 
     root = f"{checkpoint_dir(spark).rstrip('/')}/artifacts-{uuid.uuid4().hex}"
     for job in ("default", "half", "default"):
@@ -691,6 +715,7 @@ QUERIES = {
     "config_sweep": config_sweep,
     "forced_sweep": forced_sweep,
     "compare_runs": compare_runs_documents,
+    "compare_artifacts": compare_artifacts_documents,
     "transcript_corpus": transcript_corpus,
     "page_corpus": page_corpus,
     "decode_text": decode_documents,
