@@ -40,11 +40,20 @@ def test_golden_row(spark):
 
 
 def test_decode_drops_invalid_bytes(spark):
-    samples = [b"abc", b"a\xffb", b"\xe2\x82", b"x\xc0\xafy", "� ok".encode() + b"\xff",
-               b"\xef\xbb\xbfbom", b"\xf0\x9f\x98", b"ok \xe2\x82\xac", b""]
+    import random
+
+    rng = random.Random(2)
+    edges = [0x41, 0x7F, 0x80, 0x8F, 0x90, 0x9F, 0xA0, 0xBF, 0xC0, 0xC1, 0xC2, 0xDF, 0xE0, 0xE1, 0xEC, 0xED, 0xEE, 0xEF, 0xF0, 0xF1, 0xF3, 0xF4, 0xF5, 0xFF, 0xBD]
+    samples = [b"abc", b"a\xffb", b"\xe2\x82", b"x\xc0\xafy", "\ufffd ok".encode() + b"\xff", b"\xef\xbb\xbfbom", b"\xf0\x9f\x98", b"ok \xe2\x82\xac", b""]
+    samples += [bytes(rng.choice(edges) for _ in range(rng.randint(0, 9))) for _ in range(20000)]
+    samples += [bytes([a, b, c]) for a in edges for b in edges for c in edges]
+    samples += [b"\xff" + "text \ufffd \u20ac \U0001f389 ".encode() * 50_000 + b"\xe2"]
     df = spark.createDataFrame([(i, bytearray(b)) for i, b in enumerate(samples)], "i int, content binary")
-    rows = decode_text(df).orderBy("i").collect()
-    assert [r.raw_text for r in rows] == [b.decode("utf-8", "ignore") for b in samples]
+    out = decode_text(df)
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+    wrong = [(samples[r.i], r.raw_text) for r in out.collect() if r.raw_text != samples[r.i].decode("utf-8", "ignore")]
+    assert not wrong, wrong[:3]
+    assert decode_text(spark.createDataFrame([(None,)], "content binary")).first().raw_text is None
 
 
 def test_files_roundtrip_and_artifacts(spark):

@@ -536,15 +536,14 @@ def page_corpus(spark, sf_dir):
     return _corpus_run(pages_corpus(spark, sf_dir), "page_id")
 
 
-# bad byte sequences spliced into the UTF-8 text (doc_id % 4)
-BAD_BYTES = ("", "ff", "e282", "c0af")
+# byte sequences spliced into the UTF-8 text (length % 6) and what of them is text: some are ill-formed, some hold a real U+FFFD
+SPLICES = (("", ""), ("ff", ""), ("e282", ""), ("c0af", ""), ("efbfbdff80", "\ufffd"), ("f09f98efbfbde2829f", "\ufffd\u209f"))
 
 
 def decode_documents(spark, sf_dir):
-    """OP02 on bytes derived from `documents`: invalid sequences are dropped,
-    so the decoded text must equal the original text."""
+    """OP02 on bytes derived from `documents`: ill-formed sequences are dropped, real U+FFFD beside them stay."""
     d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    bad = F.unhex(_pick(F.col("doc_id"), BAD_BYTES))
+    bad = F.unhex(_pick(F.length("text"), [b for b, _ in SPLICES]))
     content = F.concat(F.encode(F.col("text").substr(1, 5), "UTF-8"), bad,
                        F.encode(F.expr("substring(text, 6)"), "UTF-8"))
     out = decode_text(d.withColumn("content", content), "content", "raw_text")

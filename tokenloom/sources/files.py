@@ -5,39 +5,51 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import config as C
 
-REPLACEMENT = "\ufffd"
+# One byte of an ill-formed sequence, in the view of the bytes as ISO-8859-1 characters.  A lead byte is ill-formed
+# where its sequence is not complete behind it, a continuation byte where no lead byte before it reaches it.  Sequences
+# can't overlap, so looking at most three bytes around is exact, and no loop of the pattern runs over the text.
+_CONT = r"[\x80-\xBF]"
+_LEADS = (  # lead byte, its first continuation byte, further ones
+    (r"[\xC2-\xDF]", _CONT, 0),
+    (r"\xE0", r"[\xA0-\xBF]", 1),
+    (r"[\xE1-\xEC\xEE\xEF]", _CONT, 1),
+    (r"\xED", r"[\x80-\x9F]", 1),
+    (r"\xF0", r"[\x90-\xBF]", 2),
+    (r"[\xF1-\xF3]", _CONT, 2),
+    (r"\xF4", r"[\x80-\x8F]", 2),
+)
 
 
-@F.pandas_udf(T.StringType())
-def _decode_ignore(b):  # pandas Series of bytes / None
-    return b.map(lambda x: None if x is None else bytes(x).decode("utf-8", "ignore"))
+def _ill_formed() -> str:
+    bad = [r"[\xC0\xC1\xF5-\xFF]"]
+    reached = []
+    for lead, second, more in _LEADS:
+        bad.append(f"{lead}(?!{second}{_CONT * more})")
+        for k in range(more + 1):  # the byte is the k-th behind the second one; the rest of the sequence stands ahead
+            reached.append(f"{lead}{second}{_CONT * k}(?={_CONT * (more - k)})")
+    return "|".join(bad) + f"|{_CONT}(?<!{'|'.join(reached)})"
 
 
-def decode_expr(content: Column) -> tuple[Column, Column]:
-    """(decoded text, needs_python flag) for a BINARY column.
+ILL_FORMED = _ill_formed()
 
-    Valid UTF-8 is a plain cast.  Invalid input is repaired in the JVM with
-    make_valid_utf8 and the U+FFFD markers removed -- exact unless the bytes
-    already held a real U+FFFD, and only those rare rows go to Python.
+
+def decode_expr(content: Column) -> Column:
+    """The text of a BINARY column without the bytes of ill-formed UTF-8 sequences, as errors='ignore' gives it.
+
+    Valid UTF-8 is a plain cast.  Other bytes are read as ISO-8859-1, one
+    character a byte, cleaned by one regular expression and encoded again.
     """
-    s = content.cast("string")
-    valid = F.is_valid_utf8(s)
-    has_fffd = F.instr(s, REPLACEMENT) > 0
-    jvm = F.when(valid, s).when(~has_fffd, F.replace(F.make_valid_utf8(s), F.lit(REPLACEMENT), F.lit("")))
-    needs_python = ~valid & has_fffd
-    return jvm, needs_python
+    text = content.cast("string")
+    clean = F.regexp_replace(F.decode(content, "ISO-8859-1"), ILL_FORMED, "")
+    return F.when(F.is_valid_utf8(text), text).otherwise(F.encode(clean, "ISO-8859-1").cast("string"))
 
 
 def decode_text(df: DataFrame, content_col: str = "content", out: str = "raw_text") -> DataFrame:
-    """OP02 (Parse).  Python sees only the rows that need it (NULL otherwise,
-    so the Arrow batches for ordinary rows carry no payload)."""
-    jvm, needs_python = decode_expr(F.col(content_col))
-    py = _decode_ignore(F.when(needs_python, F.col(content_col)))
-    return df.withColumn(out, F.coalesce(jvm, py)).withColumn("chars_extracted", F.length(out))
+    """OP02 (Parse): the decoded text and its length, in the JVM."""
+    return df.withColumn(out, decode_expr(F.col(content_col))).withColumn("chars_extracted", F.length(out))
 
 
 def read_files(
