@@ -607,6 +607,21 @@ def _transcript_corpus():
         "FROM conversations GROUP BY conv_id)", "conv_id")
 
 
+def _transcript_parts():
+    p = Q.PIECES
+    return f"""WITH t AS (SELECT conv_id, coalesce(role, '') || ': ' || coalesce(text, '') AS line,
+            row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) - 1 AS i FROM conversations),
+        long AS (SELECT conv_id FROM t GROUP BY conv_id HAVING count(*) > {p['long_turns']} OR sum(length(line) + 1) > {p['long_chars']}),
+        k AS (SELECT t.*, conv_id IN (SELECT conv_id FROM long) AS is_long FROM t),
+        pieces AS (SELECT conv_id, i // {p['piece_turns']} AS piece, string_agg(line, {NL} ORDER BY i) AS line, count(*) AS n
+            FROM k WHERE is_long GROUP BY ALL),
+        placed AS (SELECT *, coalesce(sum(length(line) + 1) OVER (PARTITION BY conv_id ORDER BY piece
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT // {p['long_chars']} AS part FROM pieces),
+        parts AS (SELECT conv_id, part, sum(n)::BIGINT AS n_turns, string_agg(line, {NL} ORDER BY piece) AS text FROM placed GROUP BY conv_id, part
+            UNION ALL SELECT conv_id, 0, count(*), string_agg(line, {NL} ORDER BY i) FROM k WHERE NOT is_long GROUP BY conv_id)
+        SELECT conv_id, part, n_turns, length(text)::BIGINT AS chars, sha256(text) AS text_sha FROM parts"""
+
+
 def _page_corpus():
     return _corpus_sql("src AS (SELECT page_id, html AS raw, url AS filename FROM pages)", "page_id", "filename")
 
@@ -751,6 +766,7 @@ ORACLE_SQL = {
     "compare_runs": _compare_runs(),
     "compare_artifacts": _compare_artifacts(),
     "transcript_corpus": _transcript_corpus(),
+    "transcript_parts": _transcript_parts(),
     "page_corpus": _page_corpus(),
     "decode_text": _decode_text(),
     "file_roundtrip": _file_roundtrip(),

@@ -44,6 +44,7 @@ from ..sources.tables import (
     spread,
     table,
     table_corpus,
+    transcript_text,
 )
 from .pipeline import DEFAULT_RUN_TS, run_pipeline
 
@@ -532,6 +533,16 @@ def transcript_corpus(spark, sf_dir):
     return _corpus_run(conversations_corpus(spark, sf_dir), "conv_id")
 
 
+#: limits at which ordinary conversations are already long
+PIECES = {"long_turns": 3, "long_chars": 400, "piece_turns": 2}
+
+
+def transcript_parts(spark, sf_dir):
+    """OP03 on long conversations: numbered by ranges, joined to pieces, pieces to rows."""
+    t = transcript_text(table(spark, sf_dir, "conversations"), **PIECES)
+    return t.select("conv_id", "part", "n_turns", F.length("text").alias("chars"), _sha("text").alias("text_sha"))
+
+
 def page_corpus(spark, sf_dir):
     return _corpus_run(pages_corpus(spark, sf_dir), "page_id")
 
@@ -716,6 +727,7 @@ QUERIES = {
     "compare_runs": compare_runs_documents,
     "compare_artifacts": compare_artifacts_documents,
     "transcript_corpus": transcript_corpus,
+    "transcript_parts": transcript_parts,
     "page_corpus": page_corpus,
     "decode_text": decode_documents,
     "file_roundtrip": file_roundtrip,
