@@ -28,6 +28,8 @@ TRANSCRIPT_NAME_MARKERS = ("transcript", "otter")
 
 # content signals, checked on the first 2000 lowered characters
 SIGNAL_WINDOW_CHARS = 2000
+# patterns in Python's regular expression dialect, searched in the lowered window
+TRANSCRIPT_PATTERNS = (r"\d{1,2}:\d{2}", r"speaker \d", r"\[.*?\]:", r"um+|uh+|like,", r"yeah|okay|right\?")
 TRANSCRIPT_SIGNAL_MIN = 3
 EMAIL_SIGNALS = ("from:", "to:", "subject:", "sent:", "cc:", "bcc:")
 EMAIL_SIGNAL_MIN = 2
@@ -35,7 +37,7 @@ WEB_SIGNALS = ("<html", "<div", "<script", "http://", "https://", "cookie", "pri
 WEB_SIGNAL_MIN = 2
 CODE_SIGNALS = ("def ", "function ", "class ", "import ", "const ", "let ", "var ")
 CODE_SIGNAL_MIN = 3
-CHAT_SUBSTRING_SIGNALS = ("lol", "brb", "omg")
+CHAT_PATTERNS = (r"^\w+:", r"^\[\d{1,2}:\d{2}\]", r"lol", r"brb", r"omg")
 CHAT_SIGNAL_MIN = 2
 
 # sentence-scoring keywords per content type (substring tests on lowered text)
@@ -96,6 +98,16 @@ DEFAULT_DOC_TYPE = "document"
 
 ACCEPT_ACCURACY = 0.90
 
+# thresholds, budgets and the price of the default configuration
+NO_COMPRESS_THRESHOLD = 500
+TRUNCATE_THRESHOLD = 2000
+EXTRACTIVE_THRESHOLD = 8000
+TARGET_RATIO = 0.3
+MAX_OUTPUT_TOKENS = 2000
+INPUT_COST_PER_1K = 0.00015
+SUMMARIZATION_MODEL = "gpt-4o-mini"
+CHUNK_SIZE = 3000
+
 STAGE_NAMES = ("Intake", "Parse", "Normalize", "Optimize", "Cost Analysis", "Benchmark")
 RUN_HASH_HEX = 6
 RUN_TS_FORMAT = "yyyyMMdd_HHmm"
@@ -108,14 +120,14 @@ PREVIEW_CHARS = 500
 class OptimizerConfig:
     """Thresholds and budgets.  Values are folded into plans as literals."""
 
-    no_compress_threshold: int = 500
-    truncate_threshold: int = 2000
-    extractive_threshold: int = 8000
-    target_ratio: float = 0.3
-    max_output_tokens: int = 2000
-    input_cost_per_1k: float = 0.00015
-    summarization_model: str = "gpt-4o-mini"
-    chunk_size: int = 3000
+    no_compress_threshold: int = NO_COMPRESS_THRESHOLD
+    truncate_threshold: int = TRUNCATE_THRESHOLD
+    extractive_threshold: int = EXTRACTIVE_THRESHOLD
+    target_ratio: float = TARGET_RATIO
+    max_output_tokens: int = MAX_OUTPUT_TOKENS
+    input_cost_per_1k: float = INPUT_COST_PER_1K
+    summarization_model: str = SUMMARIZATION_MODEL
+    chunk_size: int = CHUNK_SIZE
     # characters of the text that a prompt carries; None: all of it
     prompt_content_chars: int | None = PROMPT_CONTENT_CHARS
 

@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import config as C
 from .text import col_, contains_any, count_contains, lit_, prefix
 
-# Java regexes for the pattern signals.  `\d` / `\w` spelled as Unicode
-# classes to match Python's str-pattern semantics.
-_DIGIT = r"\p{Nd}"
-_WORD = r"[\p{L}\p{N}_]"
-TIMESTAMP_RE = _DIGIT + ":" + _DIGIT + "{2}"  # `\d{1,2}:\d{2}` found anywhere
-SPEAKER_RE = "speaker " + _DIGIT
-BRACKET_NAME_RE = r"\[[^\n]*\]:"  # `\[.*?\]:` ('.' excludes only '\n')
-CHAT_NAME_RE = "^" + _WORD + "+:"  # `^\w+:` (no MULTILINE: text start only)
-CHAT_STAMP_RE = r"^\[" + _DIGIT + "{1,2}:" + _DIGIT + r"{2}\]"
+
+def java_pattern(pattern: str) -> str:
+    """A pattern of Python's dialect for Java: Unicode digits and word characters, a dot that excludes only a line feed."""
+    return pattern.replace(r"\d", r"\p{Nd}").replace(r"\w", r"[\p{L}\p{N}_]").replace(".*", r"[^\n]*")
 
 
 def type_from_filename(filename) -> Column:
@@ -33,34 +30,42 @@ def type_from_filename(filename) -> Column:
 def signal_window(text) -> Column:
     """content.lower()[:2000].
 
-    Lowering never shortens a string, so only a slightly longer prefix is
-    lowered (the extra characters give the context that final-sigma casing
-    looks at) instead of the whole document.
+    Lowering never shortens a string, and a character's lower case depends on
+    those around it for the capital sigma alone, so the first 2000 characters
+    are enough unless they hold one.
     """
-    head = prefix(col_(text), C.SIGNAL_WINDOW_CHARS + 64)
-    return prefix(F.lower(head), C.SIGNAL_WINDOW_CHARS)
+    c = col_(text)
+    head = prefix(c, C.SIGNAL_WINDOW_CHARS)
+    return prefix(F.when(F.instr(head, "\u03a3") > 0, F.lower(c)).otherwise(F.lower(head)), C.SIGNAL_WINDOW_CHARS)
 
 
 def _b(cond: Column) -> Column:
     return F.when(cond, 1).otherwise(0)
 
 
+def _literals(pattern: str) -> list[str] | None:
+    """The substrings that a pattern of plain alternatives looks for; `um+` is found where `um` is.  Else None."""
+    parts = pattern.split("|")
+    if not all(re.fullmatch(r"[a-z ,]+(\\\?)?\+?", p) for p in parts):
+        return None
+    return [p.removesuffix("+").replace("\\?", "?") for p in parts]
+
+
+def count_matches(window: Column, patterns) -> Column:
+    """How many of the patterns are found; plain ones by substring tests, which are faster."""
+    out = None
+    for p in patterns:
+        words = _literals(p)
+        t = _b(contains_any(window, words) if words else window.rlike(java_pattern(p)))
+        out = t if out is None else out + t
+    return out
+
+
 def signal_scores(window: Column) -> Column:
     """STRUCT of the five signal counts over the lowered 2000-char window."""
     w = window
-    transcript = (
-        _b(w.rlike(TIMESTAMP_RE))
-        + _b(w.rlike(SPEAKER_RE))
-        + _b(w.rlike(BRACKET_NAME_RE))
-        # `um+|uh+|like,` and `yeah|okay|right\?` are plain substring tests
-        + _b(contains_any(w, ("um", "uh", "like,")))
-        + _b(contains_any(w, ("yeah", "okay", "right?")))
-    )
-    chat = (
-        _b(w.rlike(CHAT_NAME_RE))
-        + _b(w.rlike(CHAT_STAMP_RE))
-        + count_contains(w, C.CHAT_SUBSTRING_SIGNALS)
-    )
+    transcript = count_matches(w, C.TRANSCRIPT_PATTERNS)
+    chat = count_matches(w, C.CHAT_PATTERNS)
     return F.struct(
         transcript.alias("transcript"),
         count_contains(w, C.EMAIL_SIGNALS).alias("email"),

@@ -80,7 +80,7 @@ def signals(w: str) -> dict[str, str]:
         "chat": (
             f"(regexp_matches({w}, '^[\\p{{L}}\\p{{N}}_]+:')::INT"
             f" + regexp_matches({w}, '^\\[{d}{{1,2}}:{d}{{2}}\\]')::INT"
-            f" + {count_contains(w, C.CHAT_SUBSTRING_SIGNALS)})"
+            f" + {count_contains(w, ('lol', 'brb', 'omg'))})"
         ),
     }
 
@@ -259,21 +259,8 @@ def _normalize_documents():
 
 
 def _filename_types():
-    names = pick("doc_id", [None if n is None else n for n in Q.NAME_PATTERNS])
-    # patterns with {} take the id
-    arms = []
-    for i, pat in enumerate(Q.NAME_PATTERNS):
-        if pat is None:
-            v = "NULL"
-        elif "{}" in pat:
-            a, b = pat.split("{}")
-            v = f"{q(a)} || doc_id::VARCHAR || {q(b)}"
-        else:
-            v = q(pat)
-        arms.append(f"WHEN {i} THEN {v}")
-    names = f"(CASE doc_id % {len(Q.NAME_PATTERNS)} {' '.join(arms)} END)"
     return f"""WITH f AS (SELECT 'pages' AS origin, page_id AS key, url AS filename FROM pages
-        UNION ALL SELECT 'documents', doc_id, {names} FROM documents)
+        UNION ALL SELECT 'documents', doc_id, source || '/' || left(text, 40) || '.' || right(text, 3) FROM documents)
         SELECT origin, key, filename, {type_from_name('filename')} AS name_type FROM f"""
 
 
@@ -633,11 +620,13 @@ def _decode_text():
 
 
 def _file_roundtrip():
-    # every file is named part-*.txt, so the name rule makes it a document;
-    # the trailing newline the text writer adds is removed by normalization
-    return _corpus_sql(
-        "src AS (SELECT doc_id, text || chr(10) AS raw, 'part-0.txt' AS filename FROM documents)",
-        "doc_id", "filename")
+    """A file's text is its documents in order, each with the line end that the text writer adds."""
+    name = "replace(" + pick("file", Q.FILE_NAMES) + ", '%d', file::VARCHAR)"
+    ctes = [f"f AS (SELECT doc_id, text, doc_id // {Q.FILE_DOCS} AS file FROM documents)",
+            f"src AS (SELECT {name} AS filename, string_agg(text || {NL}, '' ORDER BY doc_id) AS raw FROM f GROUP BY file)"]
+    ctes += run_ctes("r", "src", "filename", filename="filename")
+    return with_(ctes, """SELECT filename, octet_length(encode(raw))::BIGINT AS file_size_bytes, length(nt)::BIGINT AS chars_normalized,
+        raw_tokens, content_type, strategy, compressed_tokens, benchmark_strategy FROM r_res""")
 
 
 def _artifact_roundtrip():

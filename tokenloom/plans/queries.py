@@ -56,9 +56,6 @@ MODEL_NAMES = (
     "claude-3-sonnet", "claude-3-haiku", "gemini-pro", "mistral-large", "mistral-small",
     "gpt-4", "gpt-4o-mini-2024-07-18", "claude-3", "", "unknown-x",
 )
-# synthetic file names per row (doc_id % 8) to reach every name rule
-NAME_PATTERNS = ("doc_{}.py", "data_{}.json", "notes_{}.md", "transcript_{}.txt",
-                 "otter_{}", "potter_{}.html", "", None)
 # header lines prefixed per row (doc_id % 6) to reach every content type
 HEADER_VARIANTS = (
     "",
@@ -122,20 +119,14 @@ def normalize_documents(spark, sf_dir):
 
 
 def filename_types(spark, sf_dir):
+    """OP08 on urls and on names made of a document's source, its first and its last characters."""
     pages = table(spark, sf_dir, "pages").select(
         F.lit("pages").alias("origin"), F.col("page_id").alias("key"), F.col("url").alias("filename")
     )
-    docs = table(spark, sf_dir, "documents").select("doc_id")
-    name = F.pmod(F.col("doc_id"), F.lit(len(NAME_PATTERNS)))
-    expr = None
-    for i, pat in enumerate(NAME_PATTERNS):
-        v = (F.lit(None).cast("string") if pat is None
-             else F.format_string(pat.replace("{}", "%d"), F.col("doc_id")) if "{}" in pat
-             else F.lit(pat))
-        expr = F.when(name == i, v) if expr is None else expr.when(name == i, v)
-    synth = docs.select(F.lit("documents").alias("origin"), F.col("doc_id").alias("key"),
-                        expr.alias("filename"))
-    both = pages.unionByName(synth)
+    titles = table(spark, sf_dir, "documents").select(
+        F.lit("documents").alias("origin"), F.col("doc_id").alias("key"),
+        F.concat("source", F.lit("/"), F.substring("text", 1, 40), F.lit("."), F.substring("text", -3, 3)).alias("filename"))
+    both = pages.unionByName(titles)
     return both.withColumn("name_type", type_from_filename(F.col("filename")))
 
 
@@ -584,22 +575,28 @@ def _widen(fn):
     return run
 
 
+FILE_DOCS = 20
+# a name for each rule, in their order, and names that no rule knows; the number of the file goes in
+FILE_NAMES = ("a%d.py", "b%d.js", "c%d.ts", "d%d.java", "e%d.cpp", "f%d.go", "g%d.md", "h%d.txt", "i%d.doc", "j%d.pdf",
+              "transcript %d", "Otter%d", "k%d.html", "m%d", "DATA%d.JSON", "transcript_%d.MD")
+
+
 def file_roundtrip(spark, sf_dir):
-    """OP01/OP02/OP04 end to end: documents are written as one text file per
-    document under the shared checkpoint folder, read back as binary files,
-    decoded and run.  Each call writes to a fresh sub-folder."""
+    """OP01/OP02 end to end: documents are written as files of FILE_DOCS documents, whose names reach every
+    rule for file names, read back as binary files, decoded and run, one run for each file."""
     import uuid
 
     from ..session import checkpoint_dir
     from ..sources.files import read_files
 
     root = f"{checkpoint_dir(spark).rstrip('/')}/files-{uuid.uuid4().hex}"
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    docs.write.partitionBy("doc_id").text(root)
-    corpus = read_files(spark, root, glob="*.txt")
-    runs = run_pipeline(spread(corpus), keep_text=False)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.expr(f"doc_id div {FILE_DOCS}").alias("file"))
+    named = docs.withColumn("name", F.replace(_pick(F.col("file"), FILE_NAMES), F.lit("%d"), F.col("file").cast("string")))
+    dealt = named.repartition("name").sortWithinPartitions("name", "doc_id")
+    dealt.select("name", "text").write.partitionBy("name").text(root)
+    runs = run_pipeline(read_files(spark, root, glob="*.txt", name_pattern="name=([^/]+)/"), keep_text=False)
     return runs.select(
-        F.regexp_extract("file_path", r"doc_id=(\d+)", 1).cast("bigint").alias("doc_id"),
+        "filename", "file_size_bytes",
         "chars_normalized", "raw_tokens", "content_type", "strategy", "compressed_tokens",
         "benchmark_strategy",
     )
