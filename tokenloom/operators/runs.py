@@ -1,11 +1,10 @@
-"""OP28-OP31, OP34: run identity, stage report, run summary, corpus rollup and
-run comparison."""
+"""OP28-OP30, OP34: run identity, stage report, run summary and run comparison."""
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -113,36 +112,6 @@ def run_summary(runs: DataFrame) -> DataFrame:
     )
 
 
-def corpus_rollup(runs: DataFrame, dims: Sequence[str], model_col: str = "model") -> DataFrame:
-    """OP31: documents, tokens and costs by dims with ROLLUP subtotals.
-
-    Integer token sums are taken first (exact, order-independent) and priced
-    afterwards, so the result does not depend on partitioning.  The price is
-    per model, so the model is the first rollup level; the grand total is the
-    sum of the models' costs.
-    """
-    from ..functions.numeric import price_lookup
-
-    g = runs.rollup(model_col, *dims).agg(
-        F.count(F.lit(1)).alias("documents"),
-        F.sum("raw_tokens").alias("raw_tokens"),
-        F.sum("compressed_tokens").alias("optimized_tokens"),
-        F.sum(F.when(F.col("benchmark_strategy") == "optimized", 1).otherwise(0)).alias("accepted"),
-        F.grouping_id().alias("grouping_level"),
-    )
-    price = price_lookup(F.col(model_col))["input_per_1k"]
-    # by the grouping id, not by a null model: that may be a real value
-    below_model = F.lit(1 << len(dims))
-    of_model, is_total = F.col("grouping_level") == below_model - 1, F.col("grouping_level") >= below_model
-    total = Window.partitionBy()  # over the finished report, one row per group
-
-    def cost(tokens: str) -> Column:
-        own = (F.col(tokens) / 1000.0) * price
-        return F.when(is_total, F.sum(F.when(of_model, own)).over(total)).otherwise(own)
-
-    return g.withColumn("cost_raw", cost("raw_tokens")).withColumn("cost_optimized", cost("optimized_tokens"))
-
-
 def compare_runs(a: DataFrame, b: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> DataFrame:
     """OP34: full outer join of two run outputs; per-field null-safe equality.
 

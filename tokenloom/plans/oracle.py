@@ -491,6 +491,35 @@ def _corpus_rollup():
         (optimized_tokens / 1000) * {pin!r}::DOUBLE AS cost_optimized FROM g""")  # one model: the total is its cost
 
 
+def _corpus_report():
+    """All runs at once, grouped by every subset of the dimensions."""
+    from itertools import combinations
+
+    jobs = (("d", "document", "gpt-4o-mini"), ("p", "web_page", "gpt-4o"), ("c", "transcript", "claude-3-haiku"))
+    ctes = ["dsrc AS (SELECT doc_id, text AS raw FROM documents)"] + run_ctes("d", "dsrc", "doc_id")
+    ctes += ["psrc AS (SELECT page_id, html AS raw, url AS filename FROM pages)"] + run_ctes("p", "psrc", "page_id", filename="filename")
+    ctes += ["csrc AS (SELECT conv_id, string_agg(role || ': ' || text, chr(10) ORDER BY turn, role, text) AS raw FROM conversations GROUP BY conv_id)"]
+    ctes += run_ctes("c", "csrc", "conv_id")
+    ctes += ["u AS (" + " UNION ALL ".join(
+        f"SELECT {q(m)} AS model, {q(t)} AS doc_type, content_type, strategy, raw_tokens AS r, compressed_tokens AS o, "
+        f"benchmark_strategy = 'optimized' AS ok FROM {p}_res" for p, t, m in jobs) + ")"]
+    dims = ("doc_type", "content_type", "strategy")
+    sets = ", ".join("(" + ", ".join(["model", *some]) + ")" for n in range(4) for some in combinations(dims, n))
+    pin = {k: a for k, a, _ in C.MODEL_PRICES}
+    price = "CASE model " + " ".join(f"WHEN {q(m)} THEN {pin[m]!r}::DOUBLE" for _, _, m in jobs) + " END"
+    costs = ("cost_raw", "cost_optimized", "cost_chosen")
+    sums = ("documents", "raw_tokens", "optimized_tokens", "chosen_tokens", "accepted")
+    ctes += [f"""e AS (SELECT model, {', '.join(dims)}, GROUPING(model, {', '.join(dims)})::BIGINT AS level, count(*)::BIGINT AS documents,
+        sum(r)::BIGINT AS raw_tokens, sum(o)::BIGINT AS optimized_tokens, sum(CASE WHEN ok THEN o ELSE r END)::BIGINT AS chosen_tokens,
+        sum(ok::INT)::BIGINT AS accepted FROM u GROUP BY GROUPING SETS ({sets}))""",
+             "ep AS (SELECT *, " + ", ".join(f"({c}_tokens / 1000) * ({price}) AS cost_{c}" for c in ("raw", "optimized", "chosen")) + " FROM e)"]
+    total = ", ".join([f"sum({s})::BIGINT" for s in sums] + [
+        f"list_reduce([0.0::DOUBLE] || list({c} ORDER BY model), lambda a, b: a + b)" for c in costs])
+    own = ", ".join((*sums, *costs))
+    return with_(ctes, f"""SELECT model, {', '.join(dims)}, level, {own} FROM ep
+        UNION ALL SELECT NULL, {', '.join(dims)}, level + 8, {total} FROM ep GROUP BY {', '.join(dims)}, level""")
+
+
 def _distinct_content():
     return with_(_doc_run() + [
         f"fp AS (SELECT doc_id, sha256(text || '{C.DEFAULT_MODEL}') AS fingerprint FROM documents)",
@@ -748,6 +777,7 @@ ORACLE_SQL = {
     "stage_report": _stage_report(),
     "run_summary": _run_summary(),
     "corpus_rollup": _corpus_rollup(),
+    "corpus_report": _corpus_report(),
     "distinct_content": _distinct_content(),
     "model_sweep": _model_sweep(),
     "config_sweep": _config_sweep(),

@@ -25,12 +25,12 @@ from ..operators.metrics import benchmark, count_and_cost, resolve_price_table
 from ..operators.optimize import optimize, prepare
 from ..operators.runs import (
     compare_runs,
-    corpus_rollup,
     fingerprint_expr,
     run_id_expr,
     stage_report,
 )
 from ..operators.reuse import run_distinct
+from ..operators.rollup import corpus_rollup, read_sums, report, store_sums
 from ..operators.summarize import max_tokens_expr, prompt_expr
 from ..operators.sweep import Variant, sweep
 from ..operators.token_store import by_family, count_missing, with_token_counts
@@ -421,6 +421,26 @@ def corpus_rollup_documents(spark, sf_dir):
     )
 
 
+def corpus_report(spark, sf_dir):
+    """OP31: documents (in two batches), pages and conversations leave their sums, under three models; the
+    report merges them over all levels of document type, content type and strategy."""
+    import uuid
+
+    from ..session import checkpoint_dir
+
+    root = f"{checkpoint_dir(spark).rstrip('/')}/sums-{uuid.uuid4().hex}"
+    docs = documents_corpus(spark, sf_dir)
+    short = F.length("raw_text") < 1500
+    for job, batch, corpus, model in (
+        ("documents", "short", docs.where(short), "gpt-4o-mini"),
+        ("documents", "long", docs.where(~short), "gpt-4o-mini"),
+        ("pages", "", pages_corpus(spark, sf_dir), "gpt-4o"),
+        ("conversations", "", conversations_corpus(spark, sf_dir), "claude-3-haiku"),
+    ):
+        store_sums(run_pipeline(corpus, model=model, keep_text=False), root, job, batch)
+    return report(read_sums(spark, root))
+
+
 def distinct_content(spark, sf_dir):
     """OP32: each content is run once; every document has its content's result and number of copies."""
     out = run_distinct(documents_corpus(spark, sf_dir, spread_scan=False),
@@ -717,6 +737,7 @@ QUERIES = {
     "stage_report": stage_report_documents,
     "run_summary": run_summary_documents,
     "corpus_rollup": corpus_rollup_documents,
+    "corpus_report": corpus_report,
     "distinct_content": distinct_content,
     "model_sweep": model_sweep,
     "config_sweep": config_sweep,
