@@ -7,7 +7,8 @@ The summariser is a user-supplied callable
 with request columns content_type, target_tokens, max_tokens, prompt, system.
 It runs on Arrow batches, only for the rows that need it.  Where a batch raises,
 it is halved and asked again until the failing requests stand alone, so one bad
-request never costs its neighbours their answers.  A request without an answer
+request never costs its neighbours their answers; an error that hits every
+request fails the job (`tolerant` goes on).  A request without an answer
 falls back to the extractive strategy on its full text, and `summary_status`
 says so: answered, partial (some of a document's requests) or fallback.
 
@@ -75,20 +76,72 @@ def build_prompts(df: DataFrame, text_col: str = "norm_text", window: int | None
     })
 
 
-def _ask(fn: Callable, requests: pd.DataFrame) -> list:
-    """One answer (str or None) per request; a failing batch is halved until the bad requests stand alone."""
+class SummarizerDown(RuntimeError):
+    """The callable fails on every request, whatever it holds."""
+
+
+#: requests that are asked alone before an error counts as one that hits all
+PROBES = 8
+
+
+def _call(fn: Callable, requests: pd.DataFrame) -> list:
+    answers = list(fn(requests))
+    if len(answers) != len(requests):
+        raise ValueError("not one answer for each request")
+    return [v.strip() if isinstance(v, str) else None for v in answers]
+
+
+def _halved(fn: Callable, requests: pd.DataFrame) -> list:
+    """One answer per request, None where the request alone fails."""
     if not len(requests):
         return []
     try:
-        answers = list(fn(requests))
-        if len(answers) == len(requests):
-            return [v.strip() if isinstance(v, str) else None for v in answers]
+        return _call(fn, requests)
     except Exception:  # noqa: BLE001 - isolated below
-        pass
-    if len(requests) == 1:
-        return [None]
+        if len(requests) == 1:
+            return [None]
     half = len(requests) // 2
-    return [v for part in (requests[:half], requests[half:]) for v in _ask(fn, part.reset_index(drop=True))]
+    return [v for part in (requests[:half], requests[half:]) for v in _halved(fn, part.reset_index(drop=True))]
+
+
+def _ask(fn: Callable, requests: pd.DataFrame) -> list:
+    """One answer (str or None) per request.
+
+    A failing batch is halved until the bad requests stand alone.  Where PROBES
+    requests from all over it fail alone with the same error, the error hits
+    every request: it rises instead of being asked for 2 * n times.  A missing
+    module always rises.
+    """
+    if not len(requests):
+        return []
+    try:
+        return _call(fn, requests)
+    except ImportError:
+        raise
+    except Exception as e:  # noqa: BLE001 - one error of all, or isolated below
+        if len(requests) >= PROBES:
+            same = 0
+            for i in {k * (len(requests) - 1) // (PROBES - 1) for k in range(PROBES)}:
+                try:
+                    _call(fn, requests[i:i + 1].reset_index(drop=True))
+                    break
+                except Exception as alone:  # noqa: BLE001 - compared
+                    same += type(alone) is type(e) and str(alone) == str(e)
+            if same == PROBES:
+                raise SummarizerDown(f"the summariser fails on every request: {e!r}") from e
+    return _halved(fn, requests)
+
+
+def tolerant(fn: Callable) -> Callable:
+    """fn, but with no answers where a whole batch fails: a job goes on with the fallback while the model is down."""
+
+    def ask(requests: pd.DataFrame) -> list:
+        try:
+            return _ask(fn, requests)
+        except SummarizerDown:
+            return [None] * len(requests)
+
+    return ask
 
 
 def summarizer_udf(fn: Callable):
@@ -209,11 +262,12 @@ def optimize_with_cache(df: DataFrame, text_col: str, cfg: C.OptimizerConfig, fn
 
     A job is a distinct (strategy, type, budget, text) that needs summaries; its
     requests are rows (one per chunk), so a long document is spread over tasks
-    and equal documents are asked once.  Jobs come back by their key; rows that
-    need no summary take no part in that join.
+    and equal documents are asked once.  Jobs come back by their key, salted, since
+    many rows may have one text; rows that need no summary take no part in that join.
     """
     from ..session import checkpoint_dir
     from .optimize import _compressed_expr, token_stats
+    from .salting import attach
     from .summary_cache import cached_summaries
 
     text, t, ct, strategy = F.col(text_col), F.col("target_tokens"), F.col("content_type"), F.col("strategy")
@@ -252,6 +306,7 @@ def optimize_with_cache(df: DataFrame, text_col: str, cfg: C.OptimizerConfig, fn
         _status(F.col("_got") + F.col("summary").isNotNull().cast("int"), F.col("_asked") + 1).alias("summary_status"))
     done = merged.where(~big).select(
         "_job", F.col("norm_text").alias("compressed"), _status(F.col("_got"), F.col("_asked")).alias("summary_status"))
-    back = asking.join(done.unionByName(again), "_job", "left").drop("_job")
+    own = [F.col(c) for c in df.columns if c != text_col]
+    back = attach(asking, done.unionByName(again), "_job", own).drop("_job")
     plain = plain.withColumn("summary_status", F.lit(None).cast("string"))
     return token_stats(plain.unionByName(back), cfg)
