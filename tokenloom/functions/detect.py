@@ -86,15 +86,19 @@ def type_from_signals(scores: Column) -> Column:
     )
 
 
-def detect_content_type(text, filename=None, override=None) -> Column:
-    """override, else filename rule, else signal thresholds, else 'document'."""
-    parts = []
-    if override is not None:
-        parts.append(lit_(override))
+def known_content_type(filename=None, override=None) -> Column | None:
+    """The type that is decided without the text: the override, else the file name's; None where neither is given."""
+    parts = [lit_(override)] if override is not None else []
     if filename is not None:
         parts.append(type_from_filename(filename))
-    parts.append(type_from_signals(signal_scores(signal_window(text))))
-    return F.coalesce(*parts) if len(parts) > 1 else parts[0]
+    return F.coalesce(*parts) if parts else None
+
+
+def detect_content_type(text, filename=None, override=None) -> Column:
+    """override, else filename rule, else signal thresholds, else 'document'."""
+    known = known_content_type(filename, override)
+    by_signals = type_from_signals(signal_scores(signal_window(text)))
+    return by_signals if known is None else F.coalesce(known, by_signals)
 
 
 def select_strategy(tokens, cfg: C.OptimizerConfig = C.DEFAULT_CONFIG, forced=None,

@@ -18,7 +18,14 @@ from ..functions.compress import (
     needs_recompress,
     pack_chunks,
 )
-from ..functions.detect import calculate_target, detect_content_type, select_strategy
+from ..functions.detect import (
+    calculate_target,
+    known_content_type,
+    select_strategy,
+    signal_scores,
+    signal_window,
+    type_from_signals,
+)
 from ..functions.numeric import cost_saved_config, safe_ratio_loss
 from ..functions.text import estimate_tokens, lit_, normalize_lines
 
@@ -46,14 +53,18 @@ def prepare(
     """
     fname = F.col(filename_col) if filename_col and filename_col in df.columns else None
     tokens = estimate_tokens(text_col)
+    known = known_content_type(fname, content_type)
+    # a column of its own: below a coalesce, Spark would lower the window again for each of its sixty tests
+    df = df.withColumn("_window", signal_window(F.col(text_col)) if known is None else F.when(known.isNull(), signal_window(F.col(text_col))))
+    by_signals = type_from_signals(signal_scores(F.col("_window")))
     return df.withColumns(
         {
             "raw_tokens": tokens,
-            "content_type": detect_content_type(text_col, fname, content_type),
+            "content_type": by_signals if known is None else F.coalesce(known, by_signals),
             "strategy": select_strategy(tokens, cfg, force_strategy),
             "target_tokens": calculate_target(tokens, cfg.target_ratio, cfg.max_output_tokens),
         }
-    )
+    ).drop("_window")
 
 
 def _compressed_expr(text: Column, cfg: C.OptimizerConfig, hierarchical: bool = True) -> Column:
