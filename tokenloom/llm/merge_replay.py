@@ -2,14 +2,15 @@
 
 All words' symbols lie in one chain.  An inverted index leads from each kind of
 adjacent pair to the places where it stands; a pair's rank is looked up once
-for the kind and set at all its places.  Merges go in rank order within each
-word; words do not touch, so one step may apply the next merge of every word at
-once.  After a step only the pairs beside a merged one are indexed anew.
+for the kind and set at all its places.  Merges go in rank order over all words,
+each at all the places that its index entry holds: together where they are MANY,
+can't overlap and make no pair of lower rank, else one after the other.  Only the pairs beside a merged one
+are looked up and indexed anew.
 """
 
 from __future__ import annotations
 
-from heapq import heapify, heappop, heappush
+from heapq import heappop, heappush
 
 import numpy as np
 
@@ -17,7 +18,7 @@ SHIFT = 20  # symbol ids are below 2**20
 
 
 NONE = 1 << 40  # stands for no rank
-LONG = 256  # symbols; longer words take the form whose time does not grow with the square
+MANY = 24  # places of one pair that are merged together
 
 
 def pair_key(a: int, b: int) -> int:
@@ -57,112 +58,84 @@ def replay(symbols: np.ndarray, lengths: np.ndarray, ranks: Ranks, made: np.ndar
     symbols: the words' ids (int64), one word after the other; lengths: ids of
     each word (1 at least); made: the id that the pair of a rank becomes.
     """
-    long = lengths > LONG
-    if not long.any():
-        return _replay_short(symbols, lengths, ranks, made)
-    of_long = np.repeat(long, lengths)
-    parts = [
-        (np.flatnonzero(long), *_replay_long(symbols[of_long], lengths[long], ranks, made)),
-        (np.flatnonzero(~long), *_replay_short(symbols[~of_long], lengths[~long], ranks, made)),
-    ]
-    words = np.concatenate([np.repeat(w, n) for w, _, n in parts])
-    sizes = np.zeros(len(lengths), dtype=np.int64)
-    for w, _, n in parts:
-        sizes[w] = n
-    return np.concatenate([s for _, s, _ in parts])[np.argsort(words, kind="stable")], sizes
-
-
-def _replay_short(symbols: np.ndarray, lengths: np.ndarray, ranks: Ranks, made: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    sizes = lengths.astype(np.int64)
-    sym, lens, word = symbols, sizes.copy(), np.arange(len(lengths))
-    owner = np.repeat(word, lens)
-    pair = _pair_ranks(sym, np.cumsum(lens) - 1, ranks)
-    done: list[tuple[np.ndarray, np.ndarray]] = []
-    while len(sym):
-        least = np.minimum.reduceat(pair, np.cumsum(lens) - lens)
-        going = least < NONE
-        if not going.all():  # nothing more merges in these words
-            stay = np.repeat(going, lens)
-            done.append((owner[~stay], sym[~stay]))
-            sizes[word[~going]] = lens[~going]
-            sym, owner, pair, word, lens, least = sym[stay], owner[stay], pair[stay], word[going], lens[going], least[going]
-            if not len(sym):
-                break
-        at = np.flatnonzero(pair == np.repeat(least, lens))
-        at = at[np.concatenate(([True], owner[at][1:] != owner[at][:-1]))]  # each word's leftmost
-        sym[at] = made[pair[at]]
-        kept = np.ones(len(sym), dtype=bool)
-        kept[at + 1] = False
-        sym, owner, pair = sym[kept], owner[kept], pair[kept]
-        lens = lens - 1
-        at = at - np.arange(len(at))
-        stop = np.cumsum(lens)
-        pair[at] = NONE
-        right = at[at + 1 < stop]
-        left = at[at > stop - lens] - 1
-        pair[right] = ranks.of(sym[right] << SHIFT | sym[right + 1])
-        pair[left] = ranks.of(sym[left] << SHIFT | sym[left + 1])
-    if not done:
-        return sym, sizes
-    owners = np.concatenate([o for o, _ in done])
-    return np.concatenate([s for _, s in done])[np.argsort(owners, kind="stable")], sizes
-
-
-def _replay_long(symbols: np.ndarray, lengths: np.ndarray, ranks: Ranks, made: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Words of any length, in time n log n: ranks in order, each at all the places its index entry holds."""
     n = len(symbols)
     ends = np.cumsum(lengths) - 1
     place = np.arange(n)
-    right_at, left_at = place + 1, place - 1
-    right_at[ends] = -1
-    left_at[ends + 1 - lengths] = -1
-    pair_at = _pair_ranks(symbols, ends, ranks)
-    held = np.flatnonzero(pair_at < NONE)
-    held = held[np.argsort(pair_at[held], kind="stable")]
-    cuts = np.flatnonzero(np.diff(pair_at[held])) + 1
-    index = {int(pair_at[g[0]]): g.tolist() for g in np.split(held, cuts) if len(g)}
-    order = list(index)
-    heapify(order)
-    syms, right, left, pair = symbols.tolist(), right_at.tolist(), left_at.tolist(), pair_at.tolist()
+    syms, right, left = symbols.copy(), place + 1, place - 1
+    right[ends] = -1
+    left[ends + 1 - lengths] = -1
+    pair = _pair_ranks(symbols, ends, ranks)
+    index: dict[int, list[int]] = {}
+
+    def enter(places: np.ndarray, found: np.ndarray) -> None:
+        """Set the pairs at the places and index those that merge."""
+        pair[places] = found
+        held = np.flatnonzero(found < NONE)
+        held = held[np.argsort(found[held], kind="stable")]
+        kinds = found[held]
+        first = np.flatnonzero(np.diff(kinds, prepend=-1))
+        at = places[held].tolist()
+        for q, a, b in zip(kinds[first].tolist(), first.tolist(), [*first[1:].tolist(), len(at)]):
+            if q in index:
+                index[q] += at[a:b]
+            else:
+                index[q] = at[a:b]
+                heappush(order, q)
+
+    order: list[int] = []
+    enter(place, pair.copy())
     get = ranks.by_key.get
     while order:
         r = heappop(order)
-        todo = index.pop(r, None)
-        if todo is None:
-            continue
-        todo.sort()
+        todo = index.pop(r)
         new = int(made[r])
+        if len(todo) >= MANY:
+            i = np.unique(np.array(todo))
+            i = i[pair[i] == r]  # elsewhere a neighbour has changed since
+            j = right[i]
+            before, after = left[i], right[j]
+            beside = np.concatenate([[new << SHIFT | new], syms[before[before >= 0]] << SHIFT | new, new << SHIFT | syms[after[after >= 0]]])
+            # two places of such a pair never overlap
+            if len(i) and syms[i[0]] != syms[j[0]] and ranks.of(beside).min() > r:
+                syms[i], syms[j], pair[j], right[i] = new, -1, NONE, after
+                inner = after >= 0
+                left[after[inner]] = i[inner]
+                before = left[i]
+                touched = np.unique(np.concatenate([i, before[before >= 0]]))
+                beside = right[touched]
+                found = np.full(len(touched), NONE)
+                has = beside >= 0
+                found[has] = ranks.of(syms[touched[has]] << SHIFT | syms[beside[has]])
+                enter(touched, found)
+                continue
+            todo = i.tolist()
+        todo.sort()
         for k, i in enumerate(todo):
-            if pair[i] != r:  # a neighbour has changed since
+            if pair[i] != r:
                 continue
             if order and order[0] < r:  # a merge has made a pair of lower rank: that goes first
                 index[r] = todo[k:] + index.get(r, [])
                 heappush(order, r)
                 break
-            j = right[i]
-            syms[i], syms[j], pair[j] = new, -1, NONE
-            after = right[i] = right[j]
-            q = NONE
+            j = int(right[i])
+            after = int(right[j])
+            syms[i], syms[j], pair[j], right[i] = new, -1, NONE, after
+            beside = [(i, new, int(syms[after]))] if after >= 0 else []
             if after >= 0:
                 left[after] = i
-                q = get(new << SHIFT | syms[after], NONE)
-                if q < NONE:
-                    if q in index:
-                        index[q].append(i)
-                    else:
-                        index[q] = [i]
-                        heappush(order, q)
-            pair[i] = q
-            before = left[i]
+            else:
+                pair[i] = NONE
+            before = int(left[i])
             if before >= 0:
-                q = pair[before] = get(syms[before] << SHIFT | new, NONE)
+                beside.append((before, int(syms[before]), new))
+            for at, a, b in beside:
+                q = pair[at] = get(a << SHIFT | b, NONE)
                 if q < NONE:
                     if q in index:
-                        index[q].append(before)
+                        index[q].append(at)
                     else:
-                        index[q] = [before]
+                        index[q] = [at]
                         heappush(order, q)
-    out = np.array(syms, dtype=np.int64)
-    kept = out >= 0
+    kept = syms >= 0
     sizes = np.add.reduceat(kept, ends + 1 - lengths) if n else np.zeros(0, dtype=np.int64)
-    return out[kept], sizes.astype(np.int64)
+    return syms[kept], sizes.astype(np.int64)
