@@ -271,7 +271,11 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id") -> DataFrame:
     return out.withColumn("train_tokens", F.lit(model.tokens).cast("long"))
 
 
-def lm_score(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Train on the rows that are not held out, score all rows."""
-    model = train(docs.where(~held_out(id_col)))
+def lm_score(docs: DataFrame, id_col: str = "doc_id", shard_bits: int | None = None) -> DataFrame:
+    """Train on the rows that are not held out, score all rows.
+
+    shard_bits: the model has 2 ** shard_bits shards of at most 2 ** 24 distinct
+    words each; by default about as many as there are shuffle partitions.
+    """
+    model = train(docs.where(~held_out(id_col)), shard_bits)
     return score(docs, model, id_col).withColumn("held_out", held_out(id_col))

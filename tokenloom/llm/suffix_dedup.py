@@ -17,7 +17,9 @@ make a context of about 285 bytes.
 4. The repeated byte spans are merged for each text and cut out.
 
 What a task holds is bounded by BATCH contexts and by one anchor's contexts.
-Hash equality stands for string equality (64 bits, within one anchor).
+Hash equality stands for string equality (64 bits, over the contexts of a batch).
+The order of the suffixes only brings equal contexts together: windows that
+contexts share in part are found by their hashes (see the README on why).
 
 Defined results: null text is empty; a text below 200 bytes keeps all; repeated
 rows are documents of their own, so each repeats the other; extra columns are
@@ -45,6 +47,7 @@ BLOCK = 64  # bytes of a context that make one symbol
 SEGMENT = 1 << 19  # windows of a text handled at a time
 BATCH = 40_000  # contexts sorted at a time
 SLOT_BITS = 16  # slots for each anchor expected
+RANGE_BITS = 28  # slots of one bit map, a byte each while its task counts
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -318,9 +321,10 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", clean: bool = False) -
     rest = F.struct(*others) if others else F.lit(None).cast("int")
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.lit(1), F.col(id_col), text).alias("key"), text.alias("text"), rest.alias("rest"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    # a power of two of slots, in as many ranges; each range fits 32 bits
-    ranges = 1 << max(parts - 1, 1).bit_length()
-    bits = max((SLOT_BITS * size // 85).bit_length(), 16, ranges.bit_length())
+    # a power of two of slots, in as many ranges; a range has 2 ** RANGE_BITS slots at most, so offsets fit 32 bits
+    bits = max((SLOT_BITS * size // 85).bit_length(), 16)
+    range_bits = max(max(parts - 1, 1).bit_length(), bits - RANGE_BITS)
+    ranges, bits = 1 << range_bits, max(bits, range_bits + 1)
     folder = new_folder(spark, "anchor-bits")
     _filter(texts.where(F.octet_length("text") >= LENGTH), bits, ranges, folder)
     spans = _spans(_contexts(texts.where(F.octet_length("text") >= LENGTH), bits, ranges, folder), parts)
