@@ -87,3 +87,17 @@ def test_workers_need_no_copy_of_the_package(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", SCRIPT.format(root=str(ROOT))], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=900)
     assert "all ran" in done.stdout, done.stderr[-3000:]
+
+
+def test_jaccard_join_takes_ids_of_any_type(spark):
+    from tokenloom.llm import jaccard_join
+
+    texts = [TEXT, TEXT, TEXT.replace("word60", "other"), "a b c", None, "# !"]
+    for ids, kind in ((["b", "a", "c", "d", "e", "f"], "string"), ([2, 1, 3, 4, 5, 6], "int"), ([2.5, 1.5, 3.5, 4.5, 5.5, None], "double")):
+        df = spark.createDataFrame(list(zip(ids, texts)), f"doc_id {kind}, text string")
+        out = jaccard_join.jaccard_join(df)
+        assert out.schema["group_id"].dataType.simpleString() == kind
+        got = {r.doc_id: (r.class_id, r.group_id, r.n_links) for r in out.collect()}
+        first, second = ids[1], ids[2]
+        assert got[ids[0]] == got[first] == (first, first, 2) and got[second] == (second, first, 2)
+        assert got[ids[3]] == (ids[3], ids[3], 0) and got[ids[4]] == (ids[4], ids[4], 0)

@@ -32,6 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.salting import attach
 from .common import checkpointed
 from .components import components
 from .decontaminate import words_of
@@ -202,8 +203,9 @@ def grouped(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id
                 bands.append(band_keys(signature(s, family)) if len(s) else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(keys, pa.string()), pa.array(bands, pa.list_(pa.int64()))], names=["id", "hash", "key", "bands"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"), text_hash(F.col("text")).alias("hash"))
-    found = checkpointed(rows.mapInArrow(features, "id long, hash long, key string, bands array<long>"))
+    kind = docs.schema[id_col].dataType.simpleString()
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce("text", F.lit("")).alias("text"), text_hash(F.col("text")).alias("hash"))
+    found = checkpointed(rows.mapInArrow(features, f"id {kind}, hash long, key string, bands array<long>"))
     # a class has a node of its own, fixed by the checkpoint: ids may be null or another text's too
     classes = checkpointed(
         found.where("key is not null").groupBy("key")
@@ -215,7 +217,8 @@ def grouped(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id
     near = components(bands.join(shared, "band").select(F.col("node").alias("a"), "b").where("a <> b").distinct())
 
     sizes = near.groupBy("root").agg(F.count(F.lit(1)).alias("n")).select("root", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    members = near.join(sizes, "root").join(classes.select("node", "size", "key", "class", "class_hash"), "node")
+    # one component may hold most nodes: its rows are dealt over many tasks wherever its root is the key
+    members = attach(near, sizes, "root", [F.col("node")]).join(classes.select("node", "size", "key", "class", "class_hash"), "node")
     with_id = rows.join(members, (rows["id"] == members["class"]) & (rows["hash"] == members["class_hash"]))
     id_less = rows.where("id is null").select("text", "hash").dropDuplicates(["hash", "text"])
     id_less = id_less.join(members.where("class is null"), F.col("hash") == F.col("class_hash"))
@@ -282,7 +285,7 @@ def grouped(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id
         .join(links.select("node", "links"), "node", "left").join(groups, "node", "left")
     )
     leasts = by_node.where("root is not null").groupBy("root").agg(F.min("first").alias("least"))
-    by_class = by_node.join(leasts, "root", "left").select("key", "class", "size", "links", F.coalesce("least", "first").alias("group"))
+    by_class = attach(by_node, leasts, "root", [F.col("node")]).select("key", "class", "size", "links", F.coalesce("least", "first").alias("group"))
     out = found.select("id", "hash", "key").join(by_class, "key", "left")
     return out.select(
         F.col("id").alias(id_col),
