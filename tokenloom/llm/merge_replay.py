@@ -38,6 +38,9 @@ class Ranks:
         """The ranks of the pairs (NONE: it does not merge), looked up by kind."""
         if not len(keys) or not len(self.keys):
             return np.full(len(keys), NONE)
+        if len(keys) < 2000:  # few: looked up one by one
+            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            return np.where(self.keys[at] == keys, self.values[at], NONE)
         kinds, places = np.unique(keys, return_inverse=True)
         at = np.minimum(np.searchsorted(self.keys, kinds), len(self.keys) - 1)
         return np.where(self.keys[at] == kinds, self.values[at], NONE)[places]
@@ -52,6 +55,12 @@ def _pair_ranks(symbols: np.ndarray, ends: np.ndarray, ranks: Ranks) -> np.ndarr
     return out
 
 
+def _distinct(places: np.ndarray) -> np.ndarray:
+    """Ascending, each once."""
+    places.sort()
+    return places[np.concatenate(([True], places[1:] != places[:-1]))] if len(places) else places
+
+
 def replay(symbols: np.ndarray, lengths: np.ndarray, ranks: Ranks, made: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(symbols, lengths) of the words after all merges, lowest rank first, leftmost first.
 
@@ -85,12 +94,14 @@ def replay(symbols: np.ndarray, lengths: np.ndarray, ranks: Ranks, made: np.ndar
     order: list[int] = []
     enter(place, pair.copy())
     get = ranks.by_key.get
+    # the same memory, read and written one number at a time
+    sym_at, right_at, left_at, pair_at = map(memoryview, (syms, right, left, pair))
     while order:
         r = heappop(order)
         todo = index.pop(r)
         new = int(made[r])
         if len(todo) >= MANY:
-            i = np.unique(np.array(todo))
+            i = _distinct(np.array(todo))
             i = i[pair[i] == r]  # elsewhere a neighbour has changed since
             j = right[i]
             before, after = left[i], right[j]
@@ -101,7 +112,7 @@ def replay(symbols: np.ndarray, lengths: np.ndarray, ranks: Ranks, made: np.ndar
                 inner = after >= 0
                 left[after[inner]] = i[inner]
                 before = left[i]
-                touched = np.unique(np.concatenate([i, before[before >= 0]]))
+                touched = _distinct(np.concatenate([i, before[before >= 0]]))
                 beside = right[touched]
                 found = np.full(len(touched), NONE)
                 has = beside >= 0
@@ -111,30 +122,34 @@ def replay(symbols: np.ndarray, lengths: np.ndarray, ranks: Ranks, made: np.ndar
             todo = i.tolist()
         todo.sort()
         for k, i in enumerate(todo):
-            if pair[i] != r:
+            if pair_at[i] != r:
                 continue
             if order and order[0] < r:  # a merge has made a pair of lower rank: that goes first
                 index[r] = todo[k:] + index.get(r, [])
                 heappush(order, r)
                 break
-            j = int(right[i])
-            after = int(right[j])
-            syms[i], syms[j], pair[j], right[i] = new, -1, NONE, after
-            beside = [(i, new, int(syms[after]))] if after >= 0 else []
+            j = right_at[i]
+            after = right_at[i] = right_at[j]
+            sym_at[i], sym_at[j], pair_at[j] = new, -1, NONE
+            q = NONE
             if after >= 0:
-                left[after] = i
-            else:
-                pair[i] = NONE
-            before = int(left[i])
+                left_at[after] = i
+                q = get(new << SHIFT | sym_at[after], NONE)
+                if q < NONE:
+                    if q in index:
+                        index[q].append(i)
+                    else:
+                        index[q] = [i]
+                        heappush(order, q)
+            pair_at[i] = q
+            before = left_at[i]
             if before >= 0:
-                beside.append((before, int(syms[before]), new))
-            for at, a, b in beside:
-                q = pair[at] = get(a << SHIFT | b, NONE)
+                q = pair_at[before] = get(sym_at[before] << SHIFT | new, NONE)
                 if q < NONE:
                     if q in index:
-                        index[q].append(at)
+                        index[q].append(before)
                     else:
-                        index[q] = [at]
+                        index[q] = [before]
                         heappush(order, q)
     kept = syms >= 0
     sizes = np.add.reduceat(kept, ends + 1 - lengths) if n else np.zeros(0, dtype=np.int64)
