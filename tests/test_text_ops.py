@@ -136,3 +136,20 @@ def test_junk_shapes_stay_exact(spark):
     chosen = r.x.split(" [...] ")
     assert chosen.count("a.") == 6000 and sum(len(x) // 4 for x in chosen) <= 120
     assert "\n\n".join(r.c) == blank
+
+
+def test_sentences_are_split_and_scored_once(spark):
+    df = spark.createDataFrame([("One. Two two two two two. Three is three. x",), (None,), ("",)], "t string")
+    out = df.select(compress_extractive(F.col("t"), F.lit(9), F.lit("document")).alias("x"))
+    plan = out._jdf.queryExecution().analyzed().toString()
+    assert plan.count("split(") == 1 and plan.count("lower(") == 1
+    assert [r.x for r in out.collect()] == ["One. [...] Two two two two two. [...] Three is three. [...] x", None, ""]
+
+
+def test_visible_characters_are_left_before_any_lookbehind(spark):
+    from tokenloom.functions.text import RUN_START, SENTENCE_SPLIT
+
+    assert RUN_START.startswith("(?![!-~])") and SENTENCE_SPLIT.startswith("(?![!-~])")
+    texts = ["".join(random.Random(k).choices(ALPHA + " é~!", k=40)) for k in range(300)]
+    assert _eval(spark, texts, py_strip) == [t.strip() for t in texts]
+    assert _eval(spark, texts, normalize_lines) == ["\n".join(p.strip() for p in t.split("\n") if p.strip()) for t in texts]

@@ -90,11 +90,10 @@ def scored_sentences(sentences: Column, content_type) -> Column:
     lambda body is re-evaluated per element, so the distance-from-end is
     zipped in beforehand instead of reading size(sentences) inside.
     """
-    n = F.size(sentences)
-    pairs = F.zip_with(
-        sentences, F.sequence(n - 1, F.lit(0), F.lit(-1)),
+    pairs = let(sentences, lambda given: F.zip_with(
+        given, F.sequence(F.size(given) - 1, F.lit(0), F.lit(-1)),
         lambda s, r: F.struct(s.alias("s"), r.alias("r"), F.lower(s).alias("low")),
-    )
+    ))
     return F.transform(
         pairs,
         lambda x, i: F.struct(
@@ -115,13 +114,13 @@ def select_within_budget(scored: Column, target_tokens) -> Column:
     fold then appends at most `budget` times, which keeps a junk text of
     thousands of tiny sentences linear instead of quadratic.
     """
-    free = F.filter(scored, lambda x: x["tok"] == 0)
-    ordered = F.array_sort(F.filter(scored, lambda x: x["tok"] > 0))
-    init = F.struct(
-        F.lit(0).cast("bigint").alias("used"),
-        lit_(target_tokens).cast("bigint").alias("budget"),
-        F.slice(ordered, 1, 0).alias("picked"),
-    )
+
+    def init(given):
+        return F.struct(
+            F.lit(0).cast("bigint").alias("used"),
+            lit_(target_tokens).cast("bigint").alias("budget"),
+            F.slice(given, 1, 0).alias("picked"),
+        )
 
     def step(acc, x):
         fits = acc["used"] + x["tok"] <= acc["budget"]
@@ -132,7 +131,12 @@ def select_within_budget(scored: Column, target_tokens) -> Column:
         )
         return F.when(fits, taken).otherwise(acc)
 
-    picked = F.concat(F.aggregate(ordered, init, step)["picked"], free)
+    def pick(given):
+        free = F.filter(given, lambda x: x["tok"] == 0)
+        ordered = F.array_sort(F.filter(given, lambda x: x["tok"] > 0))
+        return F.concat(F.aggregate(ordered, init(given), step)["picked"], free)
+
+    picked = let(scored, pick)  # the sentences are split and scored once
     # natural struct order with idx first (unique) -- no comparator lambda
     return F.array_sort(F.transform(picked, lambda x: F.struct(x["idx"].alias("idx"), x["s"].alias("s"))))
 
