@@ -84,3 +84,23 @@ def test_workers_need_no_copy_of_the_package(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", SCRIPT.format(root=str(root))], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
     assert "all ran" in done.stdout, done.stderr[-3000:]
+
+
+def test_the_queries_callable_is_cheap_for_single_requests():
+    import time
+
+    from tokenloom.plans.queries import LEAD_CHARS, _lead_summaries
+
+    def by_series(requests):
+        if (requests["prompt"].str.len() % 5 == 0).any():
+            raise ValueError("request refused")
+        return requests["prompt"].str.split("Content:\n", n=1).str[1].str[:LEAD_CHARS]
+
+    asked = pd.DataFrame({"prompt": [f"Type\nContent:\n{'ab c' * k}Content:\n" for k in range(400)]})
+    assert _ask(_lead_summaries, asked) == _ask(by_series, asked)
+    took = []
+    for fn in (_lead_summaries, by_series):
+        start = time.process_time()
+        _ask(fn, asked)
+        took.append(time.process_time() - start)
+    assert took[0] < 0.6 * took[1]
