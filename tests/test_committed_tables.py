@@ -164,3 +164,27 @@ def test_a_stream_that_starts_anew_loses_nothing(spark):
         f.write("More text. " * 50)
     assert run(other, "two") == ["a.txt", "b.txt", "c.txt", "z.txt"]  # its epoch 0 replaces no other epoch 0
     assert read_ingested(spark, out, as_of=1).count() == 2
+
+
+def test_a_counter_is_called_once_a_text(spark, root):
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("bigint")
+    def words(text):
+        if text is not None:
+            calls.add(1)
+            return len(text.split())
+
+    texts = spark.createDataFrame([(f"a text of {k}", "m-1") for k in range(20)], "t string, model string")
+    assert count_missing(texts, "t", root, by_family({"m": words})).rows == 20
+    assert calls.value == 20  # not once more for the filter
+
+
+def test_counts_are_joined_without_the_texts(spark, root):
+    texts = spark.createDataFrame([("abcd efgh ijkl", "m-1"), ("some other text", None), (None, "m-1")], "t string, model string")
+    count_missing(texts, "t", root, by_family({"m": lambda t: F.length(t)}))
+    out = with_token_counts(texts, "t", root).select("model", "canonical_tokens")
+    assert {tuple(r) for r in out.collect()} == {("m-1", 14), (None, 3), ("m-1", None)}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[:plan.index("Join")]
+    assert "length(t#" not in above  # estimated below the join

@@ -97,15 +97,21 @@ def count_missing(df: DataFrame, text_col: str, store: str, counter: Counter, mo
             return Commit(version(spark, store), 0)
         todo = rows.join(missing, ["text_key", "model"], "left_semi")
     texts = todo.groupBy("text_key", "model").agg(F.min("_text").alias("_text"))
-    counts = texts.select("text_key", "model", counter(F.col("_text"), F.col("model")).alias("n")).where("n is not null")
+    counts = texts.select("text_key", "model", counter(F.col("_text"), F.col("model")).alias("n"),
+                          F.monotonically_increasing_id().alias("_row"))
+    # a filter is never pushed below a row number: without it each text would be counted again for the filter
+    counts = counts.where(F.col("n").isNotNull() & (F.col("_row") >= 0)).drop("_row")
     return commit(counts, store, ["model"], epoch=uuid.uuid4().hex)
 
 
 def with_token_counts(df: DataFrame, text_col: str, store: str, out: str = "canonical_tokens", model_col: str = "model",
                       as_of: Optional[int] = None) -> DataFrame:
-    """df with the stored count of its text, the estimate where the store has none.  The join moves the rows of df."""
+    """df with the stored count of its text, the estimate where the store has none.
+
+    The join moves the rows of df, their texts only where the result's texts are read.
+    """
     counts = read_counts(df.sparkSession, store, as_of).select(
         F.col("text_key").alias("_k"), F.col("model").alias("_m"), F.col("n").alias("_n")).dropDuplicates(["_k", "_m"])
-    keyed = df.withColumn("_text_key", text_key(F.col(text_col)))
+    keyed = df.withColumns({"_text_key": text_key(F.col(text_col)), "_estimate": estimate_tokens(text_col)})
     found = keyed.join(counts, (keyed["_text_key"] == counts["_k"]) & (keyed[model_col] == counts["_m"]), "left")
-    return found.withColumn(out, F.coalesce("_n", estimate_tokens(text_col))).drop("_k", "_m", "_n", "_text_key")
+    return found.withColumn(out, F.coalesce("_n", "_estimate")).drop("_k", "_m", "_n", "_text_key", "_estimate")
