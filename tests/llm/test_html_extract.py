@@ -150,3 +150,21 @@ def test_a_large_host_is_split_by_content(spark):
     assert len(parts) == 60
     whole = {r["page_id"]: r["text"] for r in H.html_extract(df).collect()}
     assert all(re.fullmatch(r"[\d ]+", t) for t in whole.values()) and {r["page_id"]: r["text"] for r in parts} == whole
+
+
+@pytest.mark.parametrize("share", [0.01, 0.05, 0.15])
+def test_a_large_host_is_judged_as_a_whole(spark, share):
+    """Footers on two to a third of the pages: each is rare in its part, or common there alone."""
+    rng = random.Random(12)
+    foot = {k: " ".join(f"foot{k}x{i}" for i in range(12)) for k in (2, 3, 4, 5, 7, 11)}
+    rows = []
+    for k in range(90):
+        own = " ".join(str(rng.randrange(10**6)) for _ in range(60))
+        feet = "".join(f"<div>{t}</div>" for every, t in foot.items() if k % (90 // every) == 0 or every > 4 and k % every == 0)
+        rows.append((k, "http://big.example/", f"<body><div>{own}</div>{feet}</body>"))
+    rows += [(100 + k, "http://big.example/", rows[0][2]) for k in range(9)]  # copies are one distinct page
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    whole = sorted(map(tuple, H.html_extract(df, share=share).collect()))
+    assert {r[5] for r in whole} != {0}
+    for size in (20_000, 6000, 900):
+        assert sorted(map(tuple, H.html_extract(df, share=share, group_chars=size).collect())) == whole

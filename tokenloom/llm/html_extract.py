@@ -14,11 +14,18 @@ a menu of a host with one page from its article:
 - every other block, and on a page without such a part each block, goes if
   repeats cover all of it and stays otherwise.
 
-A host above GROUP_CHARS characters is split by the hash of its pages' content,
-and a page is judged among the pages of its part: a repeat counts if it is on
-`min_pages` distinct pages and on `share` of the part's distinct pages or more.
-Equal pages are one distinct page; a stretch of repeats longer than half of its
-page is a copy of the page and no boilerplate.
+A repeat counts if it is on `min_pages` distinct pages of its host and on `share`
+of the host's distinct pages or more, whatever the host's size.  Equal pages are
+one distinct page; a stretch of repeats longer than half of its page is a copy of
+the page and no boilerplate.
+
+The pages of a host above GROUP_CHARS characters lie in several groups, by the hash
+of their blocks, so equal pages meet in one.  Such a host's repeats are counted
+first: each group tells its substrings that are on two of its pages or more (all of
+them if `share` of its pages is one page or less), which no substring that counts
+escapes in every group, and the counts are summed up.  Only where single pages that
+a group hasn't told could matter are they looked up.  What counts goes to all
+groups of the host.  So the result is that of the host in one piece.
 
 Defined cases: a null or empty page has an empty text; a null url's host is
 empty; equal rows and null ids are rows of their own; other columns are not read,
@@ -32,6 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,31 +74,31 @@ def suffix_order(tokens: np.ndarray, stop: np.ndarray, depth: int) -> tuple[np.n
     return order, np.append(False, rank[order][1:] == rank[order][:-1])[:len(order)]
 
 
-def repeated_tokens(tokens: np.ndarray, page: np.ndarray, content: np.ndarray, least: int, min_pages: int, share: float) -> np.ndarray:
-    """Which tokens lie in a substring of `least` tokens that is on enough distinct pages.
+def repeats(tokens: np.ndarray, page: np.ndarray, content: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order, group, pages): places of the substrings of `least` tokens, sorted; the number of each one's group of equal
+    ones; the distinct pages of each group.
 
     page: the number of each token's page, ascending; content: a number for each
     page, equal for equal pages.
     """
-    n = len(tokens)
-    covered = np.zeros(n, bool)
-    if n == 0:
-        return covered
     start = np.flatnonzero(np.diff(page, prepend=-1))
-    size = np.diff(start, append=n)
+    size = np.diff(start, append=len(tokens))
     order, agree = suffix_order(tokens, np.repeat(start + size, size), least)
     if not len(order):
-        return covered
+        return order, order, order
     group = np.cumsum(~agree) - 1
     both = np.unique(group * (int(content.max()) + 1) + content[page[order]])
-    pages = np.bincount(both // (int(content.max()) + 1), minlength=int(group[-1]) + 1)
-    enough = max(min_pages, int(np.ceil(share * len(np.unique(content)))))
-    hits = order[pages[group] >= enough]
+    return order, group, np.bincount(both // (int(content.max()) + 1), minlength=int(group[-1]) + 1)
+
+
+def covered_tokens(hits: np.ndarray, page: np.ndarray, least: int) -> np.ndarray:
+    """Which tokens lie in the substrings of `least` tokens at `hits`, but for stretches longer than half of their page."""
+    n = len(page)
     edge = np.zeros(n + 1, np.int64)
     np.add.at(edge, hits, 1)
     np.add.at(edge, hits + least, -1)
     covered = np.cumsum(edge[:n]) > 0
-    # stretches of one page that are longer than half of it
+    size = np.diff(np.flatnonzero(np.diff(page, prepend=-1)), append=n)
     first = np.flatnonzero(np.diff(covered * (page + 1), prepend=-1))
     length = np.diff(first, append=n)
     copies = covered[first] & (2 * length > np.repeat(size, size)[first])
@@ -98,21 +106,70 @@ def repeated_tokens(tokens: np.ndarray, page: np.ndarray, content: np.ndarray, l
     return covered
 
 
-def _judge(pages: list[list[Block]], least: int, min_pages: int, share: float) -> list[tuple[str, int, int]]:
-    """(text, tokens, repeated tokens) of the pages of one group."""
+def repeated_tokens(tokens: np.ndarray, page: np.ndarray, content: np.ndarray, least: int, min_pages: int, share: float) -> np.ndarray:
+    """Which tokens lie in a substring of `least` tokens that is on enough distinct pages (see `repeats`)."""
+    if len(tokens) == 0:
+        return np.zeros(0, bool)
+    order, group, pages = repeats(tokens, page, content, least)
+    enough = max(min_pages, int(np.ceil(share * len(np.unique(content)))))
+    return covered_tokens(order[pages[group] >= enough], page, least)
+
+
+def _stream(pages: list[list[Block]]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """(words, tokens, page, content) of the pages of one group: tokens are numbers of words."""
     known: dict[str, int] = {}
     same: dict[bytes, int] = {}
     tokens, sizes, content = [], [], []
     for blocks in pages:
-        before, digest = len(tokens), hashlib.blake2b(digest_size=16)
+        before = len(tokens)
         for b in blocks:
             tokens.append(known.setdefault("<" + b.tag, len(known)))
             tokens.extend([known.setdefault(w, len(known)) for w in b.text.split()])
-            digest.update(f"<{b.tag} {b.text}".encode("utf-8", "surrogatepass"))
         sizes.append(len(tokens) - before)
-        content.append(same.setdefault(digest.digest(), len(same)))
-    page = np.repeat(np.arange(len(pages)), sizes)
-    covered = repeated_tokens(np.array(tokens, np.int64), page, np.array(content), least, min_pages, share)
+        content.append(same.setdefault(_digest(blocks), len(same)))
+    return list(known), np.array(tokens, np.int64), np.repeat(np.arange(len(pages)), sizes), np.array(content)
+
+
+def _digest(blocks: list[Block]) -> bytes:
+    digest = hashlib.blake2b(digest_size=16)
+    for b in blocks:
+        digest.update(f"<{b.tag} {b.text}".encode("utf-8", "surrogatepass"))
+    return digest.digest()
+
+
+def _keys(words: list[str], tokens: np.ndarray, at: np.ndarray, least: int) -> np.ndarray:
+    """Two columns, a 128-bit hash of the `least` tokens from each place: the same in every group."""
+    own = np.frombuffer(b"".join(xxhash.xxh3_128_digest(w.encode("utf-8", "surrogatepass")) for w in words), "<u8").reshape(-1, 2)
+    out = np.zeros((len(at), 2), np.uint64)
+    for k in range(least):
+        out = out * np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9], np.uint64) + own[tokens[at + k]]
+    return out.view(np.int64)
+
+
+def _counts(pages: list[list[Block]], least: int, share: float, told: bool) -> tuple[int, bool, np.ndarray, np.ndarray]:
+    """(distinct pages, whether substrings of one page are held back, keys, pages of each): one group's substrings that
+    are told, or those held back."""
+    words, tokens, page, content = _stream(pages)
+    distinct = len(np.unique(content))
+    order, group, on = repeats(tokens, page, content, least)
+    holds = share * distinct > 1
+    which = (on > 1 if told else on == 1) if holds else np.full(len(on), told)
+    first = order[np.flatnonzero(np.diff(group, prepend=-1))][which]
+    return distinct, holds, _keys(words, tokens, first, least), on[which]
+
+
+def _judge(pages: list[list[Block]], least: int, min_pages: int, share: float, keys: list | None = None) -> list[tuple[str, int, int]]:
+    """(text, tokens, repeated tokens) of the pages of one group; keys: of the substrings that count, where the host has more groups."""
+    words, tokens, page, content = _stream(pages)
+    if keys is None:
+        covered = repeated_tokens(tokens, page, content, least, min_pages, share)
+    else:
+        order, group, _ = repeats(tokens, page, content, least)
+        mine = _keys(words, tokens, order[np.flatnonzero(np.diff(group, prepend=-1))], least)
+        wanted = set(keys)
+        counts = np.isin(mine[:, 0], np.array([k[0] for k in keys], np.int64))
+        counts[counts] = [(a, b) in wanted for a, b in mine[counts].tolist()]
+        covered = covered_tokens(order[counts[group]], page, least)
     out, at = [], 0
     for blocks in pages:
         main = max((b.place for b in blocks if not b.chrome), default=OUTSIDE)
@@ -152,21 +209,74 @@ def html_extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
                 marks = [[f"{b.place}{b.chrome:d}{b.tag}" for b in f] for f in found]
                 texts = [[b.text for b in f] for f in found]
                 yield pa.RecordBatch.from_arrays(
-                    [*map(some.column, (0, 1, 3, 4)), *(pa.array(x, pa.list_(pa.string())) for x in (marks, texts))],
+                    [*map(some.column, (0, 1, 3)), pa.array([int.from_bytes(_digest(f)[:8], "big", signed=True) for f in found], pa.int64()),
+                     *(pa.array(x, pa.list_(pa.string())) for x in (marks, texts))],
                     ["id", "url", "host", "hash", "marks", "texts"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    blocks = rows.withColumn("hash", F.xxhash64("html")).mapInArrow(
-        cut, f"id {kind}, url string, host string, hash bigint, marks array<string>, texts array<string>")
     large = spark.read.parquet(f"{folder}/large")  # Spark knows its size and chooses the join
-    parted = blocks.join(large, blocks["host"] == large["large"], "left").select(
-        "id", "url", "host", F.coalesce(F.pmod("hash", "parts"), F.lit(0)).alias("part"), "marks", "texts")
+
+    def parted(some: DataFrame, how: str) -> DataFrame:
+        """Pages' blocks by host and part; parts is null where the host is one group."""
+        blocks = some.mapInArrow(cut, f"id {kind}, url string, host string, hash bigint, marks array<string>, texts array<string>")
+        return blocks.join(large, blocks["host"] == large["large"], how).select(
+            "id", "url", "host", F.coalesce(F.pmod("hash", "parts"), F.lit(0)).alias("part"), "parts", "marks", "texts")
+
+    def dealt(some: DataFrame, *order: str) -> DataFrame:
+        return some.repartition(tasks, "host", "part").sortWithinPartitions("host", "part", *order)
+
+    def counted(told: bool) -> DataFrame:
+        """The substrings of large hosts' groups that are told, or those held back; a row without key for each group."""
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            def done() -> pa.RecordBatch:
+                distinct, holds, keys, pages = _counts(held, least, share, told)
+                n = len(keys)
+                return pa.RecordBatch.from_arrays(
+                    [pa.array([key[0]] * (n + 1), pa.string()), *(pa.array([None, *keys[:, k].tolist()], pa.int64()) for k in (0, 1)),
+                     pa.array([distinct, *pages.tolist()], pa.int64()), pa.array([int(holds)] * (n + 1), pa.int64())],
+                    ["host", "high", "low", "pages", "holds"])
+
+            held, key = [], None
+            for batch in batches:
+                for host, part, marks, texts in zip(*[c.to_pylist() for c in batch.columns]):
+                    if key != (host, part) and held:
+                        yield done()
+                        held = []
+                    key = (host, part)
+                    held.append([Block(m[2:], int(m[0]), m[1] == "1", t) for m, t in zip(marks, texts)])
+            if held:
+                yield done()
+
+        some = parted(rows.join(large, rows["host"] == large["large"], "left_semi"), "inner").select("host", "part", "marks", "texts")
+        return dealt(some).mapInArrow(count, "host string, high bigint, low bigint, pages bigint, holds bigint")
+
+    near = parted(rows, "left").select("*", F.lit(None).cast("bigint").alias("high"), F.lit(None).cast("bigint").alias("low"))
+    if not large.isEmpty():
+        counted(True).write.parquet(f"{folder}/told")
+        told = spark.read.parquet(f"{folder}/told")
+        need = told.where("high is null").groupBy("host").agg(
+            F.greatest(F.lit(min_pages), F.ceil(F.sum("pages") * F.lit(float(share)))).alias("need"), F.sum("holds").alias("groups"))
+        sums = told.where("high is not null").groupBy("host", "high", "low").agg(F.sum("pages").alias("pages"), F.sum("holds").alias("telling"))
+        # a group that holds back has at most one page of a substring that it doesn't tell
+        sums.join(need, "host").where("pages + groups - telling >= need").select("host", "high", "low", "pages", "need").write.parquet(f"{folder}/sums")
+        sums = spark.read.parquet(f"{folder}/sums")
+        repeated = sums.where("pages >= need")
+        if not (open_ := sums.where("pages < need")).isEmpty():
+            key = ["host", "high", "low"]
+            more = counted(False).where("high is not null").join(open_.select(*key), key, "left_semi").groupBy(*key).agg(F.sum("pages").alias("more"))
+            repeated = repeated.unionByName(open_.join(more, key).where("pages + more >= need").drop("more"))
+        sent = repeated.join(large, repeated["host"] == large["large"]).select(
+            F.lit(None).cast(kind).alias("id"), F.lit(None).cast("string").alias("url"), "host",
+            F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"), "parts",
+            *[F.lit(None).cast("array<string>").alias(c) for c in ("marks", "texts")], "high", "low")
+        near = near.unionByName(sent)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, urls, held, key, types = [], [], [], None, None
+        ids, urls, held, keys, key, types = [], [], [], [], None, None
 
         def done() -> pa.RecordBatch:
-            found = _judge(held, least, min_pages, share)
+            found = _judge(held, least, min_pages, share, keys if split else None)
             columns = [ids, urls, *([f[k] for f in found] for k in (0, 1, 2)), [len(f[0]) for f in found]]
             kinds = [types[0], pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)],
@@ -174,17 +284,20 @@ def html_extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
 
         for batch in batches:
             types = [c.type for c in batch.columns]
-            for i, url, host, part, marks, texts in zip(*[c.to_pylist() for c in batch.columns]):
-                if key != (host, part) and ids:
-                    yield done()
-                    ids, urls, held = [], [], []
-                key = (host, part)
+            for i, url, host, part, parts, marks, texts, high, low in zip(*[c.to_pylist() for c in batch.columns]):
+                if key != (host, part):
+                    if ids:
+                        yield done()
+                    ids, urls, held, keys = [], [], [], []
+                key, split = (host, part), parts is not None
+                if marks is None:
+                    keys.append((high, low))
+                    continue
                 ids.append(i)
                 urls.append(url)
                 held.append([Block(m[2:], int(m[0]), m[1] == "1", t) for m, t in zip(marks, texts)])
         if ids:
             yield done()
 
-    near = parted.repartition(tasks, "host", "part").sortWithinPartitions("host", "part")
-    out = near.mapInArrow(judge, f"id {kind}, url string, text string, n_tokens bigint, n_repeated bigint, n_chars bigint")
+    out = dealt(near.withColumn("is_page", F.col("high").isNull()), "is_page").drop("is_page").mapInArrow(judge, f"id {kind}, url string, text string, n_tokens bigint, n_repeated bigint, n_chars bigint")
     return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", "n_chars", "n_tokens", "n_repeated")
