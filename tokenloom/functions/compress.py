@@ -109,36 +109,33 @@ def select_within_budget(scored: Column, target_tokens) -> Column:
     """Greedy by (-score, idx), skip-and-continue.  Returns the picked
     sentences as STRUCT<idx, s> in original order.
 
-    A sentence of 0 tokens always fits (the running total never exceeds the
-    budget), whatever its rank, so those are taken outside the fold.  The
-    fold then appends at most `budget` times, which keeps a junk text of
-    thousands of tiny sentences linear instead of quadratic.
+    scored: all sentences by idx, from 0.  A sentence of 0 tokens always fits
+    (the running total never exceeds the budget), whatever its rank, so those
+    are taken outside the fold.  The fold then appends at most `budget` times,
+    and appends numbers: Spark copies its state at every step.
     """
-
-    def init(given):
-        return F.struct(
-            F.lit(0).cast("bigint").alias("used"),
-            lit_(target_tokens).cast("bigint").alias("budget"),
-            F.slice(given, 1, 0).alias("picked"),
-        )
+    init = F.struct(
+        F.lit(0).cast("bigint").alias("used"),
+        lit_(target_tokens).cast("bigint").alias("budget"),
+        F.array().cast("array<int>").alias("picked"),
+    )
 
     def step(acc, x):
         fits = acc["used"] + x["tok"] <= acc["budget"]
         taken = F.struct(
             (acc["used"] + x["tok"]).alias("used"),
             acc["budget"].alias("budget"),
-            F.array_append(acc["picked"], x).alias("picked"),
+            F.array_append(acc["picked"], x["idx"]).alias("picked"),
         )
         return F.when(fits, taken).otherwise(acc)
 
     def pick(given):
-        free = F.filter(given, lambda x: x["tok"] == 0)
+        free = F.transform(F.filter(given, lambda x: x["tok"] == 0), lambda x: x["idx"])
         ordered = F.array_sort(F.filter(given, lambda x: x["tok"] > 0))
-        return F.concat(F.aggregate(ordered, init(given), step)["picked"], free)
+        picked = F.array_sort(F.concat(F.aggregate(ordered, init, step)["picked"], free))
+        return F.transform(picked, lambda i: F.struct(i.alias("idx"), F.get(given, i)["s"].alias("s")))
 
-    picked = let(scored, pick)  # the sentences are split and scored once
-    # natural struct order with idx first (unique) -- no comparator lambda
-    return F.array_sort(F.transform(picked, lambda x: F.struct(x["idx"].alias("idx"), x["s"].alias("s"))))
+    return let(scored, pick)  # the sentences are split and scored once
 
 
 def extract_scored(scored: Column, target_tokens) -> Column:
