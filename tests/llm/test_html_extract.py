@@ -168,3 +168,60 @@ def test_a_large_host_is_judged_as_a_whole(spark, share):
     assert {r[5] for r in whole} != {0}
     for size in (20_000, 6000, 900):
         assert sorted(map(tuple, H.html_extract(df, share=share, group_chars=size).collect())) == whole
+
+
+def test_rare_heads_are_left_out():
+    rng = random.Random(3)
+    for _ in range(200):
+        depth, often, sizes = rng.randint(1, 9), rng.randint(1, 4), [rng.randint(0, 25) for _ in range(rng.randint(1, 4))]
+        tokens = np.array([rng.randrange(3) for _ in range(sum(sizes))], np.int64)
+        stop = np.repeat(np.cumsum(sizes), sizes)
+        whole, _ = H.suffix_order(tokens, stop, depth)
+        heads = [tuple(tokens[i:i + depth]) for i in whole]
+        order, agree = H.suffix_order(tokens, stop, depth, often)
+        left = [h for h in heads if heads.count(h) >= often]
+        some = [tuple(tokens[i:i + depth]) for i in order]
+        assert [h for h in some if heads.count(h) >= often] == left and len(set(order)) == len(order)
+        assert agree.tolist() == [k > 0 and some[k] == some[k - 1] for k in range(len(some))]
+
+
+@pytest.mark.parametrize("share", [0.0, 0.1, 0.4])
+def test_what_a_group_tells_and_what_it_is_asked_for(share):
+    rng = random.Random(5)
+    parts = [" ".join(rng.choice("abcdé") for _ in range(rng.randint(4, 9))) for _ in range(5)]
+    for _ in range(20):
+        pages = [[H.Block("p", 0, False, rng.choice(parts)) for _ in range(rng.randint(0, 4))] for _ in range(rng.randint(1, 12))]
+        assert [H._unpack(H._pack(b)) for b in pages] == pages
+        on = {}
+        streams = [" ".join(f"<{b.tag} {b.text}" for b in p).split() for p in pages]
+        for s in streams:
+            for k in range(len(s) - 4):
+                on.setdefault(tuple(s[k:k + 5]), set()).add(tuple(s))
+        distinct, slack, keys, counts = H._told(pages, 5, share)
+        assert distinct == len(set(map(tuple, streams))) and (slack == 0 or slack < share * distinct)
+        assert sorted(counts) == sorted(len(x) for x in on.values() if len(x) > slack)
+        every = H._told(pages, 5, 0.0)[2]
+        asked = np.concatenate([every, every[:3] ^ 1, every[:3] ^ np.array([0, 1])])  # of other groups; two of one first half
+        less, fewer = H._untold(pages, asked, 5, share)
+        assert sorted(fewer) == sorted(len(x) for x in on.values() if len(x) <= slack)
+        assert {*map(tuple, keys.tolist())} | {*map(tuple, less.tolist())} == {*map(tuple, every.tolist())}
+        assert H._judge(pages, 5, 1, 0.0, asked) == H._judge(pages, 5, 1, 0.0)
+
+
+def test_pages_of_large_hosts_are_cut_once(spark, monkeypatch):
+    """Telling, looking up and judging share one shuffle of the pages."""
+    rng = random.Random(9)
+    foot = " ".join(f"foot{i}" for i in range(12))
+    rows = [(k, "http://big.example/", "<body><div>" + " ".join(str(rng.randrange(10**6)) for _ in range(60)) + "</div>"
+             + f"<div>{foot}</div>" * (k % 7 == 0) + "</body>") for k in range(90)]
+    rows += [(100, "http://small.example/", "<p>a</p>")]
+    cuts = spark.sparkContext.accumulator(0)
+
+    def counted(text):
+        cuts.add(1)
+        return page_blocks(text)
+
+    monkeypatch.setattr(H, "page_blocks", counted)
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = H.html_extract(df, share=0.15, group_chars=3000).collect()
+    assert len(got) == len(rows) and cuts.value == len(rows)
